@@ -11,6 +11,15 @@ def money(value: Column, precision: int = 18) -> Column:
     return value.cast(f"decimal({precision},2)")
 
 
+def average(total: Column, count: Column, precision: int = 18) -> Column:
+    """Total by count with two decimals, rounded half up once.
+
+    The total is narrowed first: Spark then divides with 22 digits, so the last cast rounds the
+    exact quotient. Dividing a wide sum would already have rounded to six digits.
+    """
+    return money(money(total) / count, precision)
+
+
 def record_id(topic: Column, partition: Column, offset: Column) -> Column:
     """Stable id of a topic record in UUID form, the same on every run and retry."""
     digest = F.md5(F.concat_ws(":", topic, partition.cast("string"), offset.cast("string")))

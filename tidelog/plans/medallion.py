@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidelog import schemas
 from tidelog.operators.contracts import check_compatible
 from tidelog.operators.envelope import IDENTITY, bronze_events, parse_envelope, topic_values, unlanded
 from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import silver_customers, silver_order_items, silver_orders
 from tidelog.quality.gate import is_green, run_gate
+from tidelog.quality.suites import LAYERS
 from tidelog.sources.tables import publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
@@ -47,22 +47,42 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def append_new(records: DataFrame, rows: DataFrame, table: str, path: str) -> int:
-    """Append the Bronze rows of records that are not landed yet; nothing is written for none."""
-    landed = _existing(records.sparkSession, path)
-    fresh = rows if landed is None else unlanded(rows, landed)
-    if fresh.isEmpty():
-        return 0
-    if landed is not None:
-        derived = {t.name for t in spec(table).layout} - set(rows.columns)
-        check_compatible(
-            StructType([f for f in landed.schema if f.name not in derived]), rows.schema
-        )
-    return write_table(fresh, path, spec(table).layout)
+def _contract(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Contract columns of a table; a table that was never written counts as empty."""
+    df = _existing(spark, path)
+    if df is None:
+        return spark.createDataFrame([], spec(name).schema)
+    return df.select(*spec(name).schema.fieldNames())
+
+
+def append_new(
+    rows: DataFrame, table: str, path: str, retention_days: int | None = None
+) -> int:
+    """Append the Bronze rows whose records are not landed yet; nothing is written for none.
+
+    With the retention of the topic, only the table days that can overlap it are compared.
+    """
+    layout = spec(table).layout
+    landed = _existing(rows.sparkSession, path)
+    if landed is None:
+        return 0 if rows.isEmpty() else write_table(rows, path, layout)
+    derived = {t.name for t in layout} - set(rows.columns)
+    check_compatible(
+        StructType([f for f in landed.schema if f.name not in derived]), rows.schema
+    )
+    if retention_days is not None:
+        oldest = F.date_sub(F.current_date(), retention_days + 1)
+        landed = landed.filter(F.col(layout[0].name) >= oldest)
+    fresh = unlanded(rows, landed)
+    return 0 if fresh.isEmpty() else write_table(fresh, path, layout)
 
 
 def ingest_bronze(
-    spark: SparkSession, topics: Mapping[str, Topic], root: str, run_ts: str | None = None
+    spark: SparkSession,
+    topics: Mapping[str, Topic],
+    root: str,
+    run_ts: str | None = None,
+    retention_days: int | None = None,
 ) -> dict[str, int]:
     """Land every topic: change envelopes for the three entities, whole records for ``events``."""
     written = {}
@@ -73,9 +93,9 @@ def ingest_bronze(
         else:
             table = CDC_TABLES[entity]
             rows = parse_envelope(topic_values(records), run_ts)
-            # A re-delivered record is the same record; keep one within the snapshot as well.
-            rows = rows.dropDuplicates(list(IDENTITY))
-        written[table] = append_new(records, rows, table, table_path(root, table))
+        # A re-delivered record is the same record; keep one within the snapshot as well.
+        fresh = rows.dropDuplicates(list(IDENTITY))
+        written[table] = append_new(fresh, table, table_path(root, table), retention_days)
     return written
 
 
@@ -98,7 +118,8 @@ def run_batch(
     version = f"{root}/versions/{run_id}"
 
     def bronze(entity: str) -> DataFrame:
-        return spark.read.parquet(table_path(root, CDC_TABLES[entity]))
+        path = table_path(root, CDC_TABLES[entity])
+        return read_table(spark, path).drop("ingested_at_day")
 
     def build(name: str, df: DataFrame) -> None:
         table = spec(name)
@@ -125,22 +146,10 @@ def run_batch(
     )
 
     tables = {
-        name: spark.read.parquet(table_path(root, name)).select(*spec(name).schema.fieldNames())
-        for name in ("raw.cdc_orders", "raw.cdc_customers", "raw.cdc_order_items", "raw.kafka_events")
-        if _existing(spark, table_path(root, name)) is not None
+        name: _contract(spark, name, table_path(root if name.startswith("raw.") else version, name))
+        for names in LAYERS.values()
+        for name in names
     }
-    tables.update(
-        {
-            name: built(name)
-            for name in (
-                "silver.orders",
-                "silver.customers",
-                "silver.order_items",
-                "gold.daily_revenue",
-                "gold.customer_metrics",
-            )
-        }
-    )
     results = f"{version}/quality"
     gate = run_gate(tables).withColumn("checked_at", F.current_timestamp())
     gate.write.mode("overwrite").parquet(results)

@@ -7,64 +7,126 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(required: tuple[str, ...] = (), **columns: str) -> T.StructType:
+    schema = T.StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind, nullable=name not in required)
+    return schema
 
 
 TOPIC_RECORD = _schema(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
 )
 
 BRONZE_CDC = _schema(
-    "cdc_id string, op string, ts_ms bigint, source_db string, source_table string, "
-    "txn_id bigint, before string, after string, ingested_at timestamp"
+    cdc_id="string",
+    op="string",
+    ts_ms="long",
+    source_db="string",
+    source_table="string",
+    txn_id="long",
+    before="string",
+    after="string",
+    ingested_at="timestamp",
 )
 
 BRONZE_EVENTS = _schema(
-    "event_id string, topic string, partition int, offset bigint, event_ts timestamp, "
-    "ingested_at timestamp, msg_key string, payload string"
+    event_id="string",
+    topic="string",
+    partition="integer",
+    offset="long",
+    event_ts="timestamp",
+    ingested_at="timestamp",
+    msg_key="string",
+    payload="string",
 )
 
 SILVER_ORDERS = _schema(
-    "order_id string not null, customer_id string not null, status string, "
-    "total_amount decimal(18,2), currency string, created_at timestamp, updated_at timestamp, "
-    "_source_op string, _ingested_at timestamp"
+    required=("order_id", "customer_id"),
+    order_id="string",
+    customer_id="string",
+    status="string",
+    total_amount="decimal(18,2)",
+    currency="string",
+    created_at="timestamp",
+    updated_at="timestamp",
+    _source_op="string",
+    _ingested_at="timestamp",
 )
 
 SILVER_CUSTOMERS = _schema(
-    "customer_id string not null, name string, email string, created_at timestamp, "
-    "updated_at timestamp, _source_op string, _ingested_at timestamp"
+    required=("customer_id",),
+    customer_id="string",
+    name="string",
+    email="string",
+    created_at="timestamp",
+    updated_at="timestamp",
+    _source_op="string",
+    _ingested_at="timestamp",
 )
 
 SILVER_ORDER_ITEMS = _schema(
-    "item_id string not null, order_id string not null, product_id string not null, quantity int, "
-    "unit_price decimal(18,2), line_total decimal(18,2), order_created_at timestamp, "
-    "_ingested_at timestamp"
+    required=("item_id", "order_id", "product_id"),
+    item_id="string",
+    order_id="string",
+    product_id="string",
+    quantity="integer",
+    unit_price="decimal(18,2)",
+    line_total="decimal(18,2)",
+    order_created_at="timestamp",
+    _ingested_at="timestamp",
 )
 
 GOLD_DAILY_REVENUE = _schema(
-    "report_date date not null, currency string not null, order_count bigint, item_count bigint, "
-    "gross_revenue decimal(18,2), net_revenue decimal(18,2), avg_order_value decimal(18,2), "
-    "new_customers bigint, computed_at timestamp"
+    required=("report_date", "currency"),
+    report_date="date",
+    currency="string",
+    order_count="long",
+    item_count="long",
+    gross_revenue="decimal(18,2)",
+    net_revenue="decimal(18,2)",
+    avg_order_value="decimal(18,2)",
+    new_customers="long",
+    computed_at="timestamp",
 )
 
 GOLD_CUSTOMER_METRICS = _schema(
-    "customer_id string not null, country_code string, segment string, first_order_date date, "
-    "last_order_date date, total_orders bigint, total_revenue decimal(18,2), "
-    "avg_order_value decimal(18,2), days_since_last_order int, is_churned boolean, "
-    "computed_at timestamp"
+    required=("customer_id",),
+    customer_id="string",
+    country_code="string",
+    segment="string",
+    first_order_date="date",
+    last_order_date="date",
+    total_orders="long",
+    total_revenue="decimal(18,2)",
+    avg_order_value="decimal(18,2)",
+    days_since_last_order="integer",
+    is_churned="boolean",
+    computed_at="timestamp",
 )
 
 REVENUE_WINDOW = _schema(
-    "window_start timestamp, window_end timestamp, order_count bigint, "
-    "total_revenue decimal(14,2), avg_order_value decimal(12,2)"
+    window_start="timestamp",
+    window_end="timestamp",
+    order_count="long",
+    total_revenue="decimal(14,2)",
+    avg_order_value="decimal(12,2)",
 )
 
 RATES_PAYLOAD = "base string, date string, rates map<string, double>"
 
 RATE_EVENT = _schema(
-    "event_type string, base string, currency string, rate double, rate_date string, "
-    "fetched_at string"
+    event_type="string",
+    base="string",
+    currency="string",
+    rate="double",
+    rate_date="string",
+    fetched_at="string",
 )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog import rules, schemas
-from tidelog.functions.columns import money
+from tidelog.functions.columns import average, money
 from tidelog.operators.changelog import unfold
 from tidelog.operators.envelope import drop_redelivered
 
@@ -33,7 +33,7 @@ def tumbling_revenue(
             F.col("w.end").alias("window_end"),
             "order_count",
             money(F.col("_total"), 14).alias("total_revenue"),
-            money(F.col("_total") / F.col("order_count"), 12).alias("avg_order_value"),
+            average(F.col("_total"), F.col("order_count"), 12).alias("avg_order_value"),
         )
     )
 

@@ -189,6 +189,18 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_amount_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events topic with the measured value as its payload."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").cast("binary").alias("key"),
+        money(F.col("value")).cast("string").cast("binary").alias("value"),
+        F.lit("raw.events").alias("topic"),
+        F.pmod("event_id", F.lit(3)).cast("int").alias("partition"),
+        F.expr("event_id div 3").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
 def bronze(records: DataFrame) -> DataFrame:
     return parse_envelope(topic_values(records), RUN_TS)
 
