@@ -1,0 +1,50 @@
+"""Hand-made change records."""
+
+from __future__ import annotations
+
+import json
+
+RECORD_COLUMNS = (
+    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+)
+
+
+def order(order_id=1, status="pending", amount="10.00", minute=0, **more):
+    at = f"2024-05-01T10:{minute:02d}:00Z"
+    image = {
+        "order_id": order_id,
+        "customer_id": 7,
+        "status": status,
+        "total_amount": amount,
+        "created_at": "2024-05-01T10:00:00Z",
+        "updated_at": at,
+    }
+    return {**image, **more}
+
+
+def change(op, before=None, after=None, ts_ms=1_714_557_600_000, txn=1, source_ts=None):
+    source = {"db": "shop", "table": "orders", "txId": txn}
+    if source_ts is not None:
+        source["ts_ms"] = source_ts
+    return json.dumps(
+        {"before": before, "after": after, "op": op, "ts_ms": ts_ms, "source": source}
+    )
+
+
+def records(spark, values, topic="cdc.orders", partition=0, offsets=None):
+    """Topic records; the offset is the position unless given."""
+    import datetime
+
+    at = datetime.datetime(2024, 5, 1, 10, 0, 0)
+    numbers = offsets or range(len(values))
+    rows = [
+        (b"{}", None if v is None else v.encode(), topic, partition, n, at)
+        for n, v in zip(numbers, values)
+    ]
+    return spark.createDataFrame(rows, RECORD_COLUMNS)
+
+
+def bronze(spark, values, **where):
+    from tidelog.operators.envelope import parse_envelope, topic_values
+
+    return parse_envelope(topic_values(records(spark, values, **where)), "2024-06-01 00:00:00")

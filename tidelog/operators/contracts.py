@@ -60,18 +60,16 @@ Contract = tuple[Field, ...]
 
 def _opened(images: DataFrame, image: str, contract: Contract) -> DataFrame:
     """Type and text of every contract field, and the field names; each image is parsed once."""
-    parsed = images.select("*", F.try_parse_json(image).alias("_v"))
-    types = [
-        F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")).alias(f"_t_{f.name}")
-        for f in contract
-    ]
-    texts = F.json_tuple(image, *[f.name for f in contract]).alias(*[f"_x_{f.name}" for f in contract])
-    return parsed.select(
+
+    def value(field: Field) -> Column:
+        return F.col("_m").getItem(field.name)
+
+    return images.withColumn("_m", F.from_json(image, "map<string, variant>")).select(
         *images.columns,
-        F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_object"),
-        F.coalesce(F.json_object_keys(image), F.array().cast("array<string>")).alias("_keys"),
-        *types,
-        texts,
+        F.col("_m").isNotNull().alias("_object"),
+        F.coalesce(F.map_keys("_m"), F.array().cast("array<string>")).alias("_keys"),
+        *[F.schema_of_variant(value(f)).alias(f"_t_{f.name}") for f in contract],
+        *[F.try_variant_get(value(f), "$", "string").alias(f"_x_{f.name}") for f in contract],
     )
 
 
@@ -158,10 +156,15 @@ def observed_evolution(images: DataFrame, image: str, contract: Contract) -> Dat
     known = counts.select(F.inline(F.array(*[row(f) for f in contract])))
     names = F.array(*[F.lit(f.name) for f in contract])
     added = (
-        images.select(F.explode(F.array_except(F.json_object_keys(image), names)).alias("field"))
+        opened.select(F.explode(F.array_except("_keys", names)).alias("field"))
         .groupBy("field")
         .agg(F.count(F.lit(1)).alias("records"))
-        .select("field", "records", F.lit(0).cast("bigint").alias("mistyped"), F.lit("added").alias("change"))
+        .select(
+            "field",
+            "records",
+            F.lit(0).cast("bigint").alias("mistyped"),
+            F.lit("added").alias("change"),
+        )
     )
     return known.unionByName(added).withColumn(
         "compatible", F.col("change").isin("unchanged", "added")

@@ -42,9 +42,15 @@ def version(i: int, value: Column | None, when: Column | None = None) -> Column:
     return row if when is None else F.when(when, row)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows by entity over all cores: each given table is one file with one row group."""
-    return rows.repartition("k")
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the table has fewer file splits than that.
+
+    Writing the JSON text is the heavy part here, and the given tables are one split each. A
+    table of many files is left as it lies.
+    """
+    if rows.rdd.getNumPartitions() >= rows.sparkSession.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(*keys)
 
 
 def as_records(rows: DataFrame, topic: str, key: Column, offset: Column, ts: Column) -> DataFrame:
@@ -102,7 +108,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         version(6, F.lit("not a change event"), k % 97 == 0),
         version(1, repriced, k % 13 == 0),
     )
-    rows = spread(base).select("k", "created", F.inline(F.array_compact(versions)))
+    rows = spread(base, "k").select("k", "created", F.inline(F.array_compact(versions)))
     return as_records(
         rows,
         "cdc.orders",
@@ -146,12 +152,27 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         version(1, envelope("u", t0 + day, "customers", k, first, second), k % 3 == 0),
         version(2, envelope("d", t0 + 2 * day, "customers", k, first, None), k % 20 == 0),
     )
-    rows = spread(base).select("k", "created", F.inline(F.array_compact(versions)))
+    rows = spread(base, "k").select("k", "created", F.inline(F.array_compact(versions)))
     return as_records(rows, "cdc.customers", k.alias("customer_id"), k * 4 + F.col("i"), created)
 
 
 def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One create per line-item row, committed at the ship date."""
+    items = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            "l_quantity",
+            "l_extendedprice",
+            "l_shipdate",
+        ),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+    )
     shipped = F.col("l_shipdate").cast("timestamp")
     image = F.struct(
         item_id().alias("item_id"),
@@ -161,7 +182,7 @@ def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         money(F.col("l_extendedprice")).cast("string").alias("unit_price"),
         iso(shipped).alias("created_at"),
     )
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = items.select(
         F.col("l_orderkey").alias("k"),
         item_id().alias("id"),
         shipped.alias("shipped"),

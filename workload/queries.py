@@ -172,7 +172,8 @@ def silver_order_items(spark, sf):
 @query
 def silver_upsert(spark, sf):
     """State up to a time written as a bucketed table, then the later changes merged into it."""
-    changes = envelope.accepted(logs.bronze_orders(spark, sf), schemas.ORDERS).select(
+    landed = new_folder(spark, "changes")
+    envelope.accepted(logs.bronze_orders(spark, sf), schemas.ORDERS).select(
         "order_id",
         "customer_id",
         "status",
@@ -181,7 +182,8 @@ def silver_upsert(spark, sf):
         "updated_at",
         "op",
         *changelog.VERSION_ORDER,
-    )
+    ).write.parquet(landed)
+    changes = spark.read.parquet(landed)
     path = new_folder(spark, "state")
     early = F.col("ts_ms") <= AS_OF_MS
     for batch in (changes.filter(early), changes.filter(~early)):

@@ -15,15 +15,20 @@ from tidelog.streaming.windows import tumbling_revenue
 from workload import logs
 from workload.domain import RUN_TS, table
 
-SLICES = 3
+SLICES = 2
 
 
-def slices(records: DataFrame, day) -> list[DataFrame]:
-    """The records cut at day boundaries into a few parts, oldest first.
+def slices(records: DataFrame) -> list[DataFrame]:
+    """The records, landed once and cut at day boundaries into a few parts, oldest first.
 
     Spark compares rows with the watermark of earlier batches, so a part must not hold rows from
     before the end of the part that went in first.
     """
+    spark = records.sparkSession
+    landed = new_folder(spark, "landed")
+    records.write.parquet(landed)
+    records = spark.read.parquet(landed)
+    day = F.to_date("timestamp")
     low, high = records.agg(F.min(day), F.max(day)).first()
     step = (high - low) / SLICES
     cuts = [low + step * n for n in range(1, SLICES)]
@@ -47,16 +52,12 @@ def _feed(parts: list[DataFrame], path: str, run) -> None:
         query.awaitTermination()
 
 
-def _record_day():
-    return F.to_date("timestamp")
-
-
 def stream_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "order-revenue")
     source = Topic("cdc.orders", path=f"{root}/in")
     sink = Topic("gold.order-revenue-1m", path=f"{root}/out")
     _feed(
-        slices(logs.order_records(spark, sf_dir), _record_day()),
+        slices(logs.order_records(spark, sf_dir)),
         source.path,
         lambda: start_order_revenue(spark, source, sink, f"{root}/checkpoint"),
     )
@@ -78,7 +79,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
         windows = tumbling_revenue(rows.withWatermark("ts", "5 seconds"), "ts", "amount")
         return start_append(windows, f"{root}/out", f"{root}/checkpoint")
 
-    _feed(slices(records, _record_day()), topic.path, run)
+    _feed(slices(records), topic.path, run)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -90,7 +91,7 @@ def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = bronze_events(stream_records(spark, topic), RUN_TS)
         return start_append(rows, f"{root}/out", f"{root}/checkpoint")
 
-    _feed(slices(logs.event_records(spark, sf_dir), _record_day()), topic.path, run)
+    _feed(slices(logs.event_records(spark, sf_dir)), topic.path, run)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -98,7 +99,7 @@ def stream_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "cdc-orders")
     topic = Topic("cdc.orders", path=f"{root}/in")
     _feed(
-        slices(logs.order_records(spark, sf_dir), _record_day()),
+        slices(logs.order_records(spark, sf_dir)),
         topic.path,
         lambda: start_bronze(spark, topic, f"{root}/out", f"{root}/checkpoint", RUN_TS),
     )
