@@ -97,21 +97,24 @@ def previous_in_log(
     """``previous``: the value of the preceding record of the same key, in delivery order.
 
     All records of a key sit in one topic partition. The scan is cut into offset ranges, each
-    with at most ``chunk`` records by construction; the value that crosses a cut comes from a
-    second pass over one row per key and range. No task ever holds a whole hot key.
+    with at most ``chunk`` records by construction. Only the first record of a range looks
+    outside it, so a second window holds one record per range. No task gets a whole hot key.
     """
     group = ["topic", "partition", key]
-    cut = df.withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk)))
+    held = F.struct(F.col(value))
     inside = Window.partitionBy(*group, "_chunk").orderBy("offset")
-    stepped = cut.withColumn("_prev", F.lag(F.struct(F.col(value))).over(inside))
-    ends = cut.groupBy(*group, "_chunk").agg(
-        F.max_by(F.struct(F.col(value)), "offset").alias("_last")
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cut = (
+        df.withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk)))
+        .withColumn("_before", F.lag(held).over(inside))
+        .withColumn("_last", F.last(held).over(whole))
     )
-    across = Window.partitionBy(*group).orderBy("_chunk")
-    carried = ends.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
+    place = F.when(F.col("_before").isNull(), F.lit(-1)).otherwise(F.col("_chunk"))
+    across = Window.partitionBy(*group, "_place").orderBy("_chunk", "offset")
     return (
-        stepped.join(carried, [*group, "_chunk"], "left")
-        .withColumn("previous", F.coalesce("_prev", "_carried")[value])
+        cut.withColumn("_place", place)
+        .withColumn("_carried", F.lag("_last").over(across))
+        .withColumn("previous", F.coalesce("_before", "_carried")[value])
         .select(*df.columns, "previous")
     )
 

@@ -117,30 +117,33 @@ def sustained(
         )
         .withColumn("_last", F.max("_run").over(Window.partitionBy(*chunk)))
     )
-    # Runs in the middle of a chunk are complete. The first and last may go on next door.
+    # Runs in the middle of a chunk are complete. The first and last may go on next door, so the
+    # edges of a series meet in a place of their own; all other runs stay with their chunk.
     edge = (F.col("_run") == 0) | (F.col("_run") == F.col("_last"))
-    stretch = [*keys, "started_at", "ended_at", "samples"]
-    complete = runs.filter(F.col("_on") & ~edge).select(*stretch)
-    across = Window.partitionBy(*keys).orderBy("_chunk", "_run")
-    apart = (F.col("_on") != F.lag("_on").over(across)) | (
-        (F.col("_chunk") == F.lag("_chunk").over(across))
-        & (F.col("_run") - F.lag("_run").over(across) > 1)
+    across = Window.partitionBy(*keys, "_place").orderBy("_chunk", "_run")
+    apart = (
+        (F.col("_on") != F.lag("_on").over(across))
+        | (F.col("_place") >= 0)
+        | (
+            (F.col("_chunk") == F.lag("_chunk").over(across))
+            & (F.col("_run") - F.lag("_run").over(across) > 1)
+        )
     )
-    joined = (
-        runs.filter(edge)
+    length = F.unix_micros("ended_at") - F.unix_micros("started_at")
+    return (
+        runs.withColumn("_place", F.when(edge, F.lit(-1)).otherwise(F.col("_chunk")))
         .withColumn("_apart", F.coalesce(apart.cast("int"), F.lit(0)))
         .withColumn("_stretch", F.sum("_apart").over(across))
         .filter("_on")
-        .groupBy(*keys, "_stretch")
+        .groupBy(*keys, "_place", "_stretch")
         .agg(
             F.min("started_at").alias("started_at"),
             F.max("ended_at").alias("ended_at"),
             F.sum("samples").cast("bigint").alias("samples"),
         )
-        .select(*stretch)
+        .filter(length >= for_s * 1_000_000)
+        .select(*keys, "started_at", "ended_at", "samples")
     )
-    length = F.unix_micros("ended_at") - F.unix_micros("started_at")
-    return complete.unionByName(joined).filter(length >= for_s * 1_000_000)
 
 
 def absent(

@@ -180,7 +180,8 @@ def _grouped(
 def evaluate(df: DataFrame, name: str, rules: Sequence[Expectation]) -> DataFrame:
     """One row per expectation: one pass for all row rules, one grouped pass per unique key."""
     numbered = list(enumerate(rules))
-    results = [_scan(df, [(i, e) for i, e in numbered if e.kind not in GROUPED])]
+    scanned = [(i, e) for i, e in numbered if e.kind not in GROUPED]
+    results = [_scan(df, scanned)] if scanned else []
     keys = dict.fromkeys(e.columns for e in rules if e.kind in GROUPED)
     for key in keys:
         same = [(i, e) for i, e in numbered if e.kind in GROUPED and e.columns == key]

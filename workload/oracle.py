@@ -64,9 +64,16 @@ SELECT i.item_id, i.order_id, i.product_id, i.quantity, i.unit_price, i.line_tot
   o.created_at AS order_created_at, TIMESTAMP '{RUN_TS}' AS _ingested_at
 FROM ({ITEMS}) i LEFT JOIN ({S_ORDERS}) o ON i.order_id = o.order_id"""
 
-ROLLUP = f"""
+# The log holds one version per line-item row; the last shipped one of an item id is its state.
+LATEST_ITEMS = f"""
+SELECT * FROM ({ITEMS})
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY l_shipdate DESC) = 1"""
+
+
+def rollup(items: str) -> str:
+    return f"""
 SELECT order_id, count(*) AS item_count, CAST(sum(line_total) AS DECIMAL(18,2)) AS gross_revenue
-FROM ({ITEMS}) GROUP BY order_id"""
+FROM ({items}) GROUP BY order_id"""
 
 
 def new_customers(orders: str) -> str:
@@ -77,7 +84,7 @@ FROM (SELECT customer_id, CAST(min(created_at) AS DATE) AS report_date
 GROUP BY report_date"""
 
 
-def daily_revenue(orders: str) -> str:
+def daily_revenue(orders: str, items: str = ITEMS) -> str:
     return f"""
 SELECT d.report_date, d.currency, d.order_count, d.item_count, d.gross_revenue,
   d.gross_revenue AS net_revenue, {average('d.gross_revenue', 'd.order_count')} AS avg_order_value,
@@ -86,7 +93,7 @@ FROM (
   SELECT CAST(o.created_at AS DATE) AS report_date, 'USD' AS currency, count(*) AS order_count,
     CAST(coalesce(sum(r.item_count), 0) AS BIGINT) AS item_count,
     CAST(sum(coalesce(r.gross_revenue, o.total_amount)) AS DECIMAL(18,2)) AS gross_revenue
-  FROM ({orders}) o LEFT JOIN ({ROLLUP}) r ON o.order_id = r.order_id
+  FROM ({orders}) o LEFT JOIN ({rollup(items)}) r ON o.order_id = r.order_id
   WHERE o.{REVENUE} GROUP BY 1) d
 LEFT JOIN ({new_customers(orders)}) n ON d.report_date = n.report_date"""
 
@@ -481,7 +488,7 @@ ORACLE: dict[str, str] = {
     "revenue_orders": f"""
 SELECT order_id, customer_id, status, total_amount, created_at FROM ({S_ORDERS}) WHERE {REVENUE}""",
     "line_total": f"SELECT item_id, quantity, unit_price, line_total FROM ({ITEMS})",
-    "order_item_rollup": ROLLUP,
+    "order_item_rollup": rollup(ITEMS),
     "new_customers_per_day": new_customers(S_ORDERS),
     "gold_daily_revenue": DAILY,
     "gold_customer_metrics": METRICS,
@@ -511,15 +518,14 @@ SELECT "partition", "offset", op, ts_ms FROM ({order_log(copies=False)})""",
     "silver_order_items": f"""
 SELECT i.item_id, i.order_id, i.product_id, i.quantity, i.unit_price, i.line_total,
   o.created_at AS order_created_at
-FROM (SELECT * FROM ({ITEMS})
-      QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY l_shipdate DESC) = 1) i
+FROM ({LATEST_ITEMS}) i
 LEFT JOIN ({LIVE_ORDERS}) o ON i.order_id = o.order_id""",
     "silver_upsert": f"""
 SELECT order_id, customer_id, status, total_amount, updated_at, _source_op AS op
 FROM ({LIVE_ORDERS})""",
     "status_transition_audit": LOGGED_TRANSITIONS,
     "status_transition_audit_images": TRANSITIONS,
-    "gold_daily_revenue_from_log": daily_revenue(LIVE_ORDERS),
+    "gold_daily_revenue_from_log": daily_revenue(LIVE_ORDERS, LATEST_ITEMS),
     "gold_customer_metrics_from_log": customer_metrics(LIVE_ORDERS, C_STATE),
     "bronze_kafka_events": f"SELECT * EXCLUDE (ingested_at) FROM ({TABLE_SQL['raw.kafka_events']})",
     "stream_bronze_append": f"SELECT * EXCLUDE (ingested_at) FROM ({TABLE_SQL['raw.kafka_events']})",
