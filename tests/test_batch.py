@@ -20,7 +20,7 @@ class Shop:
     def __init__(self, spark):
         self.spark, self.root = spark, new_folder(spark, "shop")
         names = {"orders": "cdc.orders", "customers": "cdc.customers", "order_items": "cdc.order_items", "events": "raw.events"}
-        self.topics = {k: Topic(n, path=f"{self.root}/topics/{k}") for k, n in names.items()}
+        self.topics = {k: Topic(n, path=f"{self.root}/topics/{n}") for k, n in names.items()}
         self.offsets = dict.fromkeys(names, 0)
 
     def send(self, entity, *values):
@@ -85,3 +85,34 @@ def test_red_batch_publishes_nothing(shop, spark):
     assert spark.table("shop.guarded").first().order_count == 2
     red = {(r.suite, r.expectation) for r in spark.read.parquet(done.results).filter("not success").collect()}
     assert ("silver.orders", "between") in red
+
+
+def test_command_line_runs_the_batch_the_gate_and_the_smoke_checks(shop, spark, capsys, monkeypatch):
+    import tidelog.__main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    lake = f"{shop.root}/cli"
+    topics = ["--topics", f"{shop.root}/topics"]
+    assert cli.main(["batch", *topics, "--root", lake, "--run-id", "r1", "--as-of", "2024-06-01"]) == 0
+    assert cli.main(["gate", "--root", lake, "--run-id", "r1", "--layer", "silver"]) == 0
+    assert cli.main(["smoke", "--root", lake, "--run-id", "r1"]) == 0
+    assert cli.main(["smoke", "--root", lake, "--run-id", "none"]) == 1
+    out = capsys.readouterr().out
+    assert "gate green" in out and "PASS gold.daily_revenue is non-empty (value=1)" in out
+    once = ["--checkpoint", f"{shop.root}/ckpt", "--once"]
+    assert cli.main(["stream", *topics, *once]) == 0
+
+
+def test_rates_command(shop, spark, capsys, monkeypatch, tmp_path):
+    import tidelog.__main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    payload = {"base": "EUR", "date": "2026-07-07", "rates": {"USD": 1.1, "SEK": 11.2}}
+    (tmp_path / "one.json").write_text(json.dumps(payload))
+    topics = ["--topics", str(tmp_path / "topics"), "--payloads", str(tmp_path / "one.json")]
+    assert cli.main(["rates", *topics, "--dry-run", "--currencies", "usd"]) == 0
+    assert "USD" in capsys.readouterr().out
+    assert cli.main(["rates", *topics, "--currencies", "XXX"]) == 1
+    assert cli.main(["rates", *topics, "--currencies", ""]) == 0
+    sent = spark.read.parquet(str(tmp_path / "topics" / "raw.events"))
+    assert sorted(r.key for r in sent.collect()) == ["SEK", "USD"]

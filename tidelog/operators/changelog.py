@@ -109,7 +109,7 @@ def previous_in_log(
         .withColumn("_before", F.lag(held).over(inside))
         .withColumn("_last", F.last(held).over(whole))
     )
-    place = F.when(F.col("_before").isNull(), F.lit(-1)).otherwise(F.col("_chunk"))
+    place = F.when(F.col("_before").isNotNull(), F.col("_chunk"))
     across = Window.partitionBy(*group, "_place").orderBy("_chunk", "offset")
     return (
         cut.withColumn("_place", place)

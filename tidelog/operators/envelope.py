@@ -108,9 +108,22 @@ def quarantined(bronze: DataFrame, entity: schemas.Entity) -> DataFrame:
     )
 
 
-def unlanded(records: DataFrame, landed: DataFrame) -> DataFrame:
-    """Records whose (topic, partition, offset) is not in the landed table yet."""
-    return records.join(landed.select(*IDENTITY), list(IDENTITY), "left_anti")
+def unlanded(rows: DataFrame, landed: DataFrame, ordered: bool = False) -> DataFrame:
+    """Rows whose record is not in the landed table yet.
+
+    ``ordered``: the log is read in offset order and every append landed a whole snapshot, so the
+    highest landed offset per partition tells; that is one number per topic partition, sent to
+    all tasks, and no shuffle of the rows. Otherwise every (topic, partition, offset) is compared.
+    """
+    if not ordered:
+        return rows.join(landed.select(*IDENTITY), list(IDENTITY), "left_anti")
+    marks = landed.groupBy("topic", "partition").agg(F.max("offset").alias("_mark"))
+    fresh = F.col("_mark").isNull() | (F.col("offset") > F.col("_mark"))
+    return (
+        rows.join(F.broadcast(marks), ["topic", "partition"], "left")
+        .filter(fresh)
+        .select(*rows.columns)
+    )
 
 
 def drop_redelivered(rows: DataFrame, *extra: str) -> DataFrame:

@@ -123,7 +123,7 @@ def sustained(
     across = Window.partitionBy(*keys, "_place").orderBy("_chunk", "_run")
     apart = (
         (F.col("_on") != F.lag("_on").over(across))
-        | (F.col("_place") >= 0)
+        | F.col("_place").isNotNull()
         | (
             (F.col("_chunk") == F.lag("_chunk").over(across))
             & (F.col("_run") - F.lag("_run").over(across) > 1)
@@ -131,7 +131,7 @@ def sustained(
     )
     length = F.unix_micros("ended_at") - F.unix_micros("started_at")
     return (
-        runs.withColumn("_place", F.when(edge, F.lit(-1)).otherwise(F.col("_chunk")))
+        runs.withColumn("_place", F.when(~edge, F.col("_chunk")))
         .withColumn("_apart", F.coalesce(apart.cast("int"), F.lit(0)))
         .withColumn("_stretch", F.sum("_apart").over(across))
         .filter("_on")

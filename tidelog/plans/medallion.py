@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,8 +42,9 @@ def table_path(root: str, name: str) -> str:
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        # A folder that got no rows yet has no files to take the schema from.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -55,26 +57,39 @@ def _contract(spark: SparkSession, name: str, path: str) -> DataFrame:
     return df.select(*spec(name).schema.fieldNames())
 
 
+def contract_tables(spark: SparkSession, root: str, run_id: str) -> dict[str, DataFrame]:
+    """The landed Bronze tables and one version of Silver and Gold, as the suites see them."""
+    version = f"{root}/versions/{run_id}"
+    return {
+        name: _contract(spark, name, table_path(root if layer == "bronze" else version, name))
+        for layer, names in LAYERS.items()
+        for name in names
+    }
+
+
 def append_new(
-    rows: DataFrame, table: str, path: str, retention_days: int | None = None
+    rows: DataFrame,
+    table: str,
+    path: str,
+    ordered: bool,
+    retention_days: int | None = None,
 ) -> int:
-    """Append the Bronze rows whose records are not landed yet; nothing is written for none.
+    """Append the Bronze rows whose records are not landed yet and return their number.
 
     With the retention of the topic, only the table days that can overlap it are compared.
     """
-    layout = spec(table).layout
+    target = spec(table)
     landed = _existing(rows.sparkSession, path)
-    if landed is None:
-        return 0 if rows.isEmpty() else write_table(rows, path, layout)
-    derived = {t.name for t in layout} - set(rows.columns)
-    check_compatible(
-        StructType([f for f in landed.schema if f.name not in derived]), rows.schema
-    )
-    if retention_days is not None:
-        oldest = F.date_sub(F.current_date(), retention_days + 1)
-        landed = landed.filter(F.col(layout[0].name) >= oldest)
-    fresh = unlanded(rows, landed)
-    return 0 if fresh.isEmpty() else write_table(fresh, path, layout)
+    if landed is not None:
+        derived = {t.name for t in target.layout} - set(rows.columns)
+        check_compatible(
+            StructType([f for f in landed.schema if f.name not in derived]), rows.schema
+        )
+        if retention_days is not None:
+            oldest = F.date_sub(F.current_date(), retention_days + 1)
+            landed = landed.filter(F.col(target.layout[0].name) >= oldest)
+        rows = unlanded(rows, landed, ordered)
+    return write_table(rows, path, target.layout, rebalance=target.mixed)
 
 
 def ingest_bronze(
@@ -93,9 +108,11 @@ def ingest_bronze(
         else:
             table = CDC_TABLES[entity]
             rows = parse_envelope(topic_values(records), run_ts)
-        # A re-delivered record is the same record; keep one within the snapshot as well.
-        fresh = rows.dropDuplicates(list(IDENTITY))
-        written[table] = append_new(fresh, table, table_path(root, table), retention_days)
+        if not topic.ordered:
+            # Files may overlap; offsets of a broker never repeat.
+            rows = rows.dropDuplicates(list(IDENTITY))
+        path = table_path(root, table)
+        written[table] = append_new(rows, table, path, topic.ordered, retention_days)
     return written
 
 
@@ -145,13 +162,9 @@ def run_batch(
         customer_metrics(built("silver.orders"), built("silver.customers"), as_of, run_ts),
     )
 
-    tables = {
-        name: _contract(spark, name, table_path(root if name.startswith("raw.") else version, name))
-        for names in LAYERS.values()
-        for name in names
-    }
     results = f"{version}/quality"
-    gate = run_gate(tables).withColumn("checked_at", F.current_timestamp())
+    gate = run_gate(contract_tables(spark, root, run_id))
+    gate = gate.withColumn("checked_at", F.current_timestamp())
     gate.write.mode("overwrite").parquet(results)
     green = is_green(spark.read.parquet(results))
     if green:

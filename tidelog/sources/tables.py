@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -57,18 +58,22 @@ def identity(column: str) -> Transform:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Name, schema, partition layout and file size of a table."""
+    """Name, schema, partition layout and file size of a table.
+
+    ``mixed``: the rows of one write belong to many partitions, in any order.
+    """
 
     name: str
     schema: StructType
     layout: tuple[Transform, ...] = ()
     file_bytes: int = RAW_FILE_BYTES
+    mixed: bool = True
 
 
 TABLES = (
-    TableSpec("raw.cdc_orders", schemas.BRONZE_CDC, (days("ingested_at"),)),
-    TableSpec("raw.cdc_customers", schemas.BRONZE_CDC, (days("ingested_at"),)),
-    TableSpec("raw.cdc_order_items", schemas.BRONZE_CDC, (days("ingested_at"),)),
+    TableSpec("raw.cdc_orders", schemas.BRONZE_CDC, (days("ingested_at"),), mixed=False),
+    TableSpec("raw.cdc_customers", schemas.BRONZE_CDC, (days("ingested_at"),), mixed=False),
+    TableSpec("raw.cdc_order_items", schemas.BRONZE_CDC, (days("ingested_at"),), mixed=False),
     TableSpec("raw.kafka_events", schemas.BRONZE_EVENTS, (days("event_ts"), identity("topic"))),
     TableSpec("silver.orders", schemas.SILVER_ORDERS, (days("created_at"),)),
     TableSpec("silver.customers", schemas.SILVER_CUSTOMERS, (days("created_at"),)),
@@ -98,23 +103,24 @@ def with_layout(df: DataFrame, layout: Sequence[Transform]) -> DataFrame:
 
 
 @contextmanager
-def _conf(spark: SparkSession, **values: str) -> Iterator[None]:
-    names = {name.replace("__", "."): value for name, value in values.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
+def _conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run a write and return its row count, taken from the write itself."""
+    """Run a write and return its row count, taken from the write itself.
+
+    The count must sit on top of the plan: adaptive execution drops everything below a shuffle
+    that turns out empty, and the count with it.
+    """
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return int(seen.get["rows"])
@@ -126,46 +132,30 @@ def write_table(
     layout: Sequence[Transform] = (),
     mode: str = "append",
     file_bytes: int = RAW_FILE_BYTES,
+    rebalance: bool = True,
 ) -> int:
     """Write Snappy Parquet and return the number of rows.
 
     ``mode``: ``append``, ``overwrite`` (whole table) or ``partitions`` (only the partitions
-    that occur in ``df``). Rows are rebalanced by partition first: small partitions share a
-    task, a large one is split over several, and files come out near ``file_bytes``.
+    that occur in ``df``). ``rebalance`` gathers rows by partition first: small partitions share
+    a task, a large one is split over several, and files come out near ``file_bytes``. Leave it
+    out where the rows of a task belong together already.
     """
     spark = df.sparkSession
     names = [t.name for t in layout]
     laid = with_layout(df, layout)
-    overwrite = "dynamic" if mode == "partitions" else "static"
-    counted_rows = counted(
-        laid,
-        lambda rows: _save(
-            rows.hint("rebalance", *names) if names else rows.hint("rebalance"),
-            path,
-            names,
-            "append" if mode == "append" else "overwrite",
-            overwrite,
-            file_bytes,
-            spark,
-        ),
-    )
-    return counted_rows
-
-
-def _save(
-    rows: DataFrame,
-    path: str,
-    names: list[str],
-    mode: str,
-    overwrite: str,
-    file_bytes: int,
-    spark: SparkSession,
-) -> None:
-    with _conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=str(file_bytes)):
-        writer = rows.write.mode(mode).option("compression", "snappy")
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", overwrite)
-        (writer.partitionBy(*names) if names else writer).parquet(path)
+    if rebalance:
+        laid = laid.hint("rebalance", *names)
+
+    def save(rows: DataFrame) -> None:
+        writer = rows.write.mode("append" if mode == "append" else "overwrite")
+        writer = writer.option("compression", "snappy").option(
+            "partitionOverwriteMode", "dynamic" if mode == "partitions" else "static"
+        )
+        with _conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
+            (writer.partitionBy(*names) if names else writer).parquet(path)
+
+    return counted(laid, save)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -198,8 +188,8 @@ def bucket_upsert(
         return 0
     try:
         current = spark.read.parquet(path).filter(F.col(name).isin(touched)).drop(name)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         current = changes.limit(0)
     return write_table(upsert(current, changes, key, order), path, layout, "partitions")

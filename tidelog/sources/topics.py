@@ -24,6 +24,11 @@ class Topic:
         if (self.servers is None) == (self.path is None):
             raise ValueError("give either servers or path")
 
+    @property
+    def ordered(self) -> bool:
+        """Whether a snapshot holds each partition as one run of offsets without repeats."""
+        return self.servers is not None
+
     def kafka_options(self) -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.servers or "",
