@@ -69,9 +69,15 @@ def test_green_batch_builds_and_publishes_every_layer(shop, spark):
 
 def test_second_run_lands_only_new_records(shop, spark):
     shop.run("one")
-    shop.send("orders", change("d", before=order(2, "shipped", "5.00"), ts_ms=1_714_557_700_000))
+    shop.send(
+        "orders",
+        change("d", before=order(2, "shipped", "5.00"), ts_ms=1_714_557_700_000),
+        change("u", order(1, "confirmed", "9.00"), order(1, "confirmed", "nine"), ts_ms=1_714_557_700_000),
+    )
     done = shop.run("two")
-    assert done.rows["raw.cdc_orders"] == 1 and done.rows["raw.cdc_customers"] == 0
+    assert done.rows["raw.cdc_orders"] == 2 and done.rows["raw.cdc_customers"] == 0
+    assert done.rows["quarantine.orders"] == 1 and done.rows["quarantine.customers"] == 0
+    assert [r.reason for r in shop.read("two", "quarantine.orders").collect()] == ["bad total_amount"]
     assert [r.order_id for r in shop.read("two", "silver.orders").collect()] == ["1"]
     assert shop.read("one", "silver.orders").count() == 2
 

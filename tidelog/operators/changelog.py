@@ -23,16 +23,13 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the highest ``order`` per key (last write wins).
 
-    An aggregate, so each task sends at most one row per key through the shuffle and a key
-    with very many versions stays cheap.
+    Spark cuts each task to one row per key before the shuffle (WindowGroupLimit), so a key with
+    very many versions stays cheap. NULL orders lose.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)
-    rest = [c for c in df.columns if c not in keys]
-    latest = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*orders)).alias("_latest")
-    )
-    return latest.select(*[c if c in keys else F.col(f"_latest.{c}") for c in df.columns])
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in orders])
+    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
 def current_state(
@@ -101,20 +98,19 @@ def previous_in_log(
     outside it, so a second window holds one record per range. No task gets a whole hot key.
     """
     group = ["topic", "partition", key]
-    held = F.struct(F.col(value))
     inside = Window.partitionBy(*group, "_chunk").orderBy("offset")
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cut = (
         df.withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk)))
-        .withColumn("_before", F.lag(held).over(inside))
-        .withColumn("_last", F.last(held).over(whole))
+        .withColumn("_first", F.row_number().over(inside) == 1)
+        .withColumn("_before", F.lag(value).over(inside))
+        .withColumn("_last", F.last(value).over(whole))
     )
-    place = F.when(F.col("_before").isNotNull(), F.col("_chunk"))
-    across = Window.partitionBy(*group, "_place").orderBy("_chunk", "offset")
+    across = Window.partitionBy(*group, "_place").orderBy("_chunk")
     return (
-        cut.withColumn("_place", place)
+        cut.withColumn("_place", F.when(~F.col("_first"), F.col("_chunk")))
         .withColumn("_carried", F.lag("_last").over(across))
-        .withColumn("previous", F.coalesce("_before", "_carried")[value])
+        .withColumn("previous", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before")))
         .select(*df.columns, "previous")
     )
 

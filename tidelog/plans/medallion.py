@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidelog.operators.contracts import check_compatible
-from tidelog.operators.envelope import IDENTITY, bronze_events, parse_envelope, topic_values, unlanded
+from tidelog.operators.envelope import (
+    IDENTITY,
+    bronze_events,
+    parse_envelope,
+    quarantined,
+    topic_values,
+    unlanded,
+)
 from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import silver_customers, silver_order_items, silver_orders
 from tidelog.quality.gate import is_green, run_gate
 from tidelog.quality.suites import LAYERS
+from tidelog.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS
 from tidelog.sources.tables import publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
@@ -130,6 +138,7 @@ def run_batch(
 
     Every stage writes its table and the next one reads it back, so a lost executor never means
     starting over. A version lives in a folder of its own; views move to it only when green.
+    Records that cannot be used go to the version's quarantine tables with the reason.
     """
     rows = ingest_bronze(spark, topics, root, run_ts)
     version = f"{root}/versions/{run_id}"
@@ -147,6 +156,11 @@ def run_batch(
     def built(name: str) -> DataFrame:
         return read_table(spark, table_path(version, name), spec(name).schema)
 
+    for entity in (ORDERS, CUSTOMERS, ORDER_ITEMS):
+        name = f"quarantine.{entity.name}"
+        broken = quarantined(bronze(entity.name), entity)
+        rows[name] = write_table(broken, table_path(version, name), mode="overwrite", rebalance=False)
+
     build("silver.orders", silver_orders(bronze("orders"), deletes))
     build("silver.customers", silver_customers(bronze("customers"), deletes))
     build(
