@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,7 +23,7 @@ from tidelog.operators.silver import silver_customers, silver_order_items, silve
 from tidelog.quality.gate import is_green, run_gate
 from tidelog.quality.suites import LAYERS
 from tidelog.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS
-from tidelog.sources.tables import publish, read_table, spec, write_table
+from tidelog.sources.tables import existing, publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
 CDC_TABLES = {
@@ -47,19 +46,9 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{name.replace('.', '/')}"
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        # A folder that got no rows yet has no files to take the schema from.
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def _contract(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Contract columns of a table; a table that was never written counts as empty."""
-    df = _existing(spark, path)
+    df = existing(spark, path)
     if df is None:
         return spark.createDataFrame([], spec(name).schema)
     return df.select(*spec(name).schema.fieldNames())
@@ -87,7 +76,7 @@ def append_new(
     With the retention of the topic, only the table days that can overlap it are compared.
     """
     target = spec(table)
-    landed = _existing(rows.sparkSession, path)
+    landed = existing(rows.sparkSession, path)
     if landed is not None:
         derived = {t.name for t in target.layout} - set(rows.columns)
         check_compatible(

@@ -158,6 +158,21 @@ def write_table(
     return counted(laid, save)
 
 
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None where nothing was written yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # A write of no rows leaves no file to take the schema from.
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Table by path or catalog name; with a schema, its columns without layout columns."""
     df = spark.read.parquet(path) if "/" in path else spark.table(path)
@@ -186,12 +201,8 @@ def bucket_upsert(
     ]
     if not touched:
         return 0
-    try:
-        current = spark.read.parquet(path).filter(F.col(name).isin(touched)).drop(name)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        current = changes.limit(0)
+    state = existing(spark, path)
+    current = changes.limit(0) if state is None else state.filter(F.col(name).isin(touched)).drop(name)
     return write_table(upsert(current, changes, key, order), path, layout, "partitions")
 
 

@@ -326,26 +326,38 @@ def latest_window_emission(spark, sf):
 # Quality
 
 
-def quality_tables(spark, sf) -> dict[str, DataFrame]:
-    def contract(df: DataFrame, schema) -> DataFrame:
-        return df.select(*schema.fieldNames())
-
-    return {
-        "raw.kafka_events": envelope.bronze_events(logs.event_records(spark, sf), domain.RUN_TS),
-        "raw.cdc_orders": contract(logs.bronze_orders(spark, sf), schemas.BRONZE_CDC),
-        "raw.cdc_customers": contract(logs.bronze_customers(spark, sf), schemas.BRONZE_CDC),
-        "raw.cdc_order_items": contract(logs.bronze_order_items(spark, sf), schemas.BRONZE_CDC),
-        "silver.orders": domain.silver_orders(spark, sf),
-        "silver.customers": domain.silver_customers(spark, sf),
-        "silver.order_items": domain.silver_order_items(spark, sf),
-        "gold.daily_revenue": domain.gold_daily_revenue(spark, sf),
-        "gold.customer_metrics": domain.gold_customer_metrics(spark, sf),
-    }
+def _contract(df: DataFrame, schema) -> DataFrame:
+    return df.select(*schema.fieldNames())
+
+
+QUALITY_TABLES: dict[str, Query] = {
+    "raw.kafka_events": lambda spark, sf: envelope.bronze_events(
+        logs.event_records(spark, sf), domain.RUN_TS
+    ),
+    "raw.cdc_orders": lambda spark, sf: _contract(
+        logs.bronze_orders(spark, sf), schemas.BRONZE_CDC
+    ),
+    "raw.cdc_customers": lambda spark, sf: _contract(
+        logs.bronze_customers(spark, sf), schemas.BRONZE_CDC
+    ),
+    "raw.cdc_order_items": lambda spark, sf: _contract(
+        logs.bronze_order_items(spark, sf), schemas.BRONZE_CDC
+    ),
+    "silver.orders": domain.silver_orders,
+    "silver.customers": domain.silver_customers,
+    "silver.order_items": domain.silver_order_items,
+    "gold.daily_revenue": domain.gold_daily_revenue,
+    "gold.customer_metrics": domain.gold_customer_metrics,
+}
+
+
+def quality_tables(spark, sf, layers=tuple(LAYERS)) -> dict[str, DataFrame]:
+    return {n: QUALITY_TABLES[n](spark, sf) for layer in layers for n in LAYERS[layer]}
 
 
 def _suite_query(name: str) -> Query:
     def run(spark, sf):
-        return evaluate(quality_tables(spark, sf)[name], name, SUITES[name])
+        return evaluate(QUALITY_TABLES[name](spark, sf), name, SUITES[name])
 
     run.__name__ = "dq_suite_" + name.replace("raw.", "bronze_").replace(".", "_")
     return query(run)
@@ -362,7 +374,8 @@ def dq_gate_summary(spark, sf):
 
 @query
 def dq_suite_summary(spark, sf):
-    results = gate.run_gate(quality_tables(spark, sf), tuple(x for x in LAYERS if x != "bronze"))
+    layers = ("silver", "gold")
+    results = gate.run_gate(quality_tables(spark, sf, layers), layers)
     return gate.suite_summary(results).withColumn("failures", F.concat_ws("; ", "failures"))
 
 
