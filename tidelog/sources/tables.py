@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidelog import schemas
+from tidelog.session import setting
 
 RAW_FILE_BYTES = 128 << 20
 GOLD_FILE_BYTES = 64 << 20
@@ -102,19 +102,6 @@ def with_layout(df: DataFrame, layout: Sequence[Transform]) -> DataFrame:
     return df.withColumns({t.name: t.value() for t in layout if t.kind != "identity"})
 
 
-@contextmanager
-def _conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run a write and return its row count, taken from the write itself.
 
@@ -152,7 +139,7 @@ def write_table(
         writer = writer.option("compression", "snappy").option(
             "partitionOverwriteMode", "dynamic" if mode == "partitions" else "static"
         )
-        with _conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
+        with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
             (writer.partitionBy(*names) if names else writer).parquet(path)
 
     return counted(laid, save)

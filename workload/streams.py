@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelog import schemas
 from tidelog.functions.columns import money
 from tidelog.operators.envelope import bronze_events
-from tidelog.session import ROCKSDB, new_folder
+from tidelog.session import ROCKSDB, new_folder, setting
 from tidelog.sources.topics import Topic, from_messages, read_records, stream_records
 from tidelog.streaming.jobs import start_append, start_bronze, start_order_revenue
 from tidelog.streaming.windows import tumbling_revenue
@@ -44,12 +44,16 @@ def slices(records: DataFrame) -> list[DataFrame]:
     return parts
 
 
-def _feed(parts: list[DataFrame], path: str, run) -> None:
-    """Write each part and let the stream, restarted from its checkpoint, read what is new."""
+def _feed(spark: SparkSession, parts: list[DataFrame], path: str, run) -> None:
+    """Write each part and let the stream, restarted from its checkpoint, read what is new.
+
+    One state partition per core: the number is fixed for the life of a checkpoint.
+    """
+    cores = str(spark.sparkContext.defaultParallelism)
     for part in parts:
         part.write.mode("append").parquet(path)
-        query = run()
-        query.awaitTermination()
+        with setting(spark, "spark.sql.shuffle.partitions", cores):
+            run().awaitTermination()
 
 
 def stream_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,7 @@ def stream_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = Topic("cdc.orders", path=f"{root}/in")
     sink = Topic("gold.order-revenue-1m", path=f"{root}/out")
     _feed(
+        spark,
         slices(logs.order_records(spark, sf_dir)),
         source.path,
         lambda: start_order_revenue(spark, source, sink, f"{root}/checkpoint"),
@@ -79,7 +84,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
         windows = tumbling_revenue(rows.withWatermark("ts", "5 seconds"), "ts", "amount")
         return start_append(windows, f"{root}/out", f"{root}/checkpoint")
 
-    _feed(slices(records), topic.path, run)
+    _feed(spark, slices(records), topic.path, run)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -91,7 +96,7 @@ def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = bronze_events(stream_records(spark, topic), RUN_TS)
         return start_append(rows, f"{root}/out", f"{root}/checkpoint")
 
-    _feed(slices(logs.event_records(spark, sf_dir)), topic.path, run)
+    _feed(spark, slices(logs.event_records(spark, sf_dir)), topic.path, run)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -99,6 +104,7 @@ def stream_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "cdc-orders")
     topic = Topic("cdc.orders", path=f"{root}/in")
     _feed(
+        spark,
         slices(logs.order_records(spark, sf_dir)),
         topic.path,
         lambda: start_bronze(spark, topic, f"{root}/out", f"{root}/checkpoint", RUN_TS),
