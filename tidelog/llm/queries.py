@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import speculative_bpe, token_prefixes
+from tidelog.llm import pu_quality, speculative_bpe, tensored_minhash, token_prefixes
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every text, as digests."""
     return speculative_bpe.digests(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, learnt from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = pu_quality.train(docs, labels)
+    scores = pu_quality.scored(docs.select("doc_id", "text"), weights)
+    return scores.select("doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose two-word shingle sets are similar by 0.8 or more."""
+    return tensored_minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, similarity=80)
