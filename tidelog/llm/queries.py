@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import pu_quality, speculative_bpe, tensored_minhash, token_prefixes
+from tidelog.llm import decontamination, pu_quality, speculative_bpe, tensored_minhash, token_prefixes
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingle sets are similar by 0.8 or more."""
     return tensored_minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, similarity=80)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item where a passage of the document holds the item."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
