@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, pu_quality, speculative_bpe, tensored_minhash, token_prefixes
+from tidelog.llm import decontamination, pu_quality, speculative_bpe, tensored_minhash, token_prefixes, warc
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item where a passage of the document holds the item."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back by byte ranges."""
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")), payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
