@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, pu_quality, speculative_bpe, tensored_minhash, token_prefixes, warc
+from tidelog.llm import decontamination, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives and read back by byte ranges."""
     records = warc.read(warc.write(table(spark, sf_dir, "pages")), payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: base matches, and the spans that the field adds."""
+    docs = table(spark, sf_dir, "documents")
+    return semi_markov_pii.spans(docs, semi_markov_pii.train(docs))
