@@ -42,6 +42,7 @@ _TRIGGER = re.compile(r"[0-9]{2,}|@|[\[(]at[\])]| dot ", re.I)
 _WORD = re.compile(r"\S+")
 _EDGE_LEFT, _EDGE_RIGHT = "\"'<[{,;:", "\"'>]},;:.!?"
 _SPELLED_AT, _SPELLED_DOT = re.compile(r"[\[(]at[\])]| at ", re.I), re.compile(r"[\[(]dot[\])]| dot ", re.I)
+_JOINT = re.compile(r"^[\[(]?(at|dot)[\])]?$", re.I)
 _NAMED = re.compile(r"^(password|passwd|pwd|token|secret|api[_-]?key)\b", re.I)
 _SECRET = re.compile(r"(?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=:]\s?\"?([A-Za-z0-9_-]{12,})", re.I)
 _GROUP = re.compile(r"[0-9]+")
@@ -56,8 +57,8 @@ def _trimmed(text: str, begin: int, end: int) -> tuple[int, int]:
     return begin, end
 
 
-def features(text: str, begin: int, end: int, words: int, before: str) -> np.ndarray:
-    """Whole-span features of a candidate segment; ``before`` is the word in front of it."""
+def features(text: str, begin: int, end: int, words: int, before: str, after: str) -> np.ndarray:
+    """Whole-span features of a candidate segment between the words ``before`` and ``after``."""
     s = text[begin:end]
     digits = digits_of(s)
     n = len(digits)
@@ -79,6 +80,7 @@ def features(text: str, begin: int, end: int, words: int, before: str) -> np.nda
             bool(_SPELLED_AT.search(spaced) and (_SPELLED_DOT.search(spaced) or "." in s)) and words >= 2, bool(_SPELLED_DOT.search(spaced)),
             longest >= 12, longest >= 16, longest >= 12 and bool(_NAMED.match(s)), longest >= 12 and bool(_NAMED.match(before)),
             letters > 0 and longest == 0 and "@" not in s, words / WORDS, len(s) / LETTERS, s[:1] in "-./" or s[-1:] in "-/(",
+            bool(_JOINT.match(before)), bool(_JOINT.match(after)),
         ],
         dtype=np.float64,
     )
@@ -109,7 +111,8 @@ class Stretch:
                 if e > b and _possible(text[b:e]):
                     before = text[slice(*self.words[i - 1])] if i else ""
                     self.segments.append((i, j + 1, b, e))
-                    rows.append(features(text, b, e, j - i + 1, before))
+                    after = text[slice(*self.words[j + 1])] if j + 1 < len(self.words) else ""
+                    rows.append(features(text, b, e, j - i + 1, before, after))
         self.x = np.stack(rows) if rows else np.zeros((0, 0))
         self.by_end: dict[int, list[int]] = {}
         for k, (_, j, _, _) in enumerate(self.segments):
