@@ -65,7 +65,7 @@ def features(text: str, begin: int, end: int, words: int, before: str, after: st
     groups = _GROUP.findall(s)
     sizes = [len(g) for g in groups]
     letters = sum(c.isalpha() for c in s)
-    spaced = f" {s} "
+    spaced, parts = f" {s} ", s.split()
     longest = max((len(w) for w in re.findall(r"[A-Za-z0-9_-]+", s) if any(c.isdigit() for c in w) and any(c.isalpha() for c in w)), default=0)
     bare = letters == 0
     return np.array(
@@ -80,7 +80,7 @@ def features(text: str, begin: int, end: int, words: int, before: str, after: st
             bool(_SPELLED_AT.search(spaced) and (_SPELLED_DOT.search(spaced) or "." in s)) and words >= 2, bool(_SPELLED_DOT.search(spaced)),
             longest >= 12, longest >= 16, longest >= 12 and bool(_NAMED.match(s)), longest >= 12 and bool(_NAMED.match(before)),
             letters > 0 and longest == 0 and "@" not in s, words / WORDS, len(s) / LETTERS, s[:1] in "-./" or s[-1:] in "-/(",
-            bool(_JOINT.match(before)), bool(_JOINT.match(after)),
+            bool(_JOINT.match(before)), bool(_JOINT.match(after)), bool(_JOINT.match(parts[0])), bool(_JOINT.match(parts[-1])),
         ],
         dtype=np.float64,
     )
