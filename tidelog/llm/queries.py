@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
+from tidelog.llm import decontamination, host_suffixes, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every text: base matches, and the spans that the field adds."""
     docs = table(spark, sf_dir, "documents")
     return semi_markov_pii.spans(docs, semi_markov_pii.train(docs))
+
+
+@query
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return host_suffixes.main_text(table(spark, sf_dir, "pages"))
