@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, host_suffixes, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
+from tidelog.llm import decontamination, host_suffixes, order_minhash, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return host_suffixes.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of every text and of its edited text."""
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
