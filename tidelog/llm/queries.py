@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, host_suffixes, order_minhash, pu_quality, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
-from tidelog.llm.common import table
+from tidelog.llm import decontamination, host_suffixes, order_minhash, pu_quality, reply_trees, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
+from tidelog.llm.common import landed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +86,26 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash fingerprints of every text and of its edited text."""
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that is hard to escape, formatted and read back."""
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(hard).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = landed(reply_trees.conversations(reply_trees.threads(rows)), "formatted")
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return reply_trees.read_back(formatted).select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
