@@ -19,12 +19,12 @@ with it. Empty tables give an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import blocks, landed, mixed, ship, words_of
@@ -170,48 +170,62 @@ class Index:
         return [(text, item, *row) for (text, item), row in sorted(found.items())]
 
 
-def contaminated(
-    docs: DataFrame,
-    items: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    item: str = "item_id",
-    question: str | None = None,
-    answer: str | None = None,
-    item_text: str = "text",
-) -> DataFrame:
-    """``key``, item_id, score (share of the item's own), both overlaps and the passage's first word, for every text and item that match."""
-    spark = ship(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("id"), F.lower(text).alias("text"))
+def indexes(items: DataFrame, key: str = "item_id", text: str = "text", question: str | None = None, answer: str | None = None) -> Iterator[Broadcast]:
+    """The shards of the index over all items, each with about ``SHARD`` items."""
+    spark = ship(items.sparkSession)
     if question and answer:
         asked, told = F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))
     else:
         # The item's words in two halves: the first is the question.
-        parts = F.regexp_extract_all(F.coalesce(F.col(item_text), F.lit("")), F.lit(r"\S+"), F.lit(0))
+        parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+"), F.lit(0))
         half = F.ceil(F.size(parts) / 2).cast("int")
         asked, told = F.array_join(F.slice(parts, F.lit(1), half), " "), F.array_join(F.slice(parts, half + 1, F.size(parts)), " ")
-    tests = items.select(F.col(item).alias("name"), F.lower(asked).alias("question"), F.lower(told).alias("answer"))
+    tests = items.select(F.col(key).alias("name"), F.lower(asked).alias("question"), F.lower(told).alias("answer"))
     tests = landed(tests.withColumn("item", F.monotonically_increasing_id()), "items")
     weights = landed(postings(tests.select("item", F.concat_ws(" ", "question", "answer").alias("text"))), "postings")
     shards = -(-tests.count() // SHARD)
-    kind = dict(docs.dtypes)[key]
-    schema = f"id {kind}, item_id {dict(items.dtypes)[item]}, score double, question_overlap double, answer_overlap double, first_word long"
-    found = spark.createDataFrame([], schema)
     for shard in range(shards):
         mine = F.pmod(F.xxhash64("item"), F.lit(shards)) == shard
         # About SHARD items and their postings: bounded, whatever the number of items.
         terms = weights.where(mine).select("item", "word", "impact").orderBy("item", "word").toPandas()
         kept = set(terms["item"].tolist())
         held = [r for r in tests.where(mine).orderBy("item").collect() if r["item"] in kept]
-        if not held:
-            continue
-        number = {r["item"]: i for i, r in enumerate(held)}
-        owners = terms["item"].map(number).to_numpy(dtype=np.int64)
-        index = Index([(r["name"], r["question"], r["answer"]) for r in held], terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy())
-        found = found.unionByName(rows.mapInArrow(_search(spark.sparkContext.broadcast(index)), schema))
+        if held:
+            number = {r["item"]: i for i, r in enumerate(held)}
+            owners = terms["item"].map(number).to_numpy(dtype=np.int64)
+            rows = [(r["name"], r["question"], r["answer"]) for r in held]
+            yield spark.sparkContext.broadcast(Index(rows, terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy()))
+
+
+def contaminated(docs: DataFrame, shards: Iterable[Broadcast], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, item_id, score (share of the item's own), both overlaps and the passage's first word, for every text and item that match."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(key).alias("id"), F.lower(text).alias("text"))
+    schema = f"id {dict(docs.dtypes)[key]}, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
+    found = spark.createDataFrame([], schema)
+    for shard in shards:
+        found = found.unionByName(rows.mapInArrow(_search(shard), schema))
     return found.withColumnRenamed("id", key)
 
 
+def clean(docs: DataFrame, shards: Iterable[Broadcast], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that no item matches, with their columns."""
+    for shard in shards:
+        docs = docs.where(~F.coalesce(_holds(shard)(F.lower(text)), F.lit(False)))
+    return docs
+
+
+def _holds(shared: Broadcast) -> Callable[[Column], Column]:
+    @F.arrow_udf("boolean")
+    def holds(column: pa.Array) -> pa.Array:
+        hit = np.zeros(len(column), dtype=bool)
+        for start, held in blocks(column):
+            hit[[start + row[0] for row in shared.value.matches(held)]] = True
+        return pa.array(hit)
+
+    return holds
+
+
 def _search(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -220,10 +234,10 @@ def _search(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 found = index.matches(held)
                 if not found:
                     continue
-                doc, item, *rest = zip(*found, strict=True)
+                text, item, *rest = zip(*found, strict=True)
                 names = pa.array([index.names[i] for i in item], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([start + d for d in doc])), names, *(pa.array(r, pa.float64()) for r in rest[:3]), pa.array(rest[3], pa.int64())],
+                    [batch.column(0).take(pa.array([start + t for t in text])), names, *(pa.array(r, pa.float64()) for r in rest[:3]), pa.array(rest[3], pa.int64())],
                     ["id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"],
                 )
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import blocks, mixed, ship, words_of
+from tidelog.llm.common import blocks, fresh_name, mixed, ship, words_of
 
 #: Bound on the positives that training reads; unlabelled texts are bounded by twice as many.
 SAMPLE = 8_000
@@ -171,21 +171,21 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return np.array(model[0]["weights"]) if model else None
 
 
-def scored(docs: DataFrame, weights: np.ndarray | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the columns score (0 to 1, higher is better) and predicted (1 from 0.5 on)."""
+def scored(docs: DataFrame, weights: np.ndarray | None, text: str = "text", score: str = "score") -> DataFrame:
+    """``docs`` with a column of scores, from 0 to 1 and higher for better texts."""
     ship(docs.sparkSession)
-    kept = docs.drop("score", "predicted")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("text__"))
-            for start, held in blocks(column):
-                score = np.full(len(held), 0.5) if weights is None else _score(held, weights)
-                cut = batch.slice(start, len(held))
-                yield pa.RecordBatch.from_arrays(
-                    [*cut.columns[:-1], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
-                )
+    @F.arrow_udf("double")
+    def rate(column: pa.Array) -> pa.Array:
+        parts = [np.zeros(0)]
+        for _, held in blocks(column):
+            parts.append(np.full(len(held), 0.5) if weights is None else _score(held, weights))
+        return pa.array(np.concatenate(parts))
+
+    return docs.withColumn(score, rate(F.col(text)))
+
 
-    names = kept.columns
-    kinds = ", ".join(f"`{n}` {kept.schema[n].dataType.simpleString()}" for n in names)
-    return kept.withColumn("text__", F.col(text)).mapInArrow(run, f"{kinds}, score double, predicted int")
+def good(docs: DataFrame, weights: np.ndarray | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores 0.5 or more, with their columns."""
+    score = fresh_name(docs, "score")
+    return scored(docs, weights, text, score).where(F.col(score) >= 0.5).drop(score)

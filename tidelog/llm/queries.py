@@ -47,7 +47,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = pu_quality.train(docs, labels)
     scores = pu_quality.scored(docs.select("doc_id", "text"), weights)
-    return scores.select("doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scores.select(
+        "doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 @query
@@ -59,7 +61,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item where a passage of the document holds the item."""
-    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), decontamination.indexes(table(spark, sf_dir, "benchmark")))
 
 
 @query
