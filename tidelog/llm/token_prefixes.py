@@ -111,13 +111,10 @@ class TextCounter:
     def at(self, text: str, ends: list[int], counts: list[int], length: int) -> int:
         """Token count of the first ``length`` code points.
 
-        A cut inside a word changes how that word and the white space before it are split, never what
-        stands before them, so only those two are looked at again.
+        A cut changes how the word it falls into and the white space before it (two words at most) are
+        split, never what stands before them, so only those are looked at again.
         """
-        k = bisect_right(ends, length)
-        if k and ends[k - 1] == length and (k == len(ends) or not text[ends[k - 1] - 1].isspace()):
-            return counts[k - 1]
-        k = max(0, k - 1)
+        k = max(0, bisect_right(ends, length) - 2)
         begin, before = (ends[k - 1], counts[k - 1]) if k else (0, 0)
         return before + self.total(text[begin:length])
 
