@@ -6,9 +6,10 @@ cost 2 * HALF * WIDTH minima instead of HALF times as many. Two documents of sim
 chance 2 (1 - s^WIDTH)^HALF at most: 7e-5 at 0.8, 2e-6 at 0.85.
 
 Documents with equal shingle sets form a class first and go on as one. In each bucket, split by set
-size, every class is compared with the first one; buckets whose classes are still in different
-components then yield all their pairs across components whose sketches are near enough. Each
-candidate pair is confirmed on the full shingle sets.
+size, every class is compared with the first one. Buckets whose classes are then still in different
+components go on with the classes that can have a link at all (enough of their shingles stand in others), and yield the
+pairs across components that sizes, shared shingles and sketches allow, each pair once. Each candidate
+pair is confirmed on the full shingle sets.
 
 Null texts, empty texts and texts without words have an empty set and are linked with nothing. Rows
 that repeat an id are rows of one document: each gets its row, and the smallest id names a component.
@@ -121,7 +122,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """``key, id, n, sketch`` for every class and table whose bucket holds several classes."""
+    """``key, table, id, n, keys, sketch`` for every class and table whose bucket holds several classes."""
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,30 +138,29 @@ def _buckets(classes: DataFrame) -> DataFrame:
             keys = _table_keys(_matrix(batch.column(2), 2 * HALF))
             row, table = np.nonzero(passes(bitmap.value, keys.ravel()).reshape(keys.shape))
             cut = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[row, table].astype(np.int64)), cut.column(0), cut.column(1), cut.column(3)], ["key", "id", "n", "sketch"])
+            key, number = pa.array(keys[row, table].astype(np.int64)), pa.array(table.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([key, number, *cut.columns], ["key", "table", *cut.schema.names])
 
-    rows = classes.select("id", "n", "keys", "sketch").mapInArrow(likely, "key long, id long, n long, sketch array<long>")
+    rows = classes.select("id", "n", "keys", "sketch").mapInArrow(likely, "key long, table int, id long, n long, keys array<long>, sketch array<long>")
     return landed(rows.join(shared_keys, "key", "left_semi"), "buckets")
 
 
-def _size_class(n: Column, similarity: int) -> Column:
-    """Two neighbouring size classes; sets whose sizes allow the similarity share one of them."""
-    band = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / similarity)) + F.lit(1e-9)).cast("int")
-    return F.explode(F.array(band, band + 1))
+def _band(n: Column, similarity: int) -> Column:
+    """Size class of a set. Sets whose sizes allow the similarity are in the same class or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / similarity)) + F.lit(1e-9)).cast("int")
 
 
 def _sizes_allow(a: str, b: str, similarity: int) -> Column:
     return 100 * F.least(a, b) >= similarity * F.greatest(a, b)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets are similar enough."""
-    ids = landed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
+def _sets(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``id, shingles`` of some documents, worked out again from their texts."""
     bitmap = key_filter(ids, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = passes(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))
+            keep = passes(bitmap.value, batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False))
             batch = batch.filter(pa.array(keep))
             for start, held in blocks(batch.column(1)):
                 sets = shingle_sets(held, size)
@@ -168,9 +168,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) ->
                 values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), values], ["id", "shingles"])
 
-    sets = docs.mapInArrow(run, "id long, shingles array<long>").join(ids, "id", "left_semi")
-    # Rows that repeat an id may differ in text; the smallest set stands for the id, as in the classes.
-    sets = landed(sets, "sets")
+    return landed(docs.mapInArrow(run, "id long, shingles array<long>").join(ids, "id", "left_semi"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
+    """The pairs ``a, b`` whose full shingle sets are similar enough."""
+    ids = landed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
+    sets = _sets(ids, docs, size)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
@@ -178,6 +182,54 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) ->
     return joined.where(100 * common >= similarity * (F.size("left") + F.size("right") - common)).select("a", "b")
 
 
+def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
+    """``id, shared`` of documents that can have a link with another of them at all.
+
+    ``shared`` counts the shingles that some other of them has too. A link needs it to be at least the
+    similarity's share of the set, so the others leave, and then the count is taken again without them.
+    """
+    rows = _sets(ids, docs, size).select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    for _ in range(2):
+        common = landed(rows.groupBy("shingle").count().where("count > 1").select("shingle"), "common")
+        rows = rows.join(common, "shingle", "left_semi")
+        shared = rows.groupBy("id").agg(F.first("n").alias("n"), F.count("*").alias("shared"))
+        shared = landed(shared.where(100 * F.col("shared") >= similarity * F.col("n")).select("id", "shared"), "linkable")
+        rows = rows.join(shared, "id", "left_semi")
+    return shared
+
+
+def _across(rest: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``a, b`` of a bucket that are in different components and may be similar enough, each pair once.
+
+    Two classes may meet in many tables; the pair comes from the first one, which the equal keys of
+    the two collections tell, and from the size class of the larger set.
+    """
+    other = rest.select("key", "class", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "band", "shared", "keys", "sketch", "component")))
+    words = -(-_FUNCTIONS * _BITS // 60)
+    far = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i])) for i in range(words)), F.lit(0))
+    most = F.least("shared", "other_shared")  # bounds the intersection
+
+    def first(begin: int) -> Column:
+        equal = F.zip_with(F.slice("keys", begin + 1, HALF), F.slice("other_keys", begin + 1, HALF), lambda x, y: x == y)
+        return F.array_position(equal, True) - 1
+
+    return rest.join(other, ["key", "class"]).where(
+        (F.col("id") < F.col("other_id"))
+        & (F.col("component") != F.col("other_component"))
+        & (F.col("class") == F.greatest("band", "other_band"))
+        & _sizes_allow("n", "other_n", similarity)
+        & (100 * most >= similarity * (F.col("n") + F.col("other_n") - most))
+        & (far <= _FAR)
+        & (F.col("table") == first(0) * HALF + first(HALF))
+    ).select(F.col("id").alias("a"), F.col("other_id").alias("b"))
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """The groups ``key, class`` that hold classes of more than one component."""
+    spans = placed.groupBy("key", "class").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return landed(spans.where("low < high").select("key", "class"), "apart")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_shingles, component_id and kept for every row; ``similarity`` is a percentage of at least 80."""
     ship(docs.sparkSession)
@@ -188,7 +240,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: s
     classes = landed(classes, "classes")
     buckets = _buckets(classes)
 
-    sized = landed(buckets.withColumn("class", _size_class(F.col("n"), similarity)), "sized")
+    band = _band(F.col("n"), similarity)
+    sized = landed(buckets.withColumn("band", band).withColumn("class", F.explode(F.array(F.col("band"), F.col("band") + 1))), "sized")
     heads = landed(sized.groupBy("key", "class").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1"), "heads")
     stars = sized.join(heads, ["key", "class"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     stars = landed(stars, "stars")
@@ -198,17 +251,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: s
     # What the first comparison left apart: groups of a bucket with more than one component.
     placed = sized.join(found, sized["id"] == found["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
     placed = landed(placed, "placed")
-    apart = placed.groupBy("key", "class").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    apart = landed(apart.select("key", "class"), "apart")
-    rest = landed(placed.join(apart, ["key", "class"], "left_semi"), "rest")
-    other = rest.select("key", "class", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "sketch", "component")))
-    words = -(-_FUNCTIONS * _BITS // 60)
-    far = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i])) for i in range(words)), F.lit(0))
-    across = rest.join(other, ["key", "class"]).where(
-        (F.col("id") < F.col("other_id")) & (F.col("component") != F.col("other_component")) & _sizes_allow("n", "other_n", similarity) & (far <= _FAR)
-    )
-    across = across.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    across = landed(across, "across")
+    apart = _apart(placed)
+    linkable = _linkable(placed.join(apart, ["key", "class"], "left_semi").select("id").distinct(), rows, size, similarity)
+    rest = landed(placed.join(linkable, "id"), "rest")
+    rest = landed(rest.join(_apart(rest), ["key", "class"], "left_semi"), "rest")
+    across = landed(_across(rest, similarity).join(stars, ["a", "b"], "left_anti"), "across")
     more = landed(_confirmed(across, rows, size, similarity), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
