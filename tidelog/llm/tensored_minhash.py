@@ -7,9 +7,10 @@ chance 2 (1 - s^WIDTH)^HALF at most: 7e-5 at 0.8, 2e-6 at 0.85.
 
 Documents with equal shingle sets form a class first and go on as one. In each bucket, split by set
 size, every class is compared with the first one. Buckets whose classes are then still in different
-components go on with the classes that can have a link at all (enough of their shingles stand in others), and yield the
-pairs across components that sizes, shared shingles and sketches allow, each pair once. Each candidate
-pair is confirmed on the full shingle sets.
+components go on with the classes that can have a link at all (enough of their shingles stand in
+others). These are compared with the most central class of their group, and what that leaves apart yields
+the pairs across components that sizes, shared shingles, the shingles in common with the central class,
+and sketches allow, each pair once. Each candidate pair is confirmed on the full shingle sets.
 
 Null texts, empty texts and texts without words have an empty set and are linked with nothing. Rows
 that repeat an id are rows of one document: each gets its row, and the smallest id names a component.
@@ -34,8 +35,11 @@ HALF, WIDTH = 10, 2
 #: Bits kept of each minimum in the sketch, and how many may differ between near documents. At
 #: similarity 0.8 the mean is 24 of 240 and more than 72 has a chance below 1e-6.
 _BITS, _FAR = 6, 72
+#: A finer sketch for classes that are still apart: minima, their bits, and how many of all bits may
+#: differ. At similarity 0.8 the mean is 102 of 1024, and more than 176 has a chance below 1e-6.
+_FINE, _FINE_BITS, _FINE_FAR = 256, 4, 176
 _FUNCTIONS = 2 * HALF * WIDTH
-_FACTORS = mixed(np.arange(1, _FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+_FACTORS = mixed(np.arange(1, _FUNCTIONS + _FINE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 _FIRST, _SECOND = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -60,29 +64,38 @@ def shingle_sets(documents: list[bytes], size: int) -> list[np.ndarray]:
     return sets
 
 
-def _sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of non-empty sets: two fingerprints (n x 2), the short keys (n x 2 HALF) and the packed sketch (n x 4)."""
-    sizes = np.array([len(s) for s in sets])
+def _minima(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over each of some non-empty sets."""
     every = np.concatenate(sets)
+    sizes = np.array([len(s) for s in sets])
     begins = np.cumsum(sizes) - sizes
-    prints = np.column_stack([np.add.reduceat(mixed(every * _FIRST), begins), np.add.reduceat(mixed(every * _SECOND), begins)])
-    minima = np.empty((len(sets), _FUNCTIONS), dtype=np.uint64)
-    for i, factor in enumerate(_FACTORS):
+    minima = np.empty((len(sets), len(factors)), dtype=np.uint64)
+    for i, factor in enumerate(factors):
         value = every * factor
         value ^= value >> np.uint64(32)
         value *= _SECOND
         minima[:, i] = np.minimum.reduceat(value, begins)
-    minima = mixed(minima)
+    return mixed(minima)
+
+
+def _packed(minima: np.ndarray, bits: int) -> np.ndarray:
+    """The lowest bits of the minima, side by side in 64-bit numbers."""
+    per = 64 // bits
+    low = minima & np.uint64((1 << bits) - 1)
+    parts = [low[:, k : k + per] << (np.arange(low[:, k : k + per].shape[1], dtype=np.uint64) * np.uint64(bits)) for k in range(0, low.shape[1], per)]
+    return np.column_stack([np.bitwise_or.reduce(p, axis=1) for p in parts])
+
+
+def _sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of non-empty sets: two fingerprints (n x 2), the short keys (n x 2 HALF) and the packed sketch."""
+    sizes = np.array([len(s) for s in sets])
+    every, begins = np.concatenate(sets), np.cumsum(sizes) - sizes
+    prints = np.column_stack([np.add.reduceat(mixed(every * _FIRST), begins), np.add.reduceat(mixed(every * _SECOND), begins)])
+    minima = _minima(sets, _FACTORS[:_FUNCTIONS])
     keys = minima[:, ::WIDTH]
     for j in range(1, WIDTH):
         keys = mixed(keys * _FIRST + minima[:, j::WIDTH] * _SECOND)
-    per = 64 // _BITS
-    low = minima & np.uint64((1 << _BITS) - 1)
-    packed = [
-        np.bitwise_or.reduce([low[:, i] << np.uint64(_BITS * j) for j, i in enumerate(range(k, min(k + per, _FUNCTIONS)))])
-        for k in range(0, _FUNCTIONS, per)
-    ]
-    return prints, keys, np.column_stack(packed)
+    return prints, keys, _packed(minima, _BITS)
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -100,7 +113,7 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
                 sets = shingle_sets(held, size)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 full = np.flatnonzero(n)
-                prints, keys, packed = (np.zeros((len(held), w), dtype=np.uint64) for w in (2, 2 * HALF, -(-_FUNCTIONS * _BITS // 60)))
+                prints, keys, packed = (np.zeros((len(held), w), dtype=np.uint64) for w in (2, 2 * HALF, -(-_FUNCTIONS // (64 // _BITS))))
                 if len(full):
                     prints[full], keys[full], packed[full] = _sketches([sets[i] for i in full])
                 yield pa.RecordBatch.from_arrays(
@@ -155,79 +168,111 @@ def _sizes_allow(a: str, b: str, similarity: int) -> Column:
 
 
 def _sets(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """``id, shingles`` of some documents, worked out again from their texts."""
+    """``id, shingles, fine`` (the finer sketch) of some documents, worked out again from their texts."""
     bitmap = key_filter(ids, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = passes(bitmap.value, batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False))
+            keep = passes(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))
             batch = batch.filter(pa.array(keep))
             for start, held in blocks(batch.column(1)):
-                sets = shingle_sets(held, size)
+                sets = [s if len(s) else np.zeros(1, dtype=np.uint64) for s in shingle_sets(held, size)]
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), values], ["id", "shingles"])
+                fine = _packed(_minima(sets, _FACTORS[_FUNCTIONS:]), _FINE_BITS)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), values, _longs(fine)], ["id", "shingles", "fine"])
 
-    return landed(docs.mapInArrow(run, "id long, shingles array<long>").join(ids, "id", "left_semi"), "sets")
+    return landed(docs.where("id is not null").mapInArrow(run, "id long, shingles array<long>, fine array<long>").join(ids, "id", "left_semi"), "sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets are similar enough."""
+def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The pairs ``a, b`` with the sizes of their full shingle sets and of the intersection, ``common``."""
     ids = landed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
     sets = _sets(ids, docs, size)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.where(100 * common >= similarity * (F.size("left") + F.size("right") - common)).select("a", "b")
+    common = F.size(F.array_intersect("left", "right")).alias("common")
+    return landed(pairs.join(left, "a").join(right, "b").select("a", "b", common, F.size("left").alias("left"), F.size("right").alias("right")), "compared")
+
+
+def _similar(compared: DataFrame, similarity: int) -> DataFrame:
+    return compared.where(100 * F.col("common") >= similarity * (F.col("left") + F.col("right") - F.col("common"))).select("a", "b")
 
 
 def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
     """``id, shared`` of documents that can have a link with another of them at all.
 
-    ``shared`` counts the shingles that some other of them has too. A link needs it to be at least the
+    Returns ``id, shared, fine``. ``shared`` counts the shingles that some other of them has too. A link needs it to be at least the
     similarity's share of the set, so the others leave, and then the count is taken again without them.
     """
-    rows = _sets(ids, docs, size).select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    sets = _sets(ids, docs, size)
+    rows = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     for _ in range(2):
         common = landed(rows.groupBy("shingle").count().where("count > 1").select("shingle"), "common")
         rows = rows.join(common, "shingle", "left_semi")
         shared = rows.groupBy("id").agg(F.first("n").alias("n"), F.count("*").alias("shared"))
         shared = landed(shared.where(100 * F.col("shared") >= similarity * F.col("n")).select("id", "shared"), "linkable")
         rows = rows.join(shared, "id", "left_semi")
-    return shared
+    return landed(shared.join(sets.select("id", "fine"), "id"), "linkable")
+
+
+def _with_hubs(rest: DataFrame) -> DataFrame:
+    """Rows with the ``hub`` of their group: its most central class, whose shingles others share most."""
+    central = F.max_by(F.col("id"), F.struct(F.col("shared") / F.col("n"), -F.col("id"))).alias("hub")
+    return landed(rest.join(landed(rest.groupBy("key", "class").agg(central), "hubs"), ["key", "class"]), "rest")
+
+
+def _in_hub(rest: DataFrame, compared: DataFrame) -> DataFrame:
+    """Rows with ``held``, the number of their shingles that stand in the hub."""
+    counts = compared.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("common").alias("held"))
+    counts = counts.unionByName(compared.select(F.col("b").alias("id"), F.col("a").alias("hub"), F.col("common").alias("held")))
+    return rest.join(landed(counts, "held"), ["id", "hub"], "left").withColumn("held", F.coalesce("held", "n"))
 
 
 def _across(rest: DataFrame, similarity: int) -> DataFrame:
-    """Pairs ``a, b`` of a bucket that are in different components and may be similar enough, each pair once.
+    """Pairs ``a, b`` of a group that are in different components and may be similar enough, each pair once.
 
-    Two classes may meet in many tables; the pair comes from the first one, which the equal keys of
-    the two collections tell, and from the size class of the larger set.
+    At least one class of such a pair is not in the group's most frequent component ``main``, so only those look
+    for partners. What two classes have in common stands in the hub or not: at most the smaller number of their
+    shingles in the hub, and the smaller number of shared ones outside it. Two classes may meet in
+    many tables; the pair comes from the first one, which the equal keys of the two collections tell,
+    and from the size class of the larger set.
     """
-    other = rest.select("key", "class", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "band", "shared", "keys", "sketch", "component")))
-    words = -(-_FUNCTIONS * _BITS // 60)
-    far = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i])) for i in range(words)), F.lit(0))
-    most = F.least("shared", "other_shared")  # bounds the intersection
+    fields = ("id", "n", "band", "shared", "held", "keys", "sketch", "fine", "component")
+    other = rest.select("key", "class", *(F.col(c).alias(f"other_{c}") for c in fields))
+    outside = F.least(F.col("shared") - F.col("held"), F.col("other_shared") - F.col("other_held"))
+    most = F.least("held", "other_held") + F.greatest(outside, F.lit(0))
+
+    def far(sketch: str, count: int) -> Column:
+        return sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(f"other_{sketch}")[i])) for i in range(count)), F.lit(0))
 
     def first(begin: int) -> Column:
         equal = F.zip_with(F.slice("keys", begin + 1, HALF), F.slice("other_keys", begin + 1, HALF), lambda x, y: x == y)
         return F.array_position(equal, True) - 1
 
-    return rest.join(other, ["key", "class"]).where(
-        (F.col("id") < F.col("other_id"))
-        & (F.col("component") != F.col("other_component"))
+    pairs = rest.where("component <> main").join(other, ["key", "class"]).where(
+        (F.col("component") != F.col("other_component"))
+        & ((F.col("other_component") == F.col("main")) | (F.col("id") < F.col("other_id")))
         & (F.col("class") == F.greatest("band", "other_band"))
         & _sizes_allow("n", "other_n", similarity)
         & (100 * most >= similarity * (F.col("n") + F.col("other_n") - most))
-        & (far <= _FAR)
+        & (far("sketch", -(-_FUNCTIONS // (64 // _BITS))) <= _FAR)
+        & (far("fine", _FINE * _FINE_BITS // 64) <= _FINE_FAR)
         & (F.col("table") == first(0) * HALF + first(HALF))
-    ).select(F.col("id").alias("a"), F.col("other_id").alias("b"))
+    )
+    return pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b"))
 
 
 def _apart(placed: DataFrame) -> DataFrame:
-    """The groups ``key, class`` that hold classes of more than one component."""
-    spans = placed.groupBy("key", "class").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return landed(spans.where("low < high").select("key", "class"), "apart")
+    """The groups ``key, class`` that hold classes of more than one component, with the most frequent one, ``main``."""
+    counts = placed.groupBy("key", "class", "component").agg(F.count("*").alias("members"))
+    spans = counts.groupBy("key", "class").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
+    return landed(spans.where("parts > 1").drop("parts"), "apart")
+
+
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the component of their class, so far its own where it has no link."""
+    return landed(rows.join(found, rows["id"] == found["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -245,18 +290,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: s
     heads = landed(sized.groupBy("key", "class").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1"), "heads")
     stars = sized.join(heads, ["key", "class"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     stars = landed(stars, "stars")
-    links = landed(_confirmed(stars, rows, size, similarity), "links")
+    links = _similar(_compared(stars, rows, size), similarity)
     found = components(links)
 
-    # What the first comparison left apart: groups of a bucket with more than one component.
-    placed = sized.join(found, sized["id"] == found["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
-    placed = landed(placed, "placed")
-    apart = _apart(placed)
-    linkable = _linkable(placed.join(apart, ["key", "class"], "left_semi").select("id").distinct(), rows, size, similarity)
-    rest = landed(placed.join(linkable, "id"), "rest")
-    rest = landed(rest.join(_apart(rest), ["key", "class"], "left_semi"), "rest")
-    across = landed(_across(rest, similarity).join(stars, ["a", "b"], "left_anti"), "across")
-    more = landed(_confirmed(across, rows, size, similarity), "links")
+    # What the first comparison left apart goes on with the classes that can have a link at all, which
+    # are compared with the most central one of their group; then the pairs across what is still apart.
+    placed = _placed(sized, found)
+    apart = placed.join(_apart(placed), ["key", "class"], "left_semi")
+    able = placed.join(_linkable(apart.select("id").distinct(), rows, size, similarity), "id")
+    able = landed(able, "able")
+    rest = _with_hubs(able.join(_apart(able), ["key", "class"], "left_semi"))
+    spokes = rest.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    compared = _compared(landed(spokes, "spokes"), rows, size)
+    links = links.unionByName(_similar(compared, similarity))
+    found = components(links)
+    rest = _placed(_in_hub(rest, compared).drop("component"), found)
+    rest = landed(rest.join(_apart(rest), ["key", "class"]), "rest")
+    across = landed(_across(rest, similarity), "across")
+    more = _similar(_compared(across, rows, size), similarity)
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
