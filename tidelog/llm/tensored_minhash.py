@@ -36,8 +36,8 @@ HALF, WIDTH = 10, 2
 #: similarity 0.8 the mean is 24 of 240 and more than 72 has a chance below 1e-6.
 _BITS, _FAR = 6, 72
 #: A finer sketch for classes that are still apart: minima, their bits, and how many of all bits may
-#: differ. At similarity 0.8 the mean is 102 of 1024, and more than 176 has a chance below 1e-6.
-_FINE, _FINE_BITS, _FINE_FAR = 256, 4, 176
+#: differ. At similarity 0.8 the mean is 51 of 512, and more than 106 has a chance below 1e-6.
+_FINE, _FINE_BITS, _FINE_FAR = 128, 4, 106
 _FUNCTIONS = 2 * HALF * WIDTH
 _FACTORS = mixed(np.arange(1, _FUNCTIONS + _FINE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 _FIRST, _SECOND = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -135,7 +135,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """``key, table, id, n, keys, sketch`` for every class and table whose bucket holds several classes."""
+    """``key, table, id, n`` for every class and table whose bucket holds several classes."""
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,11 +150,11 @@ def _buckets(classes: DataFrame) -> DataFrame:
         for batch in batches:
             keys = _table_keys(_matrix(batch.column(2), 2 * HALF))
             row, table = np.nonzero(passes(bitmap.value, keys.ravel()).reshape(keys.shape))
-            cut = batch.take(pa.array(row))
+            cut = batch.select(["id", "n"]).take(pa.array(row))
             key, number = pa.array(keys[row, table].astype(np.int64)), pa.array(table.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([key, number, *cut.columns], ["key", "table", *cut.schema.names])
+            yield pa.RecordBatch.from_arrays([key, number, *cut.columns], ["key", "table", "id", "n"])
 
-    rows = classes.select("id", "n", "keys", "sketch").mapInArrow(likely, "key long, table int, id long, n long, keys array<long>, sketch array<long>")
+    rows = classes.select("id", "n", "keys").mapInArrow(likely, "key long, table int, id long, n long")
     return landed(rows.join(shared_keys, "key", "left_semi"), "buckets")
 
 
@@ -217,9 +217,9 @@ def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> Da
 
 
 def _with_hubs(rest: DataFrame) -> DataFrame:
-    """Rows with the ``hub`` of their group: its most central class, whose shingles others share most."""
+    """Rows with the ``hub`` of their bucket: its most central class, whose shingles others share most."""
     central = F.max_by(F.col("id"), F.struct(F.col("shared") / F.col("n"), -F.col("id"))).alias("hub")
-    return landed(rest.join(landed(rest.groupBy("key", "class").agg(central), "hubs"), ["key", "class"]), "rest")
+    return landed(rest.join(landed(rest.groupBy("key").agg(central), "hubs"), "key"), "rest")
 
 
 def _in_hub(rest: DataFrame, compared: DataFrame) -> DataFrame:
@@ -229,17 +229,17 @@ def _in_hub(rest: DataFrame, compared: DataFrame) -> DataFrame:
     return rest.join(landed(counts, "held"), ["id", "hub"], "left").withColumn("held", F.coalesce("held", "n"))
 
 
-def _across(rest: DataFrame, similarity: int) -> DataFrame:
-    """Pairs ``a, b`` of a group that are in different components and may be similar enough, each pair once.
+def _across(rest: DataFrame, traits: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``a, b`` of a bucket that are in different components and may be similar enough, each pair once.
 
-    At least one class of such a pair is not in the group's most frequent component ``main``, so only those look
-    for partners. What two classes have in common stands in the hub or not: at most the smaller number of their
-    shingles in the hub, and the smaller number of shared ones outside it. Two classes may meet in
-    many tables; the pair comes from the first one, which the equal keys of the two collections tell,
-    and from the size class of the larger set.
+    At least one class of such a pair is not in the bucket's most frequent component ``main``, so only those
+    look for partners. What two classes have in common stands in the hub or not: at most the smaller
+    number of their shingles in the hub, and the smaller number of shared ones outside it. Two classes
+    may meet in many tables; the pair comes from the first one, which the equal keys of the two collections tell.
     """
-    fields = ("id", "n", "band", "shared", "held", "keys", "sketch", "fine", "component")
-    other = rest.select("key", "class", *(F.col(c).alias(f"other_{c}") for c in fields))
+    rows = rest.join(traits, "id")
+    fields = ("id", "n", "shared", "held", "keys", "sketch", "fine", "component")
+    other = rows.select("key", *(F.col(c).alias(f"other_{c}") for c in fields))
     outside = F.least(F.col("shared") - F.col("held"), F.col("other_shared") - F.col("other_held"))
     most = F.least("held", "other_held") + F.greatest(outside, F.lit(0))
 
@@ -250,10 +250,9 @@ def _across(rest: DataFrame, similarity: int) -> DataFrame:
         equal = F.zip_with(F.slice("keys", begin + 1, HALF), F.slice("other_keys", begin + 1, HALF), lambda x, y: x == y)
         return F.array_position(equal, True) - 1
 
-    pairs = rest.where("component <> main").join(other, ["key", "class"]).where(
+    pairs = rows.where("component <> main").join(other, "key").where(
         (F.col("component") != F.col("other_component"))
         & ((F.col("other_component") == F.col("main")) | (F.col("id") < F.col("other_id")))
-        & (F.col("class") == F.greatest("band", "other_band"))
         & _sizes_allow("n", "other_n", similarity)
         & (100 * most >= similarity * (F.col("n") + F.col("other_n") - most))
         & (far("sketch", -(-_FUNCTIONS // (64 // _BITS))) <= _FAR)
@@ -264,14 +263,14 @@ def _across(rest: DataFrame, similarity: int) -> DataFrame:
 
 
 def _apart(placed: DataFrame) -> DataFrame:
-    """The groups ``key, class`` that hold classes of more than one component, with the most frequent one, ``main``."""
-    counts = placed.groupBy("key", "class", "component").agg(F.count("*").alias("members"))
-    spans = counts.groupBy("key", "class").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
+    """The buckets that hold classes of more than one component, with the most frequent one, ``main``."""
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("members"))
+    spans = counts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
     return landed(spans.where("parts > 1").drop("parts"), "apart")
 
 
 def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows with the component of their class, so far its own where it has no link."""
+    """Rows with the component of their class, which is its own where it has no link so far."""
     return landed(rows.join(found, rows["id"] == found["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
 
 
@@ -286,27 +285,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: s
     buckets = _buckets(classes)
 
     band = _band(F.col("n"), similarity)
-    sized = landed(buckets.withColumn("band", band).withColumn("class", F.explode(F.array(F.col("band"), F.col("band") + 1))), "sized")
+    sized = buckets.select("key", "id", F.explode(F.array(band, band + 1)).alias("class"))
     heads = landed(sized.groupBy("key", "class").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1"), "heads")
     stars = sized.join(heads, ["key", "class"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    stars = landed(stars, "stars")
-    links = _similar(_compared(stars, rows, size), similarity)
+    links = _similar(_compared(landed(stars, "stars"), rows, size), similarity)
     found = components(links)
 
     # What the first comparison left apart goes on with the classes that can have a link at all, which
-    # are compared with the most central one of their group; then the pairs across what is still apart.
-    placed = _placed(sized, found)
-    apart = placed.join(_apart(placed), ["key", "class"], "left_semi")
-    able = placed.join(_linkable(apart.select("id").distinct(), rows, size, similarity), "id")
-    able = landed(able, "able")
-    rest = _with_hubs(able.join(_apart(able), ["key", "class"], "left_semi"))
+    # are compared with the most central one of their bucket; then the pairs across what is still apart.
+    # Tables by bucket stay narrow; what belongs to a class is joined at the end.
+    placed = _placed(buckets, found)
+    apart = landed(placed.join(_apart(placed).drop("main"), "key"), "apart")
+    linkable = _linkable(apart.select("id").distinct(), rows, size, similarity)
+    able = landed(apart.join(linkable.select("id", "shared"), "id"), "able")
+    rest = _with_hubs(able.join(_apart(able).drop("main"), "key"))
     spokes = rest.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     compared = _compared(landed(spokes, "spokes"), rows, size)
     links = links.unionByName(_similar(compared, similarity))
     found = components(links)
     rest = _placed(_in_hub(rest, compared).drop("component"), found)
-    rest = landed(rest.join(_apart(rest), ["key", "class"]), "rest")
-    across = landed(_across(rest, similarity), "across")
+    rest = landed(rest.join(_apart(rest), "key"), "rest")
+    # Keys need only be told apart: their low halves do, but for a chance of 1e-8 a pair.
+    traits = classes.join(linkable.select("id", "fine"), "id").select("id", F.transform("keys", lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("keys"), "sketch", "fine")
+    across = landed(_across(rest, landed(traits, "traits"), similarity), "across")
     more = _similar(_compared(across, rows, size), similarity)
     if not more.isEmpty():
         found = components(links.unionByName(more))
