@@ -82,6 +82,26 @@ def test_second_run_lands_only_new_records(shop, spark):
     assert shop.read("one", "silver.orders").count() == 2
 
 
+def test_holes_of_a_broken_run_are_filled(shop, spark):
+    shop.send("orders", *[change("c", after=order(n, "shipped", "1.00"), ts_ms=1_714_557_700_000) for n in range(3, 12)])
+    path = table_path(f"{shop.root}/lake", "raw.cdc_orders")
+    shop.run("one")
+    landed = spark.read.parquet(path)
+    keep = landed.filter("offset in (1, 5)").cache()
+    assert keep.count() == 2
+    keep.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ingested_at_day").parquet(path)
+    assert shop.run("two").rows["raw.cdc_orders"] == 10
+    assert sorted(r.offset for r in spark.read.parquet(path).collect()) == list(range(12))
+
+
+def test_empty_topic_lands_nothing(shop, spark):
+    spark.createDataFrame([], RECORD_COLUMNS).write.mode("overwrite").parquet(shop.topics["order_items"].path)
+    done = shop.run("one")
+    assert done.rows["raw.cdc_order_items"] == 0 and done.rows["silver.order_items"] == 0
+    assert done.rows["silver.orders"] == 2 and not done.green
+    assert shop.run("two").rows["raw.cdc_orders"] == 0
+
+
 def test_red_batch_publishes_nothing(shop, spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     shop.run("one", publish_as={"gold.daily_revenue": "shop.guarded"})
@@ -106,7 +126,24 @@ def test_command_line_runs_the_batch_the_gate_and_the_smoke_checks(shop, spark,
     out = capsys.readouterr().out
     assert "gate green" in out and "PASS gold.daily_revenue is non-empty (value=1)" in out
     once = ["--checkpoint", f"{shop.root}/ckpt", "--once"]
-    assert cli.main(["stream", *topics, *once]) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert cli.main(["stream", *topics, *once, "--state-partitions", "3"]) == 0
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert cli.main(["bronze", *topics, "--path", f"{shop.root}/b", "--checkpoint", f"{shop.root}/bc", "--once"]) == 0
+    assert spark.read.parquet(f"{shop.root}/b").count() == 3
+
+
+def test_command_line_publishes_only_green_versions(shop, spark, monkeypatch):
+    import tidelog.__main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    batch = ["batch", "--topics", f"{shop.root}/topics", "--root", f"{shop.root}/pub", "--as-of", "2024-06-01", "--publish", "gold.daily_revenue=shop.cli"]
+    assert cli.main([*batch, "--run-id", "r1"]) == 0
+    assert spark.table("shop.cli").first().order_count == 2
+    shop.send("orders", change("c", after=order(3, "confirmed", "-50.00"), ts_ms=1_714_557_800_000))
+    assert cli.main([*batch, "--run-id", "r2"]) == 1
+    assert spark.table("shop.cli").first().order_count == 2
 
 
 def test_rates_command(shop, spark, capsys, monkeypatch, tmp_path):

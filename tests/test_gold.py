@@ -1,13 +1,14 @@
 from __future__ import annotations
 
-from datetime import date
+import random
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tidelog import rules, schemas
 from tidelog.operators import gold
-from tidelog.operators.silver import silver_order_items, with_line_total
+from tidelog.operators.silver import line_total, silver_order_items
 
 ORDER = (
     "order_id string, customer_id string, status string, total_amount decimal(18,2), "
@@ -34,32 +35,30 @@ def _items(spark, rows):
     return spark.createDataFrame(rows, "order_id string, line_total decimal(18,2)")
 
 
-def test_line_total_is_quantity_times_price(spark):
-    df = spark.createDataFrame([(2, Decimal("49.99")), (1, Decimal("30.01"))], "quantity int, unit_price decimal(18,2)")
-    totals = {r.quantity: r.line_total for r in with_line_total(df).collect()}
-    assert totals == {2: Decimal("99.98"), 1: Decimal("30.01")}
+def test_line_totals_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice((None, rng.randint(0, 500))), rng.choice((None, Decimal(rng.randint(0, 10**9)) / 100))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "quantity int, unit_price decimal(18,2)").coalesce(1)
+    wanted = [None if q is None or p is None else q * p for q, p in rows]
+    assert [r.line_total for r in df.select(line_total()).collect()] == wanted
 
 
-def test_line_total_is_null_without_a_price(spark):
-    df = spark.createDataFrame([(3, None)], "quantity int, unit_price decimal(18,2)")
-    assert with_line_total(df).first().line_total is None
+def test_recency_around_the_limit(spark):
+    """One customer for each age of 0 to 200 days: the age is exact and churn starts past the limit."""
+    day = date(2023, 11, 5)
+    rows = [(str(n), f"c{n}", "completed", "1.00", None, f"{day - timedelta(days=n)} 12:00:00") for n in range(201)]
+    stats = {r.customer_id: r for r in gold.order_stats(_orders(spark, rows), day.isoformat()).collect()}
+    for n in range(201):
+        row = stats[f"c{n}"]
+        assert (row.days_since_last_order, row.is_churned) == (n, n > rules.CHURN_AFTER_DAYS)
 
 
-def test_churn_starts_after_ninety_days(spark):
-    df = spark.createDataFrame(
-        [("recent", date(2026, 6, 20)), ("boundary", date(2026, 4, 2)), ("churned", date(2026, 4, 1))],
-        "customer_id string, last_order_date date",
-    )
-    rows = {r.customer_id: r for r in gold.with_recency(df, F.lit("2026-07-01").cast("date")).collect()}
-    assert (rows["recent"].days_since_last_order, rows["recent"].is_churned) == (11, False)
-    assert (rows["boundary"].days_since_last_order, rows["boundary"].is_churned) == (90, False)
-    assert rows["churned"].is_churned is True
-
-
-def test_recency_is_null_without_orders(spark):
-    df = spark.createDataFrame([("none", None)], "customer_id string, last_order_date date")
-    row = gold.with_recency(df, F.lit("2026-07-01").cast("date")).first()
-    assert row.days_since_last_order is None and row.is_churned is None
+def test_customer_without_revenue_orders_has_no_recency(spark):
+    orders = _orders(spark, [("1", "a", "pending", "5.00", None, "2023-01-01 00:00:00")])
+    customers = spark.createDataFrame([("a", "c"), ("b", "u"), ("gone", "d")], "customer_id string, _source_op string")
+    rows = {r.customer_id: r for r in gold.customer_metrics(orders, customers, "2023-06-01").collect()}
+    assert set(rows) == {"a", "b"}
+    assert all(r.days_since_last_order is None and r.is_churned is False and r.total_orders == 0 for r in rows.values())
 
 
 def test_revenue_statuses():

@@ -13,9 +13,15 @@ BASE = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 
 
 def _samples(spark, rows):
-    """Rows of (series, second, value)."""
-    return spark.createDataFrame(rows, "series string, second int, value int").select(
+    """Rows of (series, second, value); several may share their second, ids tell their order.
+
+    The table is shuffled, so that nothing hangs on the order of its rows.
+    """
+    numbered = [(*row, i) for i, row in enumerate(rows)]
+    random.Random(9).shuffle(numbered)
+    return spark.createDataFrame(numbered, "series string, second int, value int, id int").select(
         "series",
+        "id",
         F.timestamp_seconds(F.lit(int(BASE.timestamp())) + F.col("second")).alias("ts"),
         "value",
     )
@@ -29,7 +35,7 @@ def _random_rows(seed):
     rng = random.Random(seed)
     rows = []
     for series, n in (("hot", 300), ("a", 40), ("b", 1)):
-        rows += [(series, s, rng.randint(0, 9)) for s in sorted(rng.sample(range(7200), n))]
+        rows += [(series, s, rng.randint(0, 9)) for s in sorted(rng.choices(range(7200 if n < 300 else 400), k=n))]
     return rows
 
 
@@ -44,18 +50,18 @@ def test_increase_equals_a_plain_scan(spark, chunk):
         else:
             expected[slot] += 0
         last[series] = value
-    out = m.increase(_samples(spark, rows), ["series"], 3600, chunk)
+    out = m.increase(_samples(spark, rows), ["series"], 3600, "id", chunk)
     got = {(r.series, r.s): r.increase for r in out.select("series", _second("window_start"), "increase").collect()}
     assert got == dict(expected)
 
 
 def test_counter_reset_counts_from_zero_and_rate_is_per_second(spark):
-    out = m.increase(_samples(spark, [("a", 0, 10), ("a", 10, 15), ("a", 20, 3)]), ["series"], 60)
+    out = m.increase(_samples(spark, [("a", 0, 10), ("a", 10, 15), ("a", 20, 3)]), ["series"], 60, "id")
     row = out.first()
     assert (row.samples, row.increase) == (3, 8)
     assert row.rate == pytest.approx(8 / 60)
     with pytest.raises(ValueError):
-        m.increase(_samples(spark, []), ["series"], 90, 60)
+        m.increase(_samples(spark, []), ["series"], 90, "id", 60)
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 60, 1000])
@@ -71,7 +77,7 @@ def test_sustained_equals_a_plain_scan(spark, chunk):
             run = run or [series, second, second, 0]
             run[2], run[3] = second, run[3] + 1
     expected = sorted(e for e in expected if e[2] - e[1] >= 30)
-    out = m.sustained(_samples(spark, rows), ["series"], F.col("value") > 3, 30, chunk)
+    out = m.sustained(_samples(spark, rows), ["series"], F.col("value") > 3, 30, "id", chunk)
     start, end = _second("started_at").alias("a"), _second("ended_at").alias("b")
     assert sorted(tuple(r) for r in out.select("series", start, end, "samples").collect()) == expected
     assert len(expected) > 3

@@ -25,7 +25,7 @@ def test_writes_count_their_rows_and_lay_out_partitions(spark):
     back = spark.read.parquet(path)
     assert back.count() == 3
     assert {str(r[0]) for r in back.select("at_month").collect()} == {"2024-01-01", "2024-02-01"}
-    assert all(0 <= r[0] < 4 for r in back.select("k_bucket").collect())
+    assert all(0 <= r[0] < 4 for r in back.select("k_bucket_4").collect())
     assert t.read_table(spark, path).filter("at_day = DATE'2024-01-01'").count() == 2
 
 
@@ -73,6 +73,8 @@ def test_bucket_upsert_rewrites_only_touched_buckets(spark):
     assert after.count() == 200 and after.filter("k = '7'").first().v == "new"
     assert len(files & set(after.inputFiles())) == len(files) - 1
     assert t.bucket_upsert(spark, change.limit(0), path, "k", ["ts_ms"], 8) == 0
+    with pytest.raises(ValueError):
+        t.bucket_upsert(spark, change, path, "k", ["ts_ms"], 5)
 
 
 def test_tables_are_created_once_and_listed(spark):
@@ -120,7 +122,10 @@ def test_topic_is_kafka_or_folder():
     with pytest.raises(ValueError):
         Topic("x", "broker:9092", "/data")
     options = Topic("x", "broker:9092").kafka_options()
-    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
+    assert Topic("x", "broker:9092", data_loss="ignore").kafka_options()["failOnDataLoss"] == "false"
+    with pytest.raises(ValueError):
+        Topic("x", "broker:9092", data_loss="maybe")
 
 
 def test_settings_and_scratch(spark):

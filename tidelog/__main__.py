@@ -4,6 +4,7 @@ batch    topics to Bronze, Silver and Gold, with the quality gate before publica
 gate     the expectation suites of one layer or all, over finished tables
 smoke    row counts of the Gold tables
 stream   order changes to one-minute revenue windows
+bronze   change records of one topic appended to a folder, exactly once
 rates    exchange-rate payload files to the events topic
 """
 
@@ -15,14 +16,14 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tidelog.operators.rates import currency_list, rates_to_events
+from tidelog.operators.rates import currency_list, rates_to_events, sorted_events
 from tidelog.plans.medallion import contract_tables, run_batch
 from tidelog.quality.gate import gate_summary, is_green, run_gate, smoke_checks, suite_summary
 from tidelog.quality.suites import LAYERS
 from tidelog.rules import QUOTED_CURRENCIES
 from tidelog.session import build_session
 from tidelog.sources.topics import Topic, to_messages, write_messages
-from tidelog.streaming.jobs import start_order_revenue
+from tidelog.streaming.jobs import start_bronze, start_order_revenue
 
 ENTITIES = ("orders", "customers", "order_items", "events")
 
@@ -42,6 +43,7 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> int:
         args.run_id,
         args.as_of,
         deletes=args.deletes,
+        publish_as=dict(pair.split("=", 1) for pair in args.publish),
     )
     for table, rows in outcome.rows.items():
         print(f"{table}: {rows} rows")
@@ -69,6 +71,8 @@ def _smoke(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
+    if args.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
     query = start_order_revenue(
         spark,
         _topic(args, args.source),
@@ -81,6 +85,12 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _bronze(spark: SparkSession, args: argparse.Namespace) -> int:
+    topic = _topic(args, args.source)
+    start_bronze(spark, topic, args.path, args.checkpoint, once=args.once).awaitTermination()
+    return 0
+
+
 def _rates(spark: SparkSession, args: argparse.Namespace) -> int:
     payloads = spark.read.text(args.payloads, wholetext=True).withColumnRenamed("value", "payload")
     events = rates_to_events(payloads, currency_list(args.currencies))
@@ -88,7 +98,7 @@ def _rates(spark: SparkSession, args: argparse.Namespace) -> int:
         print("no matching currencies", file=sys.stderr)
         return 1
     if args.dry_run:
-        events.show(truncate=False)
+        sorted_events(events).show(truncate=False)
     else:
         write_messages(to_messages(events, "currency", args.topic), _topic(args, args.topic))
     return 0
@@ -112,6 +122,10 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--root", required=True)
     batch.add_argument("--run-id", default=today.strftime("%Y%m%dT%H%M%S"))
     batch.add_argument("--as-of", default=today.date().isoformat())
+    batch.add_argument(
+        "--publish", nargs="*", default=[], metavar="TABLE=VIEW",
+        help="views to move to the new version when the gate is green",
+    )
     batch.add_argument("--deletes", choices=("apply", "ignore"), default="apply")
     batch.add_argument(
         "--names", default="cdc.orders,cdc.customers,cdc.order_items,raw.events",
@@ -128,7 +142,13 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--sink", default="gold.order-revenue-1m")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--per-trigger", type=int)
+    stream.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
     stream.add_argument("--once", action="store_true")
+    bronze = command("bronze", _bronze, True)
+    bronze.add_argument("--source", default="cdc.orders")
+    bronze.add_argument("--path", required=True)
+    bronze.add_argument("--checkpoint", required=True)
+    bronze.add_argument("--once", action="store_true")
     rates = command("rates", _rates, True)
     rates.add_argument("--payloads", required=True, help="folder of JSON payload files")
     rates.add_argument("--currencies", default=",".join(QUOTED_CURRENCIES))

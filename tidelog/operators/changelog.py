@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog import rules, schemas
-from tidelog.operators.envelope import IDENTITY, accepted, image_texts, upserts
+from tidelog.operators.envelope import IDENTITY, accepted, image_texts, typed_fields, upserts
 
 # Highest wins. Offsets decide ties of the commit time inside one transaction.
 VERSION_ORDER = ("ts_ms", "txn_id", "offset")
@@ -19,7 +19,7 @@ OFFSETS_PER_CHUNK = 1 << 20
 
 
 def latest_per_key(
-    df: DataFrame, key: str | Sequence[str], order: str | Sequence[str] = "ts_ms"
+    df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]
 ) -> DataFrame:
     """The row with the highest ``order`` per key (last write wins).
 
@@ -55,26 +55,34 @@ def current_state(
 
 
 def unfold(bronze: DataFrame, entity: schemas.Entity) -> DataFrame:
-    """Signed images: +1 for the new row, -1 for the row it replaces or deletes."""
-    good = accepted(bronze, entity)
+    """Signed images: +1 for the new row, -1 for the row it replaces or deletes.
+
+    Each side counts if its own image can be used. Logs chain images, so an image that never
+    counted is never taken back, and one that counted is taken back once, also by a change whose
+    new image goes to quarantine: until the next good change the entity then counts nowhere.
+    Records without a readable envelope, and upserts without an after image, count on no side.
+    Batch and stream follow this rule alike; it needs no state.
+    """
+    delete = F.col("op") == rules.DELETE_OP
+    readable = bronze.filter(
+        F.col("op").isin(*rules.ALL_OPS)
+        & F.col("ts_ms").isNotNull()
+        & (delete | F.col("after").isNotNull())
+    )
     identity = [c for c in IDENTITY if c in bronze.columns]
     create = F.col("op").isin("c", "r")
     sides = F.array(
         F.struct(F.lit(-1).alias("sign"), F.when(~create, F.col("before")).alias("image")),
-        F.struct(
-            F.lit(1).alias("sign"),
-            F.when(F.col("op") != rules.DELETE_OP, F.col("after")).alias("image"),
-        ),
+        F.struct(F.lit(1).alias("sign"), F.when(~delete, F.col("after")).alias("image")),
     )
-    signed = good.select(*identity, "op", "ts_ms", F.inline(sides)).filter(
+    signed = readable.select(*identity, "op", "ts_ms", F.inline(sides)).filter(
         F.col("image").isNotNull()
     )
-    return image_texts(signed, F.col("image"), entity).select(
-        *identity,
-        "op",
-        "ts_ms",
-        "sign",
-        *[F.col(f"_{n}").try_cast(kind).alias(n) for n, kind in entity.fields],
+    typed, unusable = typed_fields(entity)
+    return (
+        image_texts(signed, F.col("image"), entity)
+        .filter(unusable.isNull())
+        .select(*identity, "op", "ts_ms", "sign", *[typed[n].alias(n) for n in typed])
     )
 
 

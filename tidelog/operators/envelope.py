@@ -76,23 +76,35 @@ def bronze_events(records: DataFrame, run_ts: str | None = None) -> DataFrame:
     )
 
 
+def typed_fields(entity: schemas.Entity) -> tuple[dict[str, Column], Column]:
+    """Typed columns from the ``_<field>`` texts, and the first reason why an image is unusable."""
+    texts = {name: F.col(f"_{name}") for name, _ in entity.fields}
+    typed = {name: texts[name].try_cast(kind) for name, kind in entity.fields}
+    error = F.when(texts[entity.key].isNull(), F.lit("missing key"))
+    for name, kind in entity.fields:
+        if kind != "string":
+            error = error.when(texts[name].isNotNull() & typed[name].isNull(), F.lit(f"bad {name}"))
+    return typed, error
+
+
 def decode(bronze: DataFrame, entity: schemas.Entity) -> DataFrame:
     """Bronze rows plus the typed image fields and ``_error``, the first reason to reject a row.
 
-    A delete carries its key only in the before image, so the image is after, else before.
+    The image of a delete is the before image, of every other change the after image. A delete
+    counts when its op, commit time and key can be read; an upsert needs every field.
     """
-    texts = {name: F.col(f"_{name}") for name, _ in entity.fields}
-    typed = {name: texts[name].try_cast(kind) for name, kind in entity.fields}
+    delete = F.col("op") == rules.DELETE_OP
+    typed, unusable = typed_fields(entity)
     error = (
         F.when(F.col("op").isNull(), F.lit("unreadable envelope"))
         .when(~F.col("op").isin(*rules.ALL_OPS), F.lit("unknown op"))
         .when(F.col("ts_ms").isNull(), F.lit("bad ts_ms"))
-        .when(texts[entity.key].isNull(), F.lit("missing key"))
+        .when(~delete & F.col("after").isNull(), F.lit("missing after"))
+        .when(F.col(f"_{entity.key}").isNull(), F.lit("missing key"))
+        .when(~delete, unusable)
     )
-    for name, kind in entity.fields:
-        if kind != "string":
-            error = error.when(texts[name].isNotNull() & typed[name].isNull(), F.lit(f"bad {name}"))
-    return image_texts(bronze, F.coalesce("after", "before"), entity).select(
+    image = F.when(delete, F.col("before")).otherwise(F.col("after"))
+    return image_texts(bronze, image, entity).select(
         *bronze.columns, *[typed[n].alias(n) for n in typed], error.alias("_error")
     )
 
@@ -108,22 +120,13 @@ def quarantined(bronze: DataFrame, entity: schemas.Entity) -> DataFrame:
     )
 
 
-def unlanded(rows: DataFrame, landed: DataFrame, ordered: bool = False) -> DataFrame:
-    """Rows whose record is not in the landed table yet.
+def unlanded(rows: DataFrame, landed: DataFrame) -> DataFrame:
+    """Rows whose record is not in the landed table yet, told by (topic, partition, offset).
 
-    ``ordered``: the log is read in offset order and every append landed a whole snapshot, so the
-    highest landed offset per partition tells; that is one number per topic partition, sent to
-    all tasks, and no shuffle of the rows. Otherwise every (topic, partition, offset) is compared.
+    Every identity is compared, so the holes that a broken append left are filled by the next run.
+    Only the three identity columns of the landed table are read.
     """
-    if not ordered:
-        return rows.join(landed.select(*IDENTITY), list(IDENTITY), "left_anti")
-    marks = landed.groupBy("topic", "partition").agg(F.max("offset").alias("_mark"))
-    fresh = F.col("_mark").isNull() | (F.col("offset") > F.col("_mark"))
-    return (
-        rows.join(F.broadcast(marks), ["topic", "partition"], "left")
-        .filter(fresh)
-        .select(*rows.columns)
-    )
+    return rows.join(landed.select(*IDENTITY), list(IDENTITY), "left_anti")
 
 
 def drop_redelivered(rows: DataFrame, *extra: str) -> DataFrame:

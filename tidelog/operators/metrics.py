@@ -1,8 +1,8 @@
 """Rates and alerts over metric samples: label columns, ``ts`` and ``value``.
 
 One series may hold most of a table. Ordered work is cut into short time chunks per series, and
-only one or two rows per chunk meet in a second pass. Timestamps are unique within a series, so
-a chunk is bounded by its length, and a series by the number of chunks in the time span.
+only one or two rows per chunk meet in a second pass. Samples of a series may share a timestamp:
+``order`` names a column that tells which came first, such as an offset.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def _step(value: Column, previous: Column) -> Column:
 
 
 def increase(
-    samples: DataFrame, series: Sequence[str], every_s: int, chunk_s: int = CHUNK_S
+    samples: DataFrame, series: Sequence[str], every_s: int, order: str, chunk_s: int = CHUNK_S
 ) -> DataFrame:
     """Counter growth and rate per second for each series and window of ``every_s`` seconds.
 
@@ -41,14 +41,15 @@ def increase(
     if every_s % chunk_s:
         raise ValueError("every_s must be a multiple of chunk_s")
     keys = list(series)
-    cut = samples.select(*keys, "ts", "value", _slot(chunk_s).alias("_chunk"))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("ts")
+    at = F.struct("ts", F.col(order).alias("order")).alias("_at")
+    cut = samples.select(*keys, at, "value", _slot(chunk_s).alias("_chunk"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at")
     chunks = (
         cut.withColumn("_grown", _step(F.col("value"), F.lag("value").over(inside)))
         .groupBy(*keys, "_chunk")
         .agg(
-            F.min_by("value", "ts").alias("_first"),
-            F.max_by("value", "ts").alias("_last"),
+            F.min_by("value", "_at").alias("_first"),
+            F.max_by("value", "_at").alias("_last"),
             F.sum("_grown").alias("_grown"),
             F.count(F.lit(1)).alias("_samples"),
         )
@@ -95,15 +96,20 @@ def sustained(
     series: Sequence[str],
     breach: Column,
     for_s: int,
+    order: str,
     chunk_s: int = CHUNK_S,
 ) -> DataFrame:
     """Stretches of consecutive samples in breach that last at least ``for_s`` seconds."""
     keys = list(series)
     chunk = [*keys, "_chunk"]
     cut = samples.select(
-        *keys, "ts", _slot(chunk_s).alias("_chunk"), F.coalesce(breach, F.lit(False)).alias("_on")
+        *keys,
+        "ts",
+        F.col(order).alias("_order"),
+        _slot(chunk_s).alias("_chunk"),
+        F.coalesce(breach, F.lit(False)).alias("_on"),
     )
-    inside = Window.partitionBy(*chunk).orderBy("ts")
+    inside = Window.partitionBy(*chunk).orderBy("ts", "_order")
     turned = F.coalesce((F.col("_on") != F.lag("_on").over(inside)).cast("int"), F.lit(0))
     runs = (
         cut.withColumn("_turned", turned)

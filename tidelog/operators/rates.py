@@ -22,7 +22,7 @@ def rates_to_events(
 ) -> DataFrame:
     """One event per quoted currency from a table with a JSON column ``payload``.
 
-    No currencies given keeps all. Events come sorted by currency, then date and base.
+    No currencies given keeps all. ``sorted_events`` puts them in order for display.
     """
     fetched = F.lit(fetched_at) if fetched_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -41,4 +41,8 @@ def rates_to_events(
         F.round("rate", 6).alias("rate"),
         "rate_date",
         fetched.alias("fetched_at"),
-    ).orderBy("currency", "rate_date", "base")
+    )
+
+
+def sorted_events(events: DataFrame) -> DataFrame:
+    return events.orderBy("currency", "rate_date", "base")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidelog.operators.changelog import latest_per_key
 
@@ -48,12 +49,13 @@ def latest_emissions(emissions: DataFrame, order: str = "offset") -> DataFrame:
 
 def recent_windows(windows: DataFrame, hours: int = 6, n: int = 60) -> DataFrame:
     """The last ``n`` windows that start within ``hours`` of the newest one."""
-    newest = windows.agg(F.max("window_start")).scalar()
-    return (
-        windows.filter(F.col("window_start") >= newest - F.expr(f"INTERVAL {int(hours)} HOURS"))
-        .orderBy(F.desc("window_start"))
-        .limit(n)
+    # The newest window is among the last n, so these n rows tell which of them are recent.
+    last = windows.orderBy(F.desc("window_start")).limit(n)
+    newest = F.max("window_start").over(Window.partitionBy())
+    recent = last.withColumn("_newest", newest).filter(
+        F.col("window_start") >= F.col("_newest") - F.expr(f"INTERVAL {int(hours)} HOURS")
     )
+    return recent.drop("_newest").orderBy(F.desc("window_start"))
 
 
 def latest_window(windows: DataFrame) -> DataFrame:

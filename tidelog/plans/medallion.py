@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tidelog.operators.contracts import check_compatible
 from tidelog.operators.envelope import (
@@ -22,7 +22,7 @@ from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import silver_customers, silver_order_items, silver_orders
 from tidelog.quality.gate import is_green, run_gate
 from tidelog.quality.suites import LAYERS
-from tidelog.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS
+from tidelog.schemas import BRONZE_CDC, CUSTOMERS, ORDER_ITEMS, ORDERS
 from tidelog.sources.tables import existing, publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
@@ -33,6 +33,17 @@ CDC_TABLES = {
 }
 
 
+# Landed Bronze rows: the contract columns and the identity of the record.
+BRONZE_LANDED = StructType(
+    [
+        *BRONZE_CDC.fields,
+        StructField("topic", StringType()),
+        StructField("partition", IntegerType()),
+        StructField("offset", LongType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Outcome:
     """Rows written per table, whether the gate passed, and the folder of its results."""
@@ -64,17 +75,8 @@ def contract_tables(spark: SparkSession, root: str, run_id: str) -> dict[str, Da
     }
 
 
-def append_new(
-    rows: DataFrame,
-    table: str,
-    path: str,
-    ordered: bool,
-    retention_days: int | None = None,
-) -> int:
-    """Append the Bronze rows whose records are not landed yet and return their number.
-
-    With the retention of the topic, only the table days that can overlap it are compared.
-    """
+def append_new(rows: DataFrame, table: str, path: str) -> int:
+    """Append the Bronze rows whose records are not landed yet and return their number."""
     target = spec(table)
     landed = existing(rows.sparkSession, path)
     if landed is not None:
@@ -82,10 +84,7 @@ def append_new(
         check_compatible(
             StructType([f for f in landed.schema if f.name not in derived]), rows.schema
         )
-        if retention_days is not None:
-            oldest = F.date_sub(F.current_date(), retention_days + 1)
-            landed = landed.filter(F.col(target.layout[0].name) >= oldest)
-        rows = unlanded(rows, landed, ordered)
+        rows = unlanded(rows, landed)
     return write_table(rows, path, target.layout, rebalance=target.mixed)
 
 
@@ -94,9 +93,12 @@ def ingest_bronze(
     topics: Mapping[str, Topic],
     root: str,
     run_ts: str | None = None,
-    retention_days: int | None = None,
 ) -> dict[str, int]:
-    """Land every topic: change envelopes for the three entities, whole records for ``events``."""
+    """Land every topic: change envelopes for the three entities, whole records for ``events``.
+
+    Records that are landed already are left out, and a run that broke off is made up for by the
+    next one. An empty topic lands nothing.
+    """
     written = {}
     for entity, topic in topics.items():
         records = read_records(spark, topic)
@@ -108,8 +110,7 @@ def ingest_bronze(
         if not topic.ordered:
             # Files may overlap; offsets of a broker never repeat.
             rows = rows.dropDuplicates(list(IDENTITY))
-        path = table_path(root, table)
-        written[table] = append_new(rows, table, path, topic.ordered, retention_days)
+        written[table] = append_new(rows, table, table_path(root, table))
     return written
 
 
@@ -133,8 +134,7 @@ def run_batch(
     version = f"{root}/versions/{run_id}"
 
     def bronze(entity: str) -> DataFrame:
-        path = table_path(root, CDC_TABLES[entity])
-        return read_table(spark, path).drop("ingested_at_day")
+        return read_table(spark, table_path(root, CDC_TABLES[entity]), BRONZE_LANDED)
 
     def build(name: str, df: DataFrame) -> None:
         table = spec(name)

@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Results depend on UTC. Skew handling stays on even where it costs a shuffle.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-_local_scratch: str | None = None
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings that the operators rely on."""
@@ -52,16 +50,12 @@ def build_session(app: str, **conf: str) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster, or a local one when Spark itself runs locally."""
-    global _local_scratch
+    """The folder for tables between stages and for checkpoints, which every executor must reach.
+
+    ``spark.checkpoint.dir``, else a folder below the warehouse, which a cluster shares as well.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="tidelog-")
-    return _local_scratch
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -27,7 +27,10 @@ class Transform:
 
     @property
     def name(self) -> str:
-        suffix = {"days": "day", "months": "month", "bucket": "bucket"}.get(self.kind)
+        if self.kind == "bucket":
+            # The number is part of the name, so tables with other buckets cannot be mixed up.
+            return f"{self.column}_bucket_{self.buckets}"
+        suffix = {"days": "day", "months": "month"}.get(self.kind)
         return f"{self.column}_{suffix}" if suffix else self.column
 
     def value(self) -> Column:
@@ -147,23 +150,26 @@ def write_table(
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None where nothing was written yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
         # A write of no rows leaves no file to take the schema from.
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Table by path or catalog name; with a schema, its columns without layout columns."""
-    df = spark.read.parquet(path) if "/" in path else spark.table(path)
-    return df.select(*schema.fieldNames()) if schema else df
+    """Table by path or catalog name; with a schema, its columns without layout columns.
+
+    A path with a schema may also be a table that was written without any row.
+    """
+    if "/" not in path:
+        df = spark.table(path)
+        return df.select(*schema.fieldNames()) if schema else df
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def bucket_upsert(
@@ -177,18 +183,21 @@ def bucket_upsert(
     """Merge a batch of changes into a state table and rewrite only the touched buckets.
 
     The list of touched buckets is at most ``buckets`` numbers. Buckets are read through
-    partition pruning and replaced by dynamic partition overwrite.
+    partition pruning and replaced by dynamic partition overwrite. A table keeps the number of
+    buckets it was first written with; another number is refused. Hand in landed changes: they are
+    read twice.
     """
-    from tidelog.operators.changelog import upsert
+    from tidelog.operators.changelog import latest_per_key, upsert
 
     layout = (bucket(buckets, key),)
     name = layout[0].name
-    touched = [
-        row[0] for row in with_layout(changes, layout).select(name).distinct().collect()
-    ]
+    state = existing(spark, path)
+    if state is not None and name not in state.columns:
+        raise ValueError(f"the table at {path} has another layout than {buckets} buckets of {key}")
+    changes = latest_per_key(changes, key, order)
+    touched = [row[0] for row in with_layout(changes, layout).select(name).distinct().collect()]
     if not touched:
         return 0
-    state = existing(spark, path)
     current = changes.limit(0) if state is None else state.filter(F.col(name).isin(touched)).drop(name)
     return write_table(upsert(current, changes, key, order), path, layout, "partitions")
 

@@ -14,13 +14,20 @@ from tidelog import schemas
 
 @dataclass(frozen=True)
 class Topic:
-    """``servers`` names the Kafka brokers; ``path`` a Parquet folder with the same columns."""
+    """``servers`` names the Kafka brokers; ``path`` a Parquet folder with the same columns.
+
+    ``data_loss``: what a Kafka read does about offsets that the broker no longer holds: "fail", or
+    "ignore" to go on without them.
+    """
 
     name: str
     servers: str | None = None
     path: str | None = None
+    data_loss: str = "fail"
 
     def __post_init__(self) -> None:
+        if self.data_loss not in ("fail", "ignore"):
+            raise ValueError("data_loss must be 'fail' or 'ignore'")
         if (self.servers is None) == (self.path is None):
             raise ValueError("give either servers or path")
 
@@ -34,7 +41,7 @@ class Topic:
             "kafka.bootstrap.servers": self.servers or "",
             "subscribe": self.name,
             "startingOffsets": "earliest",
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(self.data_loss == "fail").lower(),
         }
 
 

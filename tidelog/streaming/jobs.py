@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.envelope import parse_envelope, topic_values
-from tidelog.session import ROCKSDB
+from tidelog.session import configure
 from tidelog.sources.topics import Topic, message_stream, stream_records, to_messages
 from tidelog.streaming.windows import order_revenue
 
@@ -48,8 +48,12 @@ def start_order_revenue(
     per_trigger: int | None = None,
     once: bool = True,
 ) -> StreamingQuery:
-    """Order changes in, one JSON message per closed window out; state in RocksDB."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Order changes in, one JSON message per closed window out; state in RocksDB.
+
+    The number of state partitions is ``spark.sql.shuffle.partitions`` at the first start of a
+    checkpoint and holds for its life.
+    """
+    configure(spark)
     bronze = parse_envelope(topic_values(stream_records(spark, source, per_trigger)))
     messages = to_messages(order_revenue(bronze), "window_start", sink.name)
     trigger = {"availableNow": True} if once else {"processingTime": TRIGGER}

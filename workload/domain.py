@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.columns import money, typed_null
 from tidelog.operators.gold import customer_metrics, daily_revenue
-from tidelog.operators.silver import with_line_total
+from tidelog.operators.silver import line_total
 
 RUN_TS = "2024-06-01 00:00:00"
 AS_OF = "2001-08-01"
@@ -76,7 +76,7 @@ def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", F.col("created_at").alias("order_created_at")
     )
     return (
-        with_line_total(raw_items(spark, sf_dir))
+        raw_items(spark, sf_dir).select("*", line_total())
         .join(created, "order_id", "left")
         .select(
             "item_id",
@@ -93,7 +93,7 @@ def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def priced_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items without the order columns, for queries that need no join."""
-    return with_line_total(raw_items(spark, sf_dir))
+    return raw_items(spark, sf_dir).select("*", line_total())
 
 
 def gold_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:

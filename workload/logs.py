@@ -43,13 +43,7 @@ def version(i: int, value: Column | None, when: Column | None = None) -> Column:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the table has fewer file splits than that.
-
-    Writing the JSON text is the heavy part here, and the given tables are one split each. A
-    table of many files is left as it lies.
-    """
-    if rows.rdd.getNumPartitions() >= rows.sparkSession.sparkContext.defaultParallelism:
-        return rows
+    """Rows over all cores by their keys: writing the JSON text is the heavy part here."""
     return rows.repartition(*keys)
 
 
@@ -97,17 +91,20 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = image(pending, F.col("amount"), 0)
     broken = image(pending, F.lit("abc"), 30)
     settled = image(F.col("final"), F.col("amount"), 60)
-    moved, removed = F.col("final") != "pending", k % 10 == 0
-    last = F.when(moved, settled).otherwise(priced)
+    moved, removed, spoilt = F.col("final") != "pending", k % 10 == 0, k % 101 == 0
+    # Images chain: what follows a broken version names it as its before image.
+    second = F.when(spoilt, broken).otherwise(priced)
+    last = F.when(moved, settled).otherwise(second)
     repriced = change("u", 0, opened, priced)
     versions = F.array(
         version(0, change(F.when(k % 7 == 0, "r").otherwise("c"), 0, None, opened)),
         version(1, repriced),
-        version(2, change("u", 30_000, priced, broken), k % 101 == 0),
-        version(3, change("u", 60_000, priced, settled), moved),
+        version(2, change("u", 30_000, priced, broken), spoilt),
+        version(3, change("u", 60_000, second, settled), moved),
         version(4, change("d", 120_000, last, None), removed),
         version(5, None, removed),
         version(6, F.lit("not a change event"), k % 97 == 0),
+        version(7, change("u", 90_000, last, None), k % 103 == 0),
         version(1, repriced, k % 13 == 0),
     )
     rows = spread(base, "k").select("k", "created", F.inline(F.array_compact(versions)))

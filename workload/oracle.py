@@ -177,9 +177,17 @@ O_LOG = " UNION ALL ".join(
         order_version(0, "CASE WHEN k % 7 = 0 THEN 'r' ELSE 'c' END", "t0", None, OPENED, "true"),
         order_version(1, "'u'", "t0", OPENED, PRICED, "true"),
         order_version(2, "'u'", "t0 + 30000", PRICED, BROKEN, "k % 101 = 0"),
-        order_version(3, "'u'", "t0 + 60000", PRICED, SETTLED, "final <> 'pending'"),
-        order_version(4, "'d'", "t0 + 120000", SETTLED, None, "k % 10 = 0 AND final <> 'pending'"),
-        order_version(4, "'d'", "t0 + 120000", PRICED, None, "k % 10 = 0 AND final = 'pending'"),
+        order_version(3, "'u'", "t0 + 60000", PRICED, SETTLED, "final <> 'pending' AND k % 101 <> 0"),
+        order_version(3, "'u'", "t0 + 60000", BROKEN, SETTLED, "final <> 'pending' AND k % 101 = 0"),
+        *(
+            order_version(i, op, delay, image, None, f"{often} AND {where}")
+            for i, op, delay, often in ((4, "'d'", "t0 + 120000", "k % 10 = 0"), (7, "'u'", "t0 + 90000", "k % 103 = 0"))
+            for image, where in (
+                (SETTLED, "final <> 'pending'"),
+                (PRICED, "final = 'pending' AND k % 101 <> 0"),
+                (BROKEN, "final = 'pending' AND k % 101 = 0"),
+            )
+        ),
         order_version(6, "CAST(NULL AS VARCHAR)", "CAST(NULL AS BIGINT)", None, None, "k % 97 = 0"),
     ]
 )
@@ -256,22 +264,25 @@ FROM (SELECT date_trunc('minute', {time}) AS window_start, count(*) AS order_cou
 EVENTS = """
 SELECT event_id, ts, user_id AS member, event_type AS series,
   CAST("value" AS DECIMAL(18,2)) AS "value" FROM events"""
+MINUTE_EVENTS = f"SELECT * REPLACE (date_trunc('minute', ts) AS ts) FROM ({EVENTS})"
 EVENT_WINDOWS = windows(EVENTS, "ts", '"value"')
-ORDER_WINDOWS = windows(LIVE_ORDERS, "updated_at", "total_amount")
+# An order whose last image is broken counts in no window until its next good change.
+COUNTED_ORDERS = order_state("k % 10 <> 0 AND NOT (final = 'pending' AND k % 101 = 0)")
+ORDER_WINDOWS = windows(COUNTED_ORDERS, "updated_at", "total_amount")
 
 # Metrics
 
 
-def increase(series: str, every: str) -> str:
+def increase(series: str, every: str, events: str = EVENTS) -> str:
     return f"""
 SELECT {series}, time_bucket(INTERVAL '{every}', ts) AS window_start, count(*) AS samples,
   CAST(sum(CASE WHEN prev IS NULL THEN 0 WHEN "value" >= prev THEN "value" - prev ELSE "value" END)
     AS DECIMAL(18,2)) AS increase
-FROM (SELECT *, lag("value") OVER (PARTITION BY {series} ORDER BY ts) AS prev FROM ({EVENTS}))
+FROM (SELECT *, lag("value") OVER (PARTITION BY {series} ORDER BY ts, event_id) AS prev FROM ({events}))
 GROUP BY {series}, time_bucket(INTERVAL '{every}', ts)"""
 
 
-HOURLY = increase("series", "1 hour")
+HOURLY = increase("series", "1 hour", MINUTE_EVENTS)
 BUSY = f"SELECT series, window_start FROM ({HOURLY}) WHERE samples >= 5"
 RISING = f"SELECT series, window_start FROM ({HOURLY}) WHERE increase > 250"
 
@@ -466,15 +477,15 @@ UNFOLDED = " UNION ALL ".join(
 SELECT "partition", "offset", op, {sign} AS sign, CAST(k AS VARCHAR) AS order_id,
   customer AS customer_id, {tag}_status AS status, {tag}_amount AS total_amount,
   {tag}_updated AS updated_at
-FROM ({order_log()}) WHERE {tag}_text IS NOT NULL AND i <> 2"""
+FROM ({order_log()}) WHERE {tag}_amount IS NOT NULL AND i <> 7"""
     for sign, tag in ((-1, "b"), (1, "a"))
 )
 
 SUSTAINED = f"""
 SELECT series, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS samples
-FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts)
-          - row_number() OVER (PARTITION BY series, "value" > 30 ORDER BY ts) AS stretch
-      FROM ({EVENTS}))
+FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts, event_id)
+          - row_number() OVER (PARTITION BY series, "value" > 30 ORDER BY ts, event_id) AS stretch
+      FROM ({MINUTE_EVENTS}))
 WHERE "value" > 30 GROUP BY series, stretch
 HAVING max(ts) - min(ts) >= INTERVAL '1 hour'"""
 
@@ -504,10 +515,15 @@ FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     "cdc_envelope_parse": f"SELECT * EXCLUDE (ingested_at) FROM ({O_BRONZE})",
     "cdc_quarantine": f"""
 SELECT "partition", "offset", op, ts_ms,
-  CASE WHEN op IS NULL THEN 'unreadable envelope' ELSE 'bad total_amount' END AS reason
-FROM ({order_log()}) WHERE i IN (2, 6)""",
+  CASE i WHEN 2 THEN 'bad total_amount' WHEN 6 THEN 'unreadable envelope' ELSE 'missing after' END
+    AS reason
+FROM ({order_log()}) WHERE i IN (2, 6, 7)""",
     "bronze_redelivery_dedup": f"""
 SELECT "partition", "offset", op, ts_ms FROM ({order_log(copies=False)})""",
+    "bronze_ingest_resume": f"""
+SELECT op, ts_ms, txn_id, "partition", "offset"
+FROM (SELECT op, ts_ms, CASE WHEN op IS NOT NULL THEN k END AS txn_id, "partition", "offset"
+      FROM ({order_log(copies=False)}))""",
     "changelog_unfold": UNFOLDED,
     "silver_orders": LIVE_ORDERS,
     "silver_orders_ignore_deletes": order_state("true"),

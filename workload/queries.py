@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tidelog import schemas
 from tidelog.functions.columns import money
 from tidelog.operators import changelog, contracts, envelope, gold, metrics, rates, serving, silver
+from tidelog.plans.medallion import append_new
 from tidelog.quality import gate
 from tidelog.quality.expectations import evaluate
 from tidelog.quality.suites import LAYERS, SUITES
 from tidelog.session import configure, new_folder
 from tidelog.sources.tables import bucket_upsert, days, identity, months, write_table
-from tidelog.sources.topics import to_messages
+from tidelog.sources.topics import Topic, read_records, to_messages
 from tidelog.streaming.windows import order_revenue
 from workload import domain, logs, streams
 
@@ -85,10 +86,9 @@ def gold_customer_metrics(spark, sf):
 
 @query
 def recency_churn(spark, sf):
-    last = gold.revenue_orders(domain.silver_orders(spark, sf)).groupBy("customer_id").agg(
-        F.max(F.to_date("created_at")).alias("last_order_date")
+    return gold.order_stats(domain.silver_orders(spark, sf), domain.AS_OF).select(
+        "customer_id", "last_order_date", "days_since_last_order", "is_churned"
     )
-    return gold.with_recency(last, F.lit(domain.AS_OF).cast("date"))
 
 
 # Change logs
@@ -211,9 +211,11 @@ def status_transition_audit_images(spark, sf):
 
 @query
 def gold_daily_revenue_from_log(spark, sf):
-    """Bronze to Silver to Gold from the change logs, deletes applied."""
-    orders = silver.silver_orders(logs.bronze_orders(spark, sf))
-    items = silver.silver_order_items(logs.bronze_order_items(spark, sf), orders)
+    """Bronze to Silver to Gold from the change logs, deletes applied; Silver orders land once."""
+    path = new_folder(spark, "silver-orders")
+    silver.silver_orders(logs.bronze_orders(spark, sf)).write.parquet(path)
+    orders = spark.read.parquet(path)
+    items = silver.silver_order_items(logs.bronze_order_items(spark, sf))
     return without_run_columns(gold.daily_revenue(orders, items, domain.RUN_TS))
 
 
@@ -250,6 +252,24 @@ def stream_bronze_cdc(spark, sf):
     )
 
 
+@query
+def bronze_ingest_resume(spark, sf):
+    """Order records landed by a run that broke off, with holes, and made up for by the next run."""
+    root = new_folder(spark, "resume")
+    topic = Topic("cdc.orders", path=f"{root}/topic")
+    landed, path = f"{root}/bronze", f"{root}/records"
+    logs.order_records(spark, sf).write.parquet(path)
+    records = spark.read.parquet(path)
+    broken_off = records.where("pmod(offset, 8) in (0, 3, 7) and pmod(offset div 8, 4) <> 1")
+    rows = envelope.parse_envelope(envelope.topic_values(broken_off), domain.RUN_TS)
+    append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed)
+    records.write.parquet(topic.path)
+    for _ in range(2):
+        rows = envelope.parse_envelope(envelope.topic_values(read_records(spark, topic)), domain.RUN_TS)
+        append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed)
+    return spark.read.parquet(landed).select("op", "ts_ms", "txn_id", "partition", "offset")
+
+
 @query
 def partition_layout(spark, sf):
     """Events written by day, month and topic, read back and counted per partition."""
@@ -270,7 +290,8 @@ def partition_layout(spark, sf):
 
 @query
 def fx_rates_to_events(spark, sf):
-    return rates.rates_to_events(logs.rate_payloads(spark, sf), fetched_at=domain.RUN_TS)
+    events = rates.rates_to_events(logs.rate_payloads(spark, sf), fetched_at=domain.RUN_TS)
+    return rates.sorted_events(events)
 
 
 @query
@@ -490,12 +511,18 @@ def samples(spark, sf) -> DataFrame:
         F.col("event_type").alias("series"),
         F.col("user_id").alias("member"),
         F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").alias("sample_id"),
         money(F.col("value")).alias("value"),
     )
 
 
+def minute_samples(spark, sf) -> DataFrame:
+    """Samples on whole minutes, so that many of a series share their time."""
+    return samples(spark, sf).withColumn("ts", F.date_trunc("minute", "ts"))
+
+
 def hourly_increase(spark, sf) -> DataFrame:
-    return metrics.increase(samples(spark, sf), ["series"], 3600)
+    return metrics.increase(minute_samples(spark, sf), ["series"], 3600, "sample_id")
 
 
 @query
@@ -513,14 +540,14 @@ def metric_increase_above(spark, sf):
 @query
 def metric_sum_by(spark, sf):
     """Daily growth per (series, member), summed without the member."""
-    grown = metrics.increase(samples(spark, sf), ["series", "member"], 86400)
+    grown = metrics.increase(samples(spark, sf), ["series", "member"], 86400, "sample_id")
     total = metrics.sum_by(grown, ["series", "window_start"], "increase")
     return total.withColumn("increase", money(F.col("increase")))
 
 
 @query
 def metric_sustained_alert(spark, sf):
-    return metrics.sustained(samples(spark, sf), ["series"], F.col("value") > 30, 3600)
+    return metrics.sustained(minute_samples(spark, sf), ["series"], F.col("value") > 30, 3600, "sample_id")
 
 
 @query
@@ -532,7 +559,7 @@ def metric_absent(spark, sf):
 
 @query
 def metric_topk(spark, sf):
-    grown = metrics.increase(samples(spark, sf), ["series", "member"], 3600)
+    grown = metrics.increase(samples(spark, sf), ["series", "member"], 3600, "sample_id")
     return metrics.top_series(grown, ["series", "member"], 10).withColumn(
         "increase", money(F.col("increase"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelog import schemas
 from tidelog.functions.columns import money
 from tidelog.operators.envelope import bronze_events
-from tidelog.session import ROCKSDB, new_folder, setting
+from tidelog.session import new_folder, setting
 from tidelog.sources.topics import Topic, from_messages, read_records, stream_records
 from tidelog.streaming.jobs import start_append, start_bronze, start_order_revenue
 from tidelog.streaming.windows import tumbling_revenue
@@ -71,7 +71,6 @@ def stream_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     root = new_folder(spark, "tumbling")
     records = logs.event_amount_records(spark, sf_dir)
     topic = Topic("raw.events", path=f"{root}/in")
