@@ -135,7 +135,7 @@ class Index:
             held = np.where((self.keys[at] == wanted)[:, None], self.impacts[at], np.float32(0))
             share = np.add.reduceat(held, np.cumsum(size) - size, axis=0) / self.own[block]
             over, lane = np.nonzero(share * 1.0001 >= SCORE)
-            found += zip(passage[first[row[over]]].tolist(), (block[over] * BLOCK + lane).tolist(), share[over, lane].tolist(), strict=True)
+            found += zip(passage[first[row[over]]].tolist(), (block[over] * self.own.shape[1] + lane).tolist(), share[over, lane].tolist(), strict=True)
         return found
 
     def matches(self, documents: list[bytes]) -> list[tuple[int, int, float, float, float, int]]:

@@ -85,6 +85,7 @@ def branches(messages: DataFrame, top: int | None = 1) -> DataFrame:
     ``messages`` has ``tree, node, parent, role, text`` and optionally ``score``; nodes are unique. Of each tree the ``top``
     branches with the highest scores are listed, all of them for None.
     """
+    messages = messages.withColumns({c: F.coalesce(c, F.lit("")) for c in ("role", "text")})
     score = F.coalesce(F.col("score"), F.lit(0.0)).cast("double") if "score" in messages.columns else F.lit(0.0)
     head, body = header(F.col("role")), escaped(F.col("text"))
     pieces = messages.select("tree", "node", "parent", score.alias("score"), (F.length(head) + F.length(body) + len(_END)).alias("width"))
