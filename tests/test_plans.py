@@ -72,11 +72,11 @@ def test_top_customers_sort_no_more_than_the_result(spark):
 def test_ordered_scans_shuffle_twice_and_never_join(spark):
     samples = saved(
         domain.table(spark, SMALL, "events").select(
-            F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), "value"
+            F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value"
         ),
         "samples",
     )
-    text = plan(sustained(samples, ["series"], F.col("value") > 30, 60))
+    text = plan(sustained(samples, ["series"], F.col("value") > 30, 60, "event_id"))
     assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
     bronze = saved(logs.bronze_orders(spark, SMALL), "bronze")
     text = plan(transition_audit(bronze, "log"))

@@ -373,7 +373,16 @@ QUALITY_TABLES: dict[str, Query] = {
 
 
 def quality_tables(spark, sf, layers=tuple(LAYERS)) -> dict[str, DataFrame]:
-    return {n: QUALITY_TABLES[n](spark, sf) for layer in layers for n in LAYERS[layer]}
+    """Each table built once and landed, as the batch chain does before its gate.
+
+    A suite scans its table once for the row rules and once for each unique key.
+    """
+    tables = {}
+    for name in (n for layer in layers for n in LAYERS[layer]):
+        path = new_folder(spark, "gated")
+        QUALITY_TABLES[name](spark, sf).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    return tables
 
 
 def _suite_query(name: str) -> Query:
