@@ -75,6 +75,30 @@ def test_question_and_answer_columns(spark):
     assert [r.doc_id for r in dec.contaminated(docs, dec.indexes(items, question="q", answer="a")).collect()] == [1]
 
 
+def stands(part: str, doc: str) -> bool:
+    """Whether the words of a part stand side by side in a document."""
+    w, d = words(part), words(doc)
+    return any(d[i : i + len(w)] == w for i in range(len(d) - len(w) + 1))
+
+
+def test_short_halves_and_answers_are_found_word_for_word(spark):
+    items = [(i, prose(3000 + i, 8 + i % 3)) for i in range(12)] + [(20, f"{prose(3100, 6)} = ( + ) / - {prose(3101, 2)}")]
+    docs = [(i, f"{prose(3200 + i, 40)} {item}. {prose(3300 + i, 40)}") for i, item in items]
+    docs += [(100 + i, f"{prose(3200 + i, 40)} {' '.join(reversed(item.split()))} {prose(3300 + i, 40)}") for i, item in items]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dec.contaminated(table, dec.indexes(spark.createDataFrame(items, "item_id long, text string"))).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((d, i) for d, text in docs for i, item in items if stands(item, text))
+    assert {r.doc_id for r in got} == {i for i, _ in items}
+
+    asked = [(1, prose(3400, 12), "Paris"), (2, prose(3401, 12), "42"), (3, prose(3402, 12), "b"), (4, prose(3403, 12), "the red sea")]
+    told = [(i, f"{prose(3500 + i, 30)} {q}? Answer: {a}. {prose(3600 + i, 30)}") for i, q, a in asked]
+    told += [(10 + i, f"{prose(3500 + i, 30)} {q}? {prose(3600 + i, 30)}") for i, q, _ in asked] + [(24, f"{asked[3][1]}? the sea is red")]
+    table = spark.createDataFrame(told, "doc_id long, text string")
+    got = dec.contaminated(table, dec.indexes(spark.createDataFrame(asked, "item_id long, q string, a string"), question="q", answer="a")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((d, i) for d, text in told for i, q, a in asked if stands(q, text) and stands(a, text))
+    assert {r.doc_id for r in got} == {1, 2, 3, 4}
+
+
 def test_empty_tables(tables):
     _, _, doc_table, item_table = tables
     assert dec.contaminated(doc_table.limit(0), dec.indexes(item_table)).count() == 0

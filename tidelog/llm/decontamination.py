@@ -7,7 +7,8 @@ item fits into some passage) and every passage queries the index: the sums of th
 the scores in a block, blocks whose bound is below all their items' thresholds are skipped, the others
 are scored. An item's threshold is ``SCORE`` times the score of its own text. All items at or above it
 are retrieved and then verified: of both the question's and the answer's five-word shingles a share of
-``OVERLAP`` must stand in the passage. An item without fields of its own counts its first half as question.
+``OVERLAP`` must stand in the passage; a question or answer with fewer words must stand there as a whole.
+An item without fields of its own counts its first half as question.
 
 Items are indexed in shards of at most ``SHARD`` items, each with its own pass over the texts; word
 statistics cover all items. Words are runs of ASCII letters, digits and non-ASCII characters of the lower-cased text.
@@ -47,9 +48,8 @@ def _split(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Distinct hashes of runs of ``size`` words, or of all of them where there are fewer."""
-    size = min(size, len(words))
-    if not size:
+    """Distinct hashes of runs of ``size`` words, none where there are fewer."""
+    if not 0 < size <= len(words):
         return np.zeros(0, dtype=np.uint64)
     joined = words[: len(words) - size + 1].copy()
     for step in range(1, size):
@@ -87,7 +87,8 @@ class Index:
     def __init__(self, rows: list[tuple[int, str, str]], words: np.ndarray, owners: np.ndarray, impacts: np.ndarray) -> None:
         self.names = [name for name, _, _ in rows]
         parts = [(_split([q.encode()])[0], _split([a.encode()])[0]) for _, q, a in rows]
-        self.parts = [(shingles(q), shingles(a)) for q, a in parts]
+        # The size of each part's shingles, and the shingles: a part with fewer words than one is a shingle itself.
+        self.parts = [[(size := min(SHINGLE, len(part)), shingles(part, size)) for part in pair] for pair in parts]
         self.stride = max(32, *(len(q) + len(a) for q, a in parts))
         self.blocks = -(-len(rows) // BLOCK)
         self.words, place = np.unique(words, return_inverse=True)
@@ -158,11 +159,16 @@ class Index:
         keys.sort()
         keys = keys[np.flatnonzero(np.diff(keys, prepend=-1))]
         found: dict[tuple[int, int], tuple[float, float, float, int]] = {}
+        seen: dict[int, np.ndarray] = {}
+        latest = -1
         for p, item, share in self.retrieve(keys // len(self.words), keys % len(self.words)):
             text = int(text_of[p])
             begin = int(begins[text] + (p - first[text]) * self.stride)
-            seen = shingles(hashes[begin : min(begin + 2 * self.stride, int(begins[text] + count[text]))])
-            overlaps = [float(np.isin(part, seen, assume_unique=True).mean()) if len(part) else 1.0 for part in self.parts[item]]
+            if p != latest:
+                seen, latest = {}, p
+            for size in {size for size, _ in self.parts[item]} - seen.keys():
+                seen[size] = shingles(hashes[begin : min(begin + 2 * self.stride, int(begins[text] + count[text]))], size)
+            overlaps = [float(np.isin(part, seen[size], assume_unique=True).mean()) if size else 1.0 for size, part in self.parts[item]]
             if min(overlaps) >= OVERLAP:
                 row = (share, *overlaps, begin - int(begins[text]))
                 if row[:3] > found.get((text, item), (0.0,))[:3]:
