@@ -99,6 +99,30 @@ def test_short_halves_and_answers_are_found_word_for_word(spark):
     assert {r.doc_id for r in got} == {1, 2, 3, 4}
 
 
+def test_items_of_a_few_words_must_stand_word_for_word(spark):
+    items = [(1, "What is the capital of France?"), (2, "alpha beta gamma"), (3, "omega"), (4, "...")]
+    docs = [(i, f"{prose(4000 + i, 40)}! {t} {prose(4100 + i, 40)}.") for i, t in items]
+    docs += [(11, f"{prose(4200, 30)} what is the one capital of France {prose(4201, 30)}"), (12, "gamma beta alpha, alpha beta"), (13, "omegas"), (14, "Omega")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    shards = list(dec.indexes(spark.createDataFrame(items, "item_id long, text string")))
+    wanted = sorted((d, i) for d, text in docs for i, item in items if words(item) and stands(item, text))
+    assert sorted((r.doc_id, r.item_id) for r in dec.contaminated(table, shards).collect()) == wanted
+    assert {(1, 1), (2, 2), (3, 3), (14, 3)} <= set(wanted) and not {11, 13} & {d for d, _ in wanted}
+    assert {r.doc_id for r in dec.clean(table, shards).collect()} == {d for d, _ in docs} - {d for d, _ in wanted}
+
+    asked = spark.createDataFrame([(1, "who wrote it", "she did")], "item_id long, q string, a string")
+    docs = spark.createDataFrame([(1, "Who wrote it? She did."), (2, "who wrote it? did she"), (3, "she did, he wrote it")], "doc_id long, text string")
+    assert [r.doc_id for r in dec.contaminated(docs, dec.indexes(asked, question="q", answer="a")).collect()] == [1]
+
+
+def test_scripts_without_blanks(spark):
+    items = [(1, "法国的首都是什么城市？"), (2, "日本で一番高い山は何ですか"), (3, "เมืองหลวงของประเทศไทยคืออะไร"), (4, "首都")]
+    docs = [(1, "问题：法国的首都是什么城市？答案：巴黎。"), (2, "先生は日本で一番高い山は何ですかと聞いた。"), (3, "เขาถามว่าเมืองหลวงของประเทศไทยคืออะไรครับ"), (4, "北京是首都。"), (5, "都首是京北"), (6, "山は高い")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dec.contaminated(docs, dec.indexes(spark.createDataFrame(items, "item_id long, text string"))).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (1, 4), (2, 2), (3, 3), (4, 4)]
+
+
 def test_empty_tables(tables):
     _, _, doc_table, item_table = tables
     assert dec.contaminated(doc_table.limit(0), dec.indexes(item_table)).count() == 0

@@ -8,18 +8,21 @@ the scores in a block, blocks whose bound is below all their items' thresholds a
 are scored. An item's threshold is ``SCORE`` times the score of its own text. All items at or above it
 are retrieved and then verified: of both the question's and the answer's five-word shingles a share of
 ``OVERLAP`` must stand in the passage; a question or answer with fewer words must stand there as a whole.
-An item without fields of its own counts its first half as question.
+An item without fields of its own counts its first half as question. An item of fewer than ``LEAST``
+words must stand word for word: both its fields as whole runs, or its whole text where it has none.
 
 Items are indexed in shards of at most ``SHARD`` items, each with its own pass over the texts; word
-statistics cover all items. Words are runs of ASCII letters, digits and non-ASCII characters of the lower-cased text.
+statistics cover all items. Words are runs of ASCII letters, digits and non-ASCII characters of the lower-cased text;
+each character of a script that is written without blanks (Han, kana, Thai, Lao, Tibetan, Burmese, Khmer
+and others) is a word of its own, so its shingles are character n-grams, and the punctuation of these scripts separates words.
 
-Null and empty texts match nothing; items with a null text or fewer than ``LEAST`` words are not
-indexed. Repeated rows and ties give a row each, equal items too; rows with a null id are reported
+Null and empty texts match nothing; items with a null text or without a word are not indexed. Repeated rows and ties give a row each, equal items too; rows with a null id are reported
 with it. Empty tables give an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -40,10 +43,26 @@ _SEPARATORS[128:] = False
 for _span in (b"09", b"AZ", b"az"):
     _SEPARATORS[_span[0] : _span[1] + 1] = False
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
+#: Punctuation of the scripts without blanks and full-width punctuation; their characters.
+_STOPS = "\u0e2f\u0e46\u0e4f\u0e5a\u0e5b\u0f04-\u0f14\u104a-\u104f\u17d4-\u17da\u3000-\u3004\u3008-\u3020\u3030\u303d-\u303f\u30a0\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65"
+_UNSPACED = (
+    "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u302f\u3031-\u303c\u3040-\u312f\u31a0-\u4dbf\u4e00-\ua4cf"
+    "\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00016fe0-\U00018dff\U0001aff0-\U0001b2ff\U00020000-\U0003ffff"
+)
+_STOP, _CHARACTER = re.compile(f"[{_STOPS}]"), re.compile(f"[{_UNSPACED}]")
+#: Bytes with which these characters begin in UTF-8.
+_LEAD = re.compile(rb"[\xe0-\xea\xef\xf0]")
+
+
+def _spaced(document: bytes) -> bytes:
+    """The text with blanks around each character of a script without blanks."""
+    if document.isascii() or not _LEAD.search(document):
+        return document
+    return _CHARACTER.sub(r" \g<0> ", _STOP.sub(" ", document.decode(errors="surrogateescape"))).encode(errors="surrogateescape")
 
 
 def _split(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    hashes, owner, _, _ = words_of(documents, _SEPARATORS)
+    hashes, owner, _, _ = words_of([_spaced(d) for d in documents], _SEPARATORS)
     return hashes, owner
 
 
@@ -72,7 +91,7 @@ def postings(items: DataFrame) -> DataFrame:
                     [item, pa.array(pairs[:, 1].astype(np.int64)), pa.array(count.astype(np.int64)), pa.array(length[row])], ["item", "word", "tf", "length"]
                 )
 
-    terms = landed(items.mapInArrow(run, "item long, word long, tf long, length long").where(F.col("length") >= LEAST), "terms")
+    terms = landed(items.mapInArrow(run, "item long, word long, tf long, length long"), "terms")
     total = terms.select("item", "length").distinct().agg(F.count("*").alias("items"), F.avg("length").alias("mean"))
     frequency = terms.groupBy("word").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -84,11 +103,14 @@ def postings(items: DataFrame) -> DataFrame:
 class Index:
     """One shard: words with their impacts by block, block maxima, and the items' thresholds and shingles."""
 
-    def __init__(self, rows: list[tuple[int, str, str]], words: np.ndarray, owners: np.ndarray, impacts: np.ndarray) -> None:
+    def __init__(self, rows: list[tuple[int, str, str]], words: np.ndarray, owners: np.ndarray, impacts: np.ndarray, halved: bool) -> None:
         self.names = [name for name, _, _ in rows]
         parts = [(_split([q.encode()])[0], _split([a.encode()])[0]) for _, q, a in rows]
-        # The size of each part's shingles, and the shingles: a part with fewer words than one is a shingle itself.
-        self.parts = [[(size := min(SHINGLE, len(part)), shingles(part, size)) for part in pair] for pair in parts]
+        short = [len(q) + len(a) < LEAST for q, a in parts]
+        if halved:
+            parts = [(np.concatenate([q, a]), a[:0]) if s else (q, a) for (q, a), s in zip(parts, short, strict=True)]
+        # The size of each part's shingles, and the shingles: a part with fewer words than one, or of a short item, is a shingle itself.
+        self.parts = [[(size := len(part) if s else min(SHINGLE, len(part)), shingles(part, size)) for part in pair] for pair, s in zip(parts, short, strict=True)]
         self.stride = max(32, *(len(q) + len(a) for q, a in parts))
         self.blocks = -(-len(rows) // BLOCK)
         self.words, place = np.unique(words, return_inverse=True)
@@ -179,7 +201,8 @@ class Index:
 def indexes(items: DataFrame, key: str = "item_id", text: str = "text", question: str | None = None, answer: str | None = None) -> Iterator[Broadcast]:
     """The shards of the index over all items, each with about ``SHARD`` items."""
     spark = ship(items.sparkSession)
-    if question and answer:
+    halved = not (question and answer)
+    if not halved:
         asked, told = F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))
     else:
         # The item's words in two halves: the first is the question.
@@ -200,7 +223,7 @@ def indexes(items: DataFrame, key: str = "item_id", text: str = "text", question
             number = {r["item"]: i for i, r in enumerate(held)}
             owners = terms["item"].map(number).to_numpy(dtype=np.int64)
             rows = [(r["name"], r["question"], r["answer"]) for r in held]
-            yield spark.sparkContext.broadcast(Index(rows, terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy()))
+            yield spark.sparkContext.broadcast(Index(rows, terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy(), halved))
 
 
 def contaminated(docs: DataFrame, shards: Iterable[Broadcast], key: str = "doc_id", text: str = "text") -> DataFrame:
