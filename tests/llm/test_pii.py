@@ -67,6 +67,29 @@ def test_added_spans(weights):
         assert found(clean) == []
 
 
+def test_secrets_with_few_digits_and_short_spelled_addresses(weights):
+    found = lambda t: [(k, t[s:e]) for k, s, e in pii.added_spans(t, base_spans(t), weights)]
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for n in range(7):
+        for size in (16, 20, 24, 30):
+            value = rng.choices(letters, k=size)
+            for at in rng.sample(range(size), n):
+                value[at] = str(rng.randrange(10))
+            for name in ("password=", 'token = "', "api_key: ", "the_secret="):
+                text = f"{prose(n, 8)} {name}{''.join(value)} {prose(size, 8)}"
+                assert [k for k, _ in found(text)] == ["secret"] and found(text)[0][1].endswith("".join(value)), text
+                assert "".join(value) not in pii.mask(text, weights)
+    for value in ("correcthorsebattery", "abcdefghijkl"):
+        assert value not in pii.mask(f"alpha password={value} omega", weights)
+    for text in ('what token = "AbCdEfGhIjKlMnOpQ"### the', '{"api_key":"abcdefGhIjklmnop","n":1}', "at https://h.example/?token=QwErTyUiOpAsDfGh&n=1 now"):
+        assert not re.search("AbCdEfGhIjKlMnOpQ|abcdefGhIjklmnop|QwErTyUiOpAsDfGh", pii.mask(text, weights))
+    for address in ("10[.]0[.]0[.]1", "1[.]2[.]3[.]4", "10 dot 0 dot 0 dot 1", "8(.)8(.)8(.)8"):
+        assert found(f"from {address} at night") == [("ip", address)]
+    for clean in ("the password must be changed today", "a token of appreciation", "secretary of understanding", "see part-2-of-the-series there", "keyboard and tokens are 3 and 4"):
+        assert found(clean) == []
+
+
 def test_added_spans_leave_base_spans_alone(weights):
     for seed in range(300, 360):
         text = personal(seed) + " " + personal(seed + 100)

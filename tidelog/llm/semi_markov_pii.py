@@ -4,12 +4,12 @@ The field scores whole candidate segments (digit counts and groups, check digit,
 the words around), not letters or words one by one, and dynamic programming over the words of a stretch
 chooses the boundaries and kinds of all its entities together. An entity has at most ``WORDS`` words and
 ``LETTERS`` code points. Matches of the base patterns always stay; the field decides the stretches
-between them, where it finds numbers without a plus sign, e-mail addresses spelled with words, card numbers with other
-separators, and secrets.
+between them, where it finds numbers without a plus sign, e-mail and IP addresses with spelled signs, card numbers with other
+separators, and secrets: runs of 12 and more letters and digits, also of letters alone behind a name such as password or token.
 
 Training maximises the likelihood of labelled stretches, which come from the texts themselves: those
 around base matches, the same with the match rewritten in another form, and the same with the match
-broken (a wrong check digit, a missing part), where it must not be found. It reads at most ``SAMPLE``
+broken (a wrong check digit, a missing part), where it must not be found. Stretches whose label is no candidate are left out. It reads at most ``SAMPLE``
 texts, those with the smallest hash of their id, in one task. Without any base match nothing is added.
 
 Null and empty texts have no spans. Whole texts are read, of any length. Rows are independent: ties
@@ -38,14 +38,25 @@ WORDS, LETTERS = 8, 120
 #: All kinds: those of the base patterns, and secrets, which the field alone finds.
 ALL = (*KINDS, "secret")
 
-_TRIGGER = re.compile(r"[0-9]{2,}|@|[\[(]at[\])]| dot ", re.I)
+_TRIGGER = re.compile(r"[0-9]{2,}|@|[\[(](?:at|dot|\.)[\])]| dot ", re.I)
 _WORD = re.compile(r"\S+")
 _EDGE_LEFT, _EDGE_RIGHT = "\"'<[{,;:", "\"'>]},;:.!?"
 _SPELLED_AT, _SPELLED_DOT = re.compile(r"[\[(]at[\])]| at ", re.I), re.compile(r"[\[(]dot[\])]| dot ", re.I)
 _JOINT = re.compile(r"^[\[(]?(at|dot)[\])]?$", re.I)
 _NAMED = re.compile(r"^(password|passwd|pwd|token|secret|api[_-]?key)\b", re.I)
 _SECRET = re.compile(r"(?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=:]\s?\"?([A-Za-z0-9_-]{12,})", re.I)
+_NAME = r"(?:password|passwd|pwd|token|secret|api[_-]?key)"
+#: What may follow a value in its word.
+_TAIL = r"(?:[^\sA-Za-z0-9_-]\S*)?"
+_NAME_ANYWHERE, _NAME_BEFORE = re.compile(_NAME, re.I), re.compile(rf"(?:\S*[^A-Za-z])?{_NAME}\"?[=:]?", re.I)
+_NAMED_VALUE = re.compile(rf"(?:\S*[^A-Za-z\s])?{_NAME}\"?\s?[=:]\s?[\"']?[A-Za-z0-9_-]{{12,}}{_TAIL}", re.I)
+#: Letters that a text with a name has, for a cheap test.
+_NAME_PARTS = ("passw", "pwd", "token", "secret", "key")
+_RUN, _VALUE = re.compile(r"[A-Za-z0-9_-]{12,}"), re.compile(rf"[A-Za-z0-9_-]{{12,}}{_TAIL}")
+_IP_DOT = r"(?:\s?[\[(](?:\.|dot)[\])]\s?|\s+dot\s+)"
+_SPELLED_IP = re.compile(rf"[0-9]{{1,3}}(?:{_IP_DOT}[0-9]{{1,3}}){{3}}", re.I)
 _GROUP = re.compile(r"[0-9]+")
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _REACH, _EPOCHS, _RATE, _DECAY = 40, 14, 0.08, 1e-4
 
 
@@ -57,6 +68,15 @@ def _trimmed(text: str, begin: int, end: int) -> tuple[int, int]:
     return begin, end
 
 
+def _mixed(run: str) -> bool:
+    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+
+
+def _named(s: str, before: str) -> bool:
+    """Whether a segment is a run behind a name, of letters alone only behind a sign or with capitals inside."""
+    return bool(_VALUE.fullmatch(s) and _NAME_BEFORE.fullmatch(before) and (before[-1] in "=:" or _mixed(s) or any(c.isupper() for c in s[1:])))
+
+
 def features(text: str, begin: int, end: int, words: int, before: str, after: str) -> np.ndarray:
     """Whole-span features of a candidate segment between the words ``before`` and ``after``."""
     s = text[begin:end]
@@ -66,7 +86,7 @@ def features(text: str, begin: int, end: int, words: int, before: str, after: st
     sizes = [len(g) for g in groups]
     letters = sum(c.isalpha() for c in s)
     spaced, parts = f" {s} ", s.split()
-    longest = max((len(w) for w in re.findall(r"[A-Za-z0-9_-]+", s) if any(c.isdigit() for c in w) and any(c.isalpha() for c in w)), default=0)
+    longest = max((len(w) for w in re.findall(r"[A-Za-z0-9_-]+", s) if _mixed(w)), default=0)
     bare = letters == 0
     return np.array(
         [
@@ -79,21 +99,26 @@ def features(text: str, begin: int, end: int, words: int, before: str, after: st
             s.count("@") == 1 and not s.startswith("@") and "." in s.partition("@")[2].strip("."), "@" in s,
             bool(_SPELLED_AT.search(spaced) and (_SPELLED_DOT.search(spaced) or "." in s)) and words >= 2, bool(_SPELLED_DOT.search(spaced)),
             longest >= 12, longest >= 16, longest >= 12 and bool(_NAMED.match(s)), longest >= 12 and bool(_NAMED.match(before)),
-            letters > 0 and longest == 0 and "@" not in s, words / WORDS, len(s) / LETTERS, s[:1] in "-./" or s[-1:] in "-/(",
+            letters > 0 and longest == 0 and "@" not in s and not _NAMED_VALUE.fullmatch(s), words / WORDS, len(s) / LETTERS, s[:1] in "-./" or s[-1:] in "-/(",
             bool(_JOINT.match(before)), bool(_JOINT.match(after)), bool(_JOINT.match(parts[0])), bool(_JOINT.match(parts[-1])),
+            bool(_NAMED_VALUE.fullmatch(s)), _named(s, before), bool(_SPELLED_IP.fullmatch(s)) and all(int(g) <= 255 for g in groups),
         ],
         dtype=np.float64,
     )
 
 
-def _possible(s: str) -> bool:
+def _possible(s: str, before: str) -> bool:
     """A cheap test that leaves out segments of which no kind can be."""
     n = sum(c.isdigit() and c.isascii() for c in s)
     if "@" in s or n >= 7:
         return True
     if _SPELLED_AT.search(f" {s} ") and (_SPELLED_DOT.search(f" {s} ") or "." in s):
         return True
-    return False
+    if n >= 4 and _SPELLED_IP.fullmatch(s):
+        return True
+    if len(s) < 12:
+        return False
+    return bool(n and any(map(_mixed, _RUN.findall(s))) or _NAMED_VALUE.fullmatch(s) or _named(s, before))
 
 
 class Stretch:
@@ -108,8 +133,8 @@ class Stretch:
                 b, e = _trimmed(text, self.words[i][0], self.words[j][1])
                 if e - b > LETTERS:
                     break
-                if e > b and _possible(text[b:e]):
-                    before = text[slice(*self.words[i - 1])] if i else ""
+                before = text[slice(*self.words[i - 1])] if i else ""
+                if e > b and _possible(text[b:e], before):
                     self.segments.append((i, j + 1, b, e))
                     after = text[slice(*self.words[j + 1])] if j + 1 < len(self.words) else ""
                     rows.append(features(text, b, e, j - i + 1, before, after))
@@ -169,14 +194,23 @@ class Stretch:
         return self.x.T @ (wanted - expected)
 
 
-def stretches(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """The pieces of text around numbers and address signs, without the spans already taken."""
+def _marks(text: str) -> list[tuple[int, int]]:
+    """Where a text has numbers, address signs, names of secrets, and long runs of letters and digits."""
     marks = [m.span() for m in _TRIGGER.finditer(text)]
+    marks += [m.span() for m in _RUN.finditer(text) if _mixed(m[0])]
+    low = text.lower()
+    if any(part in low for part in _NAME_PARTS):
+        marks += [m.span() for m in _NAME_ANYWHERE.finditer(text)]
+    return sorted(marks)
+
+
+def stretches(text: str, taken: list[Span], marks: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
+    """The pieces of text around its marks, without the spans already taken."""
     pieces: list[list[int]] = []
-    for b, e in marks:
+    for b, e in _marks(text) if marks is None else marks:
         b, e = max(0, b - _REACH), min(len(text), e + _REACH)
         if pieces and b <= pieces[-1][1]:
-            pieces[-1][1] = e
+            pieces[-1][1] = max(pieces[-1][1], e)
         else:
             pieces.append([b, e])
     free = []
@@ -204,7 +238,7 @@ def stretches(text: str, taken: list[Span]) -> list[tuple[int, int]]:
 
 def added_spans(text: str, base: list[Span], w: np.ndarray | None) -> list[Span]:
     """Spans that the field adds to the base ones; none of them meets a base span."""
-    if w is None or not _TRIGGER.search(text):
+    if w is None or not (marks := _marks(text)):
         return []
     taken = sorted(base, key=lambda s: (s[1], s[2]))
     merged: list[Span] = []
@@ -214,7 +248,7 @@ def added_spans(text: str, base: list[Span], w: np.ndarray | None) -> list[Span]
         else:
             merged.append((kind, s, t))
     begins = [s for _, s, _ in merged]
-    found = [x for b, e in stretches(text, merged) for x in Stretch(text, b, e).best(w)]
+    found = [x for b, e in stretches(text, merged, marks) for x in Stretch(text, b, e).best(w)]
     return [x for x in found if not overlaps(merged, begins, x[1], x[2])]
 
 
@@ -230,6 +264,16 @@ def _rewritten(kind: str, s: str, rng: random.Random) -> str:
     if kind == "phone":
         local = digits[-10:].rjust(10, "5")
         return rng.choice(("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}")).format(local[:3], local[3:6], local[6:])
+    if kind == "ip":
+        return rng.choice(("[.]", "(.)", "[dot]", " dot ")).join(s.split("."))
+    if kind == "secret":
+        # Another value with 0 to 6 digits, behind this or another name.
+        size = rng.randint(12, 40)
+        name = rng.choice((s[: s.rindex(_RUN.findall(s)[-1])], "password=", 'token = "', "api_key: ", "secret = "))
+        value = rng.choices(_LETTERS if rng.random() < 0.7 else _LETTERS[:26], k=size)
+        for at in rng.sample(range(size), rng.randint(0, 6)):
+            value[at] = rng.choice("0123456789")
+        return name + "".join(value)
     return s
 
 
@@ -240,6 +284,8 @@ def _broken(kind: str, s: str, rng: random.Random) -> str:
         return rng.choice((s.partition("@")[0] + "@", "@" + s.partition("@")[0], s.partition("@")[0] + " at the " + s.partition("@")[2].split(".")[0]))
     if kind == "ip":
         return rng.choice((s.replace(".", ", "), f"{rng.randint(256, 999)}." + s.partition(".")[2], "20{:02}-{:02}-{:02} {:02}:{:02}:{:02}".format(*(rng.randint(1, 28) for _ in range(6)))))
+    if kind == "secret":
+        return rng.choice(("part-{}-of-the-series", "chapter-{}-to-the-end", "{}th-anniversary", "version-{}-released")).format(rng.randint(2, 99))
     if kind == "card":
         return digits[:-1] + str((int(digits[-1]) + rng.randint(1, 9)) % 10)
     return rng.choice((digits[:7], digits[:9], f"{digits[:4]} {digits[4:8]}", f"20{rng.randint(10, 29)}-{rng.randint(10, 12)}-{rng.randint(10, 28)} {digits[:4]}", f"{digits[:3]},{digits[3:6]},{digits[6:9]}"))
@@ -256,9 +302,10 @@ def labelled(text: str, rng: random.Random) -> list[tuple[str, list[Span]]]:
             core = core.replace('"', "")
         if others:
             left, right = "", ""
-        forms = [(core, kind)] if kind == "secret" else [(core, kind), (_rewritten(kind, core, rng), kind), (_broken(kind, core, rng), None)]
+        forms = [(core, kind), (_rewritten(kind, core, rng), kind), (_broken(kind, core, rng), None)]
         if kind == "secret":
-            forms.append((re.sub(r"[0-9]", "x", core), None))
+            # Values are more diverse than other data.
+            forms += [(_rewritten(kind, core, rng), kind), (_rewritten(kind, core, rng), kind)]
         for form, label in forms:
             new = f"{left.rstrip()} {form} {right.lstrip()}" if form != core else left + form + right
             b = new.find(form)
@@ -274,7 +321,7 @@ def fit(sample: list[str]) -> np.ndarray | None:
         return None
     rng.shuffle(examples)
     data = [(Stretch(t, 0, len(t)), gold) for t, gold in examples[:STRETCHES]]
-    data = [(s, gold) for s, gold in data if s.segments]
+    data = [(s, gold) for s, gold in data if s.segments and {x[1:] for x in gold} <= {x[2:] for x in s.segments}]
     if not data:
         return None
     w = np.zeros((data[0][0].x.shape[1], len(ALL)))
@@ -290,9 +337,9 @@ def fit(sample: list[str]) -> np.ndarray | None:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray | None:
-    """Weights from a bounded sample of the texts that hold digits or an address sign."""
+    """Weights from a bounded sample of the texts that hold digits, an address sign or the name of a secret."""
     ship(docs.sparkSession)
-    rows = docs.select(F.xxhash64(key).alias("h"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9]{4}|@"))
+    rows = docs.select(F.xxhash64(key).alias("h"), F.col(text).alias("text")).where(F.col("text").rlike(f"[0-9]{{4}}|@|(?i:{_NAME})"))
     bound = rows.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
     if bound is None:
         return None
