@@ -7,7 +7,7 @@ import corpus_pipeline
 from tests.llm.conftest import prose
 from tests.llm.test_near_duplicates import brute
 from tests.llm.test_pii import personal
-from tests.llm.test_quality import junk
+from tests.llm.test_pu_quality import junk
 from tidelog.llm.pii_patterns import base_spans
 
 
