@@ -75,7 +75,7 @@ def test_run_applies_all_stages(spark, tmp_path):
 
 def test_every_query_is_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= names
 
 

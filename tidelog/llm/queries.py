@@ -8,7 +8,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontamination, host_suffixes, order_minhash, pu_quality, reply_trees, semi_markov_pii, speculative_bpe, tensored_minhash, token_prefixes, warc
+from tidelog.llm import (
+    decontamination,
+    host_suffixes,
+    importance_resampling,
+    license_scan,
+    order_minhash,
+    pu_quality,
+    reply_trees,
+    semi_markov_pii,
+    speculative_bpe,
+    tensored_minhash,
+    token_alignment,
+    token_prefixes,
+    warc,
+)
 from tidelog.llm.common import landed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +125,70 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words and more, drawn towards the word distribution of the benchmark."""
+    return importance_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10)
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every text."""
+    scanned = license_scan.scan(table(spark, sf_dir, "documents"))
+    phrases = F.filter("matches", lambda m: m["phrase"])
+    places = F.transform(phrases, lambda m: m["first_word"])
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size(phrases).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        license_scan.labels_of(phrases).alias("base_labels"),
+        license_scan.labels_of(F.col("matches")).alias("labels"),
+        "score",
+    )
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of a byte-level and a piece vocabulary, weighed by their counts in the corpus."""
+    return token_alignment.statistics(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+
+
+_WORDS_SQL = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op11_resampling"] = f"""
+WITH doc_words AS (SELECT doc_id, {_WORDS_SQL.format("coalesce(text, '')")} AS words FROM documents),
+bench_words AS (SELECT unnest({_WORDS_SQL.format("coalesce(text, '')")}) AS word FROM benchmark),
+crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS crc
+    FROM range(256) AS r(i)
+),
+distinct_words AS (SELECT DISTINCT word FROM (SELECT unnest(words) AS word FROM doc_words UNION ALL SELECT word FROM bench_words)),
+letters AS (
+    SELECT word, list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT) AS bytes FROM distinct_words
+),
+bucket_of AS (
+    SELECT word, xor(list_reduce([4294967295] || bytes, lambda c, b: xor(crc[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 10000 AS bucket FROM letters, crc_table
+),
+features AS (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(words) AS word FROM doc_words) JOIN bucket_of USING (word)),
+s AS (SELECT bucket, count(*) AS n FROM features GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bench_words JOIN bucket_of USING (word) GROUP BY bucket),
+gains AS (
+    SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+        / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s LEFT JOIN t ON s.bucket = t.bucket
+),
+weights AS (SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM features JOIN gains USING (bucket) GROUP BY doc_id),
+scores AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM doc_words LEFT JOIN weights USING (doc_id)
+),
+drawn AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20
+)
+SELECT scores.doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank FROM scores LEFT JOIN drawn USING (doc_id)
+"""
