@@ -8,6 +8,7 @@ from changes import RECORD_COLUMNS, change, order
 
 from tidelog.plans.medallion import run_batch, table_path
 from tidelog.session import new_folder
+from tidelog.sources.ledger import Ledger
 from tidelog.sources.topics import Topic
 
 AT = "2024-05-01T10:00:00Z"
@@ -82,10 +83,16 @@ def test_second_run_lands_only_new_records(shop, spark):
     assert shop.read("one", "silver.orders").count() == 2
 
 
-def test_holes_of_a_broken_run_are_filled(shop, spark):
+def test_holes_of_a_broken_run_are_filled(shop, spark, monkeypatch):
     shop.send("orders", *[change("c", after=order(n, "shipped", "1.00"), ts_ms=1_714_557_700_000) for n in range(3, 12)])
     path = table_path(f"{shop.root}/lake", "raw.cdc_orders")
-    shop.run("one")
+
+    def dies(self, run, landed):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="is gone"):
+        patch.setattr(Ledger, "end", dies)
+        shop.run("one")
     landed = spark.read.parquet(path)
     keep = landed.filter("offset in (1, 5)").cache()
     assert keep.count() == 2

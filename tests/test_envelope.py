@@ -107,16 +107,6 @@ def test_events_keep_the_whole_record(spark):
     assert envelope.bronze_events(records(spark, [])).columns == schemas.BRONZE_EVENTS.fieldNames()
 
 
-def test_only_unlanded_records_remain(spark):
-    landed = bronze(spark, [CREATE, DELETE], offsets=[0, 1])
-    again = bronze(spark, [CREATE, DELETE, CREATE], offsets=[0, 1, 2])
-    assert [r.offset for r in envelope.unlanded(again, landed).collect()] == [2]
-    other = bronze(spark, [CREATE], partition=1)
-    assert envelope.unlanded(other, landed).count() == 1
-    gap = bronze(spark, [CREATE, DELETE], offsets=[0, 1]).filter("offset = 1")
-    assert [r.offset for r in envelope.unlanded(landed, gap).collect()] == [0]
-
-
 def test_redelivered_records_are_dropped(spark):
     rows = bronze(spark, [CREATE, CREATE, DELETE], offsets=[0, 0, 1])
     assert envelope.drop_redelivered(rows).count() == 2

@@ -120,15 +120,6 @@ def quarantined(bronze: DataFrame, entity: schemas.Entity) -> DataFrame:
     )
 
 
-def unlanded(rows: DataFrame, landed: DataFrame) -> DataFrame:
-    """Rows whose record is not in the landed table yet, told by (topic, partition, offset).
-
-    Every identity is compared, so the holes that a broken append left are filled by the next run.
-    Only the three identity columns of the landed table are read.
-    """
-    return rows.join(landed.select(*IDENTITY), list(IDENTITY), "left_anti")
-
-
 def drop_redelivered(rows: DataFrame, *extra: str) -> DataFrame:
     """One row per record identity; on a stream the memory is bounded by the watermark."""
     keys = [*IDENTITY, *extra]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,13 @@ from tidelog.operators.envelope import (
     parse_envelope,
     quarantined,
     topic_values,
-    unlanded,
 )
 from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import silver_customers, silver_order_items, silver_orders
 from tidelog.quality.gate import is_green, run_gate
 from tidelog.quality.suites import LAYERS
 from tidelog.schemas import BRONZE_CDC, CUSTOMERS, ORDER_ITEMS, ORDERS
+from tidelog.sources.ledger import Ledger
 from tidelog.sources.tables import existing, publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
@@ -75,17 +76,41 @@ def contract_tables(spark: SparkSession, root: str, run_id: str) -> dict[str, Da
     }
 
 
-def append_new(rows: DataFrame, table: str, path: str) -> int:
-    """Append the Bronze rows whose records are not landed yet and return their number."""
-    target = spec(table)
-    landed = existing(rows.sparkSession, path)
+def ledger_of(spark: SparkSession, path: str) -> Ledger:
+    """The ledger that stands beside a landed table."""
+    return Ledger(spark, f"{path}-offsets")
+
+
+def _landed_by(landed: DataFrame, run: str) -> DataFrame:
+    """Rows that a run appended, told by its run time; its day prunes the partitions where they are by day."""
+    at = F.lit(run).cast("timestamp")
+    rows = landed.where(F.col("ingested_at") == at)
+    return rows.where(F.col("ingested_at_day") == F.to_date(at)) if "ingested_at_day" in landed.columns else rows
+
+
+def append_new(rows: DataFrame, table: str, path: str, run_ts: str | None = None) -> int:
+    """Append the Bronze rows whose records are not landed yet and return their number.
+
+    The ledger beside the table says what is landed; it is noted after the append, from the rows that this
+    run left in the table. ``run_ts`` becomes their run time. A table without a ledger gets one first.
+    """
+    spark, target = rows.sparkSession, spec(table)
+    run = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
+    ledger, landed = ledger_of(spark, path), existing(spark, path)
     if landed is not None:
         derived = {t.name for t in target.layout} - set(rows.columns)
-        check_compatible(
-            StructType([f for f in landed.schema if f.name not in derived]), rows.schema
-        )
-        rows = unlanded(rows, landed)
-    return write_table(rows, path, target.layout, rebalance=target.mixed)
+        check_compatible(StructType([f for f in landed.schema if f.name not in derived]), rows.schema)
+        if not ledger.generation():
+            ledger.begin(run)
+            ledger.end(run, landed)
+        for broken in ledger.unfinished():
+            ledger.end(broken, _landed_by(landed, broken))
+    new = ledger.missing(rows).withColumn("ingested_at", F.lit(run).cast("timestamp")).select(rows.columns)
+    ledger.begin(run)
+    written = write_table(new, path, target.layout, rebalance=target.mixed)
+    landed = existing(spark, path)
+    ledger.end(run, rows.limit(0) if landed is None else _landed_by(landed, run))
+    return written
 
 
 def ingest_bronze(
@@ -96,7 +121,7 @@ def ingest_bronze(
 ) -> dict[str, int]:
     """Land every topic: change envelopes for the three entities, whole records for ``events``.
 
-    Records that are landed already are left out, and a run that broke off is made up for by the
+    Records that the ledger of a table has are left out, and a run that broke off is made up for by the
     next one. An empty topic lands nothing.
     """
     written = {}
@@ -110,7 +135,7 @@ def ingest_bronze(
         if not topic.ordered:
             # Files may overlap; offsets of a broker never repeat.
             rows = rows.dropDuplicates(list(IDENTITY))
-        written[table] = append_new(rows, table, table_path(root, table))
+        written[table] = append_new(rows, table, table_path(root, table), run_ts)
     return written
 
 
