@@ -175,3 +175,38 @@ ORDER_ITEMS = Entity(
         ("unit_price", "decimal(18,2)"),
     ),
 )
+
+
+def with_column(schema: T.StructType, name: str, kind: str) -> T.StructType:
+    return T.StructType([*schema.fields]).add(name, kind)
+
+
+def image_schema(entity: Entity) -> T.StructType:
+    """Rows of a state table: the image, and which change it comes from."""
+    fields = {name: "integer" if kind == "int" else kind for name, kind in entity.fields}
+    return _schema(**fields, op="string", ingested_at="timestamp", ts_ms="long", txn_id="long", offset="long")
+
+
+# Sums that are kept between batches: per order, per day, per customer, and first days.
+
+ITEM_SUMS = _schema(items="long", priced="long", items_total="decimal(38,2)")
+
+ORDER_IMAGE = _schema(
+    customer_id="string",
+    status="string",
+    total_amount="decimal(18,2)",
+    created_at="timestamp",
+    _source_op="string",
+)
+
+ORDER_FACTS = T.StructType([*_schema(order_id="string"), *ORDER_IMAGE, *ITEM_SUMS])
+
+DAY_SUMS = _schema(report_date="date", currency="string", orders="long", items="long", revenue="decimal(38,2)")
+
+BUYER_DAYS = _schema(customer_id="string", orders="long", revenue="decimal(38,2)").add(
+    "days", T.ArrayType(_schema(day="date", n="long"))
+)
+
+NEWCOMERS = _schema(report_date="date", customers="long")
+
+WINDOW_SUMS = _schema(window_start="timestamp", orders="long", revenue="decimal(38,2)")
