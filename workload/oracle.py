@@ -524,6 +524,14 @@ SELECT "partition", "offset", op, ts_ms FROM ({order_log(copies=False)})""",
 SELECT op, ts_ms, txn_id, "partition", "offset"
 FROM (SELECT op, ts_ms, CASE WHEN op IS NOT NULL THEN k END AS txn_id, "partition", "offset"
       FROM ({order_log(copies=False)}))""",
+    "bronze_ledger": f"""
+SELECT op, ts_ms, CASE WHEN op IS NOT NULL THEN k END AS txn_id, "partition", "offset"
+FROM ({order_log(copies=False)})""",
+    "bronze_ledger_intervals": f"""
+SELECT "partition", min("offset") AS first_offset, max("offset") AS last_offset
+FROM (SELECT "partition", "offset", "offset" - row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS island
+      FROM ({order_log(copies=False)}))
+GROUP BY "partition", island""",
     "changelog_unfold": UNFOLDED,
     "silver_orders": LIVE_ORDERS,
     "silver_orders_ignore_deletes": order_state("true"),
@@ -541,6 +549,9 @@ SELECT order_id, customer_id, status, total_amount, updated_at, _source_op AS op
 FROM ({LIVE_ORDERS})""",
     "status_transition_audit": LOGGED_TRANSITIONS,
     "status_transition_audit_images": TRANSITIONS,
+    "silver_incremental": LIVE_ORDERS,
+    "gold_daily_incremental": daily_revenue(LIVE_ORDERS, LATEST_ITEMS),
+    "gold_customers_incremental": customer_metrics(LIVE_ORDERS, C_STATE),
     "gold_daily_revenue_from_log": daily_revenue(LIVE_ORDERS, LATEST_ITEMS),
     "gold_customer_metrics_from_log": customer_metrics(LIVE_ORDERS, C_STATE),
     "bronze_kafka_events": f"SELECT * EXCLUDE (ingested_at) FROM ({TABLE_SQL['raw.kafka_events']})",
@@ -630,6 +641,9 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 seconds'""",
     "stream_order_revenue_1m": f"""
 SELECT * FROM ({ORDER_WINDOWS})
 WHERE window_end <= (SELECT max(updated_at) FROM ({order_state('true')})) - INTERVAL '5 seconds'""",
+    "stream_order_revenue_late": f"""
+SELECT * FROM ({windows(LIVE_ORDERS, "updated_at", "total_amount")})
+WHERE window_end <= (SELECT max(updated_at) FROM ({LIVE_ORDERS})) - INTERVAL '5 seconds'""",
     "metric_rate": f"""
 SELECT *, CAST(increase AS DOUBLE) / 3600.0::DOUBLE AS rate FROM ({HOURLY})""",
     "metric_increase_above": f"""

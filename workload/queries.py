@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tidelog import schemas
 from tidelog.functions.columns import money
 from tidelog.operators import changelog, contracts, envelope, gold, metrics, rates, serving, silver
-from tidelog.plans.medallion import append_new
+from tidelog.plans.incremental import Views
+from tidelog.plans.medallion import append_new, ledger_of
 from tidelog.quality import gate
 from tidelog.quality.expectations import evaluate
 from tidelog.quality.suites import LAYERS, SUITES
 from tidelog.session import configure, new_folder
-from tidelog.sources.tables import bucket_upsert, days, identity, months, write_table
+from tidelog.sources.ledger import intervals
+from tidelog.sources.tables import bucket_upsert, days, identity, months, spec, write_table
 from tidelog.sources.topics import Topic, read_records, to_messages
 from tidelog.streaming.windows import order_revenue
 from workload import domain, logs, streams
@@ -195,6 +197,50 @@ def silver_upsert(spark, sf):
     )
 
 
+# Bounds of three batches by commit time: 1995-01-01 and the middle of a day's changes.
+BATCH_BOUNDS = (788918400000, AS_OF_MS)
+
+
+def _batches(rows: DataFrame) -> list[DataFrame]:
+    """Landed Bronze rows in three batches; the second repeats rows of the first, the third brings some of it late."""
+    path = new_folder(rows.sparkSession, "bronze")
+    rows.write.parquet(path)
+    rows, ts = rows.sparkSession.read.parquet(path), F.coalesce("ts_ms", F.lit(0))
+    first, second = (ts <= bound for bound in BATCH_BOUNDS)
+    late, again = F.pmod("offset", F.lit(11)) == 0, F.pmod("offset", F.lit(7)) == 0
+    return [rows.where(first & ~late), rows.where((second & ~first) | (first & again)), rows.where(~second | (first & late))]
+
+
+@query
+def silver_incremental(spark, sf):
+    """Orders kept up to date over three batches, in buckets that split as the table grows."""
+    views = Views(spark, new_folder(spark, "views"), rows=20_000)
+    for n, rows in enumerate(_batches(logs.bronze_orders(spark, sf)), 1):
+        views.refresh_silver(schemas.ORDERS, rows, n)
+    return without_run_columns(views.silver_table(schemas.ORDERS, 3))
+
+
+def _refreshed(spark, sf) -> Views:
+    sources = {"orders": logs.bronze_orders, "customers": logs.bronze_customers, "order_items": logs.bronze_order_items}
+    batches = {name: _batches(build(spark, sf)) for name, build in sources.items()}
+    views = Views(spark, new_folder(spark, "views"), rows=100_000)
+    for n in range(3):
+        views.refresh({name: parts[n] for name, parts in batches.items()})
+    return views
+
+
+@query
+def gold_daily_incremental(spark, sf):
+    """Daily revenue kept by signed changes over three batches of Bronze rows."""
+    return without_run_columns(_refreshed(spark, sf).daily_revenue(domain.RUN_TS))
+
+
+@query
+def gold_customers_incremental(spark, sf):
+    """Customer metrics kept by signed changes over three batches of Bronze rows."""
+    return without_run_columns(_refreshed(spark, sf).customer_metrics(domain.AS_OF, domain.RUN_TS))
+
+
 def _audit(spark, sf, previous):
     return changelog.transition_audit(logs.bronze_orders(spark, sf), previous).drop("topic")
 
@@ -252,6 +298,11 @@ def stream_bronze_cdc(spark, sf):
     )
 
 
+def _appended(records: DataFrame, landed: str, run: str) -> None:
+    rows = envelope.parse_envelope(envelope.topic_values(records), run)
+    append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed, run)
+
+
 @query
 def bronze_ingest_resume(spark, sf):
     """Order records landed by a run that broke off, with holes, and made up for by the next run."""
@@ -262,14 +313,38 @@ def bronze_ingest_resume(spark, sf):
     records = spark.read.parquet(path)
     broken_off = records.where("pmod(offset, 8) in (0, 3, 7) and pmod(offset div 8, 4) <> 1")
     rows = envelope.parse_envelope(envelope.topic_values(broken_off), domain.RUN_TS)
-    append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed)
+    ledger_of(spark, landed).begin(domain.RUN_TS)
+    write_table(rows.dropDuplicates(list(envelope.IDENTITY)), landed, spec("raw.cdc_orders").layout, rebalance=False)
     records.write.parquet(topic.path)
     for _ in range(2):
-        rows = envelope.parse_envelope(envelope.topic_values(read_records(spark, topic)), domain.RUN_TS)
-        append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed)
+        _appended(read_records(spark, topic), landed, domain.RUN_TS)
     return spark.read.parquet(landed).select("op", "ts_ms", "txn_id", "partition", "offset")
 
 
+def _three_runs(spark, sf) -> str:
+    """Order records landed by three runs: parts with holes that overlap, and all of them again."""
+    landed, path = new_folder(spark, "ledger"), new_folder(spark, "records")
+    logs.order_records(spark, sf).write.parquet(path)
+    records = spark.read.parquet(path)
+    half = F.expr("offset div 8") % 1000 < 600
+    _appended(records.where(half & (F.col("offset") % 3 != 0)), landed, "2024-06-01 01:00:00")
+    _appended(records.where(~half | (F.col("offset") % 5 != 0)), landed, "2024-06-01 02:00:00")
+    _appended(records.unionByName(records.where(half)), landed, "2024-06-02 00:00:00")
+    return landed
+
+
+@query
+def bronze_ledger(spark, sf):
+    """What is landed after three runs that overlap: every record once."""
+    return spark.read.parquet(_three_runs(spark, sf)).select("op", "ts_ms", "txn_id", "partition", "offset")
+
+
+@query
+def bronze_ledger_intervals(spark, sf):
+    """The landed offsets of each topic partition as longest intervals, from the ledger alone."""
+    return intervals(ledger_of(spark, _three_runs(spark, sf)).state()).drop("topic")
+
+
 @query
 def partition_layout(spark, sf):
     """Events written by day, month and topic, read back and counted per partition."""
@@ -512,6 +587,11 @@ def stream_order_revenue_1m(spark, sf):
     return streams.stream_order_revenue(spark, sf)
 
 
+@query
+def stream_order_revenue_late(spark, sf):
+    return streams.stream_order_revenue_late(spark, sf)
+
+
 # Metrics: one series per event type, the value as counter or gauge
 
 

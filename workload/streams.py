@@ -11,6 +11,7 @@ from tidelog.operators.envelope import bronze_events
 from tidelog.session import new_folder, setting
 from tidelog.sources.topics import Topic, from_messages, read_records, stream_records
 from tidelog.streaming.jobs import start_append, start_bronze, start_order_revenue
+from tidelog.streaming.settled import SettledWindows, start_settled_windows
 from tidelog.streaming.windows import tumbling_revenue
 from workload import logs
 from workload.domain import RUN_TS, table
@@ -70,6 +71,22 @@ def stream_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_messages(messages, schemas.REVENUE_WINDOW)
 
 
+def stream_order_revenue_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the settled lane; a part of the older orders arrives after all others."""
+    root = new_folder(spark, "late")
+    source = Topic("cdc.orders", path=f"{root}/in")
+    lane = SettledWindows(spark, f"{root}/lane", rows=50_000)
+    early, recent = slices(logs.order_records(spark, sf_dir))
+    withheld = F.col("offset") % 136 >= 104  # the orders whose number leaves 13 to 16 when divided by 17
+    _feed(
+        spark,
+        [early.where(~withheld), recent, early.where(withheld)],
+        source.path,
+        lambda: start_settled_windows(spark, source, lane, f"{root}/checkpoint"),
+    )
+    return lane.settled()
+
+
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "tumbling")
     records = logs.event_amount_records(spark, sf_dir)
