@@ -74,3 +74,12 @@ def test_replies_without_a_root_and_no_rows(spark):
     assert only.formatted == "<turn role=user>a</turn>\n"
     assert trees.conversations(messages.limit(0)).count() == 0
     assert trees.conversations(trees.threads(messages.limit(0).withColumnsRenamed({"tree": "conv_id", "node": "turn"}))).count() == 0
+
+
+def test_cycles_are_left_out_with_their_replies(spark):
+    rows = [("t", 1, None, "user", "a"), ("t", 2, 1, "assistant", "b")]
+    rows += [("t", 10, 12, "user", "x"), ("t", 11, 10, "user", "x"), ("t", 12, 11, "user", "x"), ("t", 13, 12, "user", "y"), ("t", 20, 20, "user", "z")]
+    messages = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string")
+    out = trees.read_back(trees.conversations(messages, top=None)).collect()
+    assert [(r.path, [t.text for t in r.turns]) for r in out] == [(2, ["a", "b"])]
+    assert trees.conversations(messages.where("node >= 10")).count() == 0

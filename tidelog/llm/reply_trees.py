@@ -61,10 +61,16 @@ def threads(rows: DataFrame, tree: str = "conv_id", turn: str = "turn", role: st
 
 
 def _ancestors(pieces: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Depth, width and score from the root to every node, and the tables ``node, up`` of ancestors 1, 2, 4, ... steps up."""
+    """Depth, width and score from the root to every node, and the tables ``node, up`` of ancestors 1, 2, 4, ... steps up.
+
+    No path is longer than the number of nodes, so what has an ancestor that far up stands on a cycle or below one.
+    """
     state = landed(pieces.select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("width").cast("long").alias("width"), "score"), "ancestors")
-    steps = []
+    steps, n = [], state.count()
     while not (further := state.where("up is not null")).isEmpty():
+        if 1 << len(steps) >= n:
+            state = state.where("up is null")
+            break
         steps.append(further.select("node", "up"))
         above = state.select(
             F.col("node").alias("up"), F.col("up").alias("far"), F.col("depth").alias("more_depth"), F.col("width").alias("more_width"), F.col("score").alias("more_score")
@@ -74,8 +80,6 @@ def _ancestors(pieces: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             "node", F.col("far").alias("up"), (F.col("depth") + F.col("more_depth")).alias("depth"), (F.col("width") + F.col("more_width")).alias("width"), (F.col("score") + F.col("more_score")).alias("score")
         )
         state = landed(state.where("up is null").unionByName(joined), "ancestors")
-        if len(steps) > 62:  # only a cycle reaches further than any path
-            state = state.where("up is null")
     return state, steps
 
 
