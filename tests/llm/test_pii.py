@@ -90,6 +90,26 @@ def test_secrets_with_few_digits_and_short_spelled_addresses(weights):
         assert found(clean) == []
 
 
+def test_secrets_of_any_length(weights):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-"
+    for size in (12, 60, 100, 119, 130, 200, 300, 1000, 5000):
+        value = "Ab9" + "".join(rng.choices(letters, k=size - 3))
+        for name in ("password=", "password: ", 'api_key = "', "token="):
+            assert value not in pii.mask(f"{prose(size, 8)} {name}{value} {prose(size + 1, 8)}", weights), (name, size)
+    value = "Xy7" + "q" * 400_000
+    assert pii.mask(f"one password={value} two", weights).startswith("one <SECRET>")
+
+
+def test_long_words_with_many_marks_take_linear_time(weights):
+    import time
+
+    text = " ".join(("x" * 150 + "12") * 4_000 for _ in range(2))
+    start = time.perf_counter()
+    pii.mask(text, weights)
+    assert time.perf_counter() - start < 30
+
+
 def test_added_spans_leave_base_spans_alone(weights):
     for seed in range(300, 360):
         text = personal(seed) + " " + personal(seed + 100)

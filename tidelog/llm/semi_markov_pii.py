@@ -2,8 +2,8 @@
 
 The field scores whole candidate segments (digit counts and groups, check digit, separators, letters,
 the words around), not letters or words one by one, and dynamic programming over the words of a stretch
-chooses the boundaries and kinds of all its entities together. An entity has at most ``WORDS`` words and
-``LETTERS`` code points. Matches of the base patterns always stay; the field decides the stretches
+chooses the boundaries and kinds of all its entities together. An entity has at most ``WORDS`` words. One word, and a
+value with the name of a secret before it, may have any length; other entities have at most ``LETTERS`` code points. Matches of the base patterns always stay; the field decides the stretches
 between them, where it finds numbers without a plus sign, e-mail and IP addresses with spelled signs, card numbers with other
 separators, and secrets: runs of 12 and more letters and digits, also of letters alone behind a name such as password or token.
 
@@ -99,7 +99,7 @@ def features(text: str, begin: int, end: int, words: int, before: str, after: st
             s.count("@") == 1 and not s.startswith("@") and "." in s.partition("@")[2].strip("."), "@" in s,
             bool(_SPELLED_AT.search(spaced) and (_SPELLED_DOT.search(spaced) or "." in s)) and words >= 2, bool(_SPELLED_DOT.search(spaced)),
             longest >= 12, longest >= 16, longest >= 12 and bool(_NAMED.match(s)), longest >= 12 and bool(_NAMED.match(before)),
-            letters > 0 and longest == 0 and "@" not in s and not _NAMED_VALUE.fullmatch(s), words / WORDS, len(s) / LETTERS, s[:1] in "-./" or s[-1:] in "-/(",
+            letters > 0 and longest == 0 and "@" not in s and not _NAMED_VALUE.fullmatch(s), words / WORDS, min(len(s) / LETTERS, 1.0), s[:1] in "-./" or s[-1:] in "-/(",
             bool(_JOINT.match(before)), bool(_JOINT.match(after)), bool(_JOINT.match(parts[0])), bool(_JOINT.match(parts[-1])),
             bool(_NAMED_VALUE.fullmatch(s)), _named(s, before), bool(_SPELLED_IP.fullmatch(s)) and all(int(g) <= 255 for g in groups),
         ],
@@ -131,8 +131,8 @@ class Stretch:
         for i in range(len(self.words)):
             for j in range(i, min(i + WORDS, len(self.words))):
                 b, e = _trimmed(text, self.words[i][0], self.words[j][1])
-                if e - b > LETTERS:
-                    break
+                if j > i and e - b > LETTERS and not _NAMED_VALUE.fullmatch(text, b, e):
+                    continue
                 before = text[slice(*self.words[i - 1])] if i else ""
                 if e > b and _possible(text[b:e], before):
                     self.segments.append((i, j + 1, b, e))
@@ -206,24 +206,23 @@ def _marks(text: str) -> list[tuple[int, int]]:
 
 def stretches(text: str, taken: list[Span], marks: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
     """The pieces of text around its marks, without the spans already taken."""
+    # Whole words, whatever their length: each letter is passed once, since a mark inside the last piece adds none.
     pieces: list[list[int]] = []
     for b, e in _marks(text) if marks is None else marks:
-        b, e = max(0, b - _REACH), min(len(text), e + _REACH)
-        if pieces and b <= pieces[-1][1]:
-            pieces[-1][1] = max(pieces[-1][1], e)
+        last = pieces[-1][1] if pieces else 0
+        if e + _REACH <= last:
+            continue
+        b, e = max(last, b - _REACH), min(len(text), e + _REACH)
+        while b > last and not text[b - 1].isspace():
+            b -= 1
+        while e < len(text) and not text[e].isspace():
+            e += 1
+        if pieces and b == last:
+            pieces[-1][1] = e
         else:
             pieces.append([b, e])
     free = []
     for b, e in pieces:
-        # Whole words, as far as they are not longer than an entity can be.
-        for _ in range(LETTERS):
-            if b <= 0 or text[b - 1].isspace():
-                break
-            b -= 1
-        for _ in range(LETTERS):
-            if e >= len(text) or text[e].isspace():
-                break
-            e += 1
         at = max(b, free[-1][1] if free else 0)
         for _, s, t in taken:
             if t <= at or s >= e:
