@@ -128,3 +128,11 @@ def test_empty_tables(tables):
     assert dec.contaminated(doc_table.limit(0), dec.indexes(item_table)).count() == 0
     assert dec.contaminated(doc_table, dec.indexes(item_table.limit(0))).count() == 0
     assert dec.clean(doc_table, dec.indexes(item_table.limit(0))).count() == doc_table.count()
+
+
+def test_ids_of_any_type(spark):
+    items = spark.createDataFrame([("x/1", prose(1, 30)), (None, prose(2, 30))], "item_id string, text string")
+    docs = spark.createDataFrame([("a", prose(1, 30)), ("b", prose(2, 30)), ("c", prose(3, 30))], "doc_id string, text string")
+    out = dec.contaminated(docs, dec.indexes(items))
+    assert dict(out.dtypes)["item_id"] == "string"
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == {("a", "x/1"), ("b", None)}

@@ -17,7 +17,7 @@ each character of a script that is written without blanks (Han, kana, Thai, Lao,
 and others) is a word of its own, so its shingles are character n-grams, and the punctuation of these scripts separates words.
 
 Null and empty texts match nothing; items with a null text or without a word are not indexed. Repeated rows and ties give a row each, equal items too; rows with a null id are reported
-with it. Empty tables give an empty result. Other columns are ignored.
+with it. Ids of both sides may have any type that text can hold. Empty tables give an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,8 +103,9 @@ def postings(items: DataFrame) -> DataFrame:
 class Index:
     """One shard: words with their impacts by block, block maxima, and the items' thresholds and shingles."""
 
-    def __init__(self, rows: list[tuple[int, str, str]], words: np.ndarray, owners: np.ndarray, impacts: np.ndarray, halved: bool) -> None:
-        self.names = [name for name, _, _ in rows]
+    def __init__(self, rows: list[tuple[str, str, str]], kind: str, words: np.ndarray, owners: np.ndarray, impacts: np.ndarray, halved: bool) -> None:
+        # Item ids as text, and their type.
+        self.names, self.kind = [name for name, _, _ in rows], kind
         parts = [(_split([q.encode()])[0], _split([a.encode()])[0]) for _, q, a in rows]
         short = [len(q) + len(a) < LEAST for q, a in parts]
         if halved:
@@ -209,7 +210,7 @@ def indexes(items: DataFrame, key: str = "item_id", text: str = "text", question
         parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+"), F.lit(0))
         half = F.ceil(F.size(parts) / 2).cast("int")
         asked, told = F.array_join(F.slice(parts, F.lit(1), half), " "), F.array_join(F.slice(parts, half + 1, F.size(parts)), " ")
-    tests = items.select(F.col(key).alias("name"), F.lower(asked).alias("question"), F.lower(told).alias("answer"))
+    tests = items.select(F.col(key).cast("string").alias("name"), F.lower(asked).alias("question"), F.lower(told).alias("answer"))
     tests = landed(tests.withColumn("item", F.monotonically_increasing_id()), "items")
     weights = landed(postings(tests.select("item", F.concat_ws(" ", "question", "answer").alias("text"))), "postings")
     shards = -(-tests.count() // SHARD)
@@ -223,17 +224,19 @@ def indexes(items: DataFrame, key: str = "item_id", text: str = "text", question
             number = {r["item"]: i for i, r in enumerate(held)}
             owners = terms["item"].map(number).to_numpy(dtype=np.int64)
             rows = [(r["name"], r["question"], r["answer"]) for r in held]
-            yield spark.sparkContext.broadcast(Index(rows, terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy(), halved))
+            yield spark.sparkContext.broadcast(Index(rows, dict(items.dtypes)[key], terms["word"].to_numpy().astype(np.uint64), owners, terms["impact"].to_numpy(), halved))
 
 
 def contaminated(docs: DataFrame, shards: Iterable[Broadcast], key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, item_id, score (share of the item's own), both overlaps and the passage's first word, for every text and item that match."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.lower(text).alias("text"))
-    schema = f"id {dict(docs.dtypes)[key]}, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
-    found = spark.createDataFrame([], schema)
+    schema = f"id {dict(docs.dtypes)[key]}, item_id string, score double, question_overlap double, answer_overlap double, first_word long"
+    found, kind = spark.createDataFrame([], schema), "long"
     for shard in shards:
+        kind = shard.value.kind
         found = found.unionByName(rows.mapInArrow(_search(shard), schema))
+    found = found.withColumn("item_id", F.col("item_id").cast(kind))
     return found.withColumnRenamed("id", key)
 
 
@@ -264,7 +267,7 @@ def _search(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 if not found:
                     continue
                 text, item, *rest = zip(*found, strict=True)
-                names = pa.array([index.names[i] for i in item], pa.int64())
+                names = pa.array([index.names[i] for i in item], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array([start + t for t in text])), names, *(pa.array(r, pa.float64()) for r in rest[:3]), pa.array(rest[3], pa.int64())],
                     ["id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"],
