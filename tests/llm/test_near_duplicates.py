@@ -7,10 +7,11 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from tests.llm.conftest import prose
 from tidelog.llm import components as links
-from tidelog.llm.tensored_minhash import near_duplicates
+from tidelog.llm.tensored_minhash import _prefixes, near_duplicates
 
 
 def shingles(text: str | None, size: int) -> frozenset:
@@ -58,6 +59,47 @@ def test_groups_equal_all_pairs(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, size)
 
 
+def templated(n: int, own: int, seed: int) -> list[tuple[int, str]]:
+    """Texts of one template with ``own`` words of their own each, and a few edited copies of some."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(142)]
+    rows = []
+    for i in range(n):
+        words = template.copy()
+        for k in range(own):
+            words.insert((k + 1) * len(words) // (own + 1), f"o{i}x{k}")
+        rows.append(" ".join(words))
+        if i % 10 == 0:
+            words[rng.randrange(len(words))] = f"c{i}"
+            rows.append(" ".join(words))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("own", [8, 12, 15, 24])
+def test_templates_equal_all_pairs(spark, own):
+    rows = templated(60, own, own)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, 2)
+
+
+def test_prefixes_of_similar_sets_meet_and_those_of_a_template_do_not(spark):
+    rng = random.Random(3)
+    sets = [set(rng.sample(range(60), rng.randint(5, 40))) for _ in range(60)]
+    sets += [s ^ set(rng.sample(range(60), 2)) for s in sets[:30]]
+    held = spark.createDataFrame([(i, len(s), x) for i, s in enumerate(sets) for x in s], "id long, n int, shingle long")
+    prefixes = _prefixes(held, 80).collect()
+    short, long = ({(r.id, r.shingle) for r in prefixes if r.short or not only} for only in (True, False))
+    pairs = [(a, b) for a, b in combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(pairs) > 10
+    for a, b in pairs:
+        small, large = sorted((a, b), key=lambda i: len(sets[i]))
+        assert any((small, x) in short and (large, x) in long for x in sets[a] & sets[b])
+    template = list(range(142))
+    held = spark.createDataFrame([(i, 171, x) for i in range(50) for x in [*template, *range(1000 + 29 * i, 1029 + 29 * i)]], "id long, n int, shingle long")
+    assert not [r for r in _prefixes(held, 80).collect() if r.short]
+
+
 def test_hard_rows(hard_docs, hard_rows):
     got = near_duplicates(hard_docs, size=2).collect()
     assert len(got) == len(hard_rows)

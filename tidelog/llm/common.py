@@ -36,11 +36,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+def landed(df: DataFrame, name: str, options: dict[str, int] | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,6 +48,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_number_key(df: DataFrame, key: str) -> str:
+    """The type of a key column; keys that are not whole numbers are refused before any work."""
+    kind = dict(df.dtypes)[key]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"keys must be whole numbers, but {key} is {kind}")
+    return kind
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import landed, ship
+from tidelog.llm.common import landed, ship, whole_number_key
 
 BUCKETS = 10_000
 SEED = 2024
@@ -43,7 +43,6 @@ CACHE, PIECE = 600_000, 1 << 20
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
 _LAST = (1 << 63) - 1
-_KINDS = {"tinyint", "smallint", "int", "bigint"}
 
 
 def pieces(data: bytes) -> Iterator[bytes]:
@@ -194,9 +193,7 @@ def ranked(rows: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
 
 def resampled(corpus: DataFrame, target: DataFrame, percent: int, key: str = "doc_id", text: str = "text", target_text: str = "text", runs: int = 1) -> DataFrame:
     """``key``, n_features, weight, score and rank (null where not drawn) of every row of the corpus."""
-    kind = dict(corpus.dtypes)[key]
-    if kind not in _KINDS:
-        raise ValueError(f"keys must be whole numbers for bisection, {key} is {kind}")
+    kind = whole_number_key(corpus, key)
     gain = gains(bucket_counts(corpus, text, runs), bucket_counts(target, target_text, runs))
     scores = weighed(corpus, gain, key, text, runs).withColumn("score", F.col("weight") + noise(F.col("key")))
     order = ["_score", "_key", "content", "_row"]

@@ -11,7 +11,7 @@ the bucket before it, so no window spans all rows.
 
 A null text counts as empty and fills no slot; two empty texts have likeness 1. A text with fewer than
 ``K`` words is one k-mer. Texts of any length are read whole. Rows that repeat an id follow each
-other in the order of their texts' hashes; rows with a null id come first. The text after the last is the first, also
+other in the order of their texts' hashes; rows with a null id come first. Ids must be whole numbers. The text after the last is the first, also
 for a single row. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -23,7 +23,7 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import landed
+from tidelog.llm.common import landed, whole_number_key
 
 K, SLOTS, TUPLE = 2, 32, 2
 #: Code points of text for each bucket of ids, and the most buckets (a square).
@@ -166,6 +166,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     The edited text has its last quarter replaced by as many code points from the start of the next text.
     """
+    whole_number_key(docs, key)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = _with_next(rows.withColumn("slots", fingerprint(F.col("text"))))
     n = F.length("text")

@@ -8,13 +8,13 @@ chance 2 (1 - s^WIDTH)^HALF at most: 7e-5 at 0.8, 2e-6 at 0.85.
 Documents with equal shingle sets form a class first and go on as one. In each bucket, split by set
 size, every class is compared with the first one. Buckets whose classes are then still in different
 components go on with the classes that can have a link at all (enough of their shingles stand in
-others). These are compared with the most central class of their group, and what that leaves apart yields
-the pairs across components that sizes, shared shingles, the shingles in common with the central class,
-and sketches allow, each pair once. Each candidate pair is confirmed on the full shingle sets.
+others). These are compared with the most central class of their group. What that leaves apart meets by its rarest
+shingles (prefix filtering), so a template that very many texts share brings no two of them together; pairs across
+components that share a table and that sizes and sketches allow are compared, each pair once. Each candidate pair is confirmed on the full shingle sets.
 
 Null texts, empty texts and texts without words have an empty set and are linked with nothing. Rows
 that repeat an id are rows of one document: each gets its row, and the smallest id names a component.
-Rows with a null id are left out of groups and are kept. An empty table gives an empty result. Columns other than
+Rows with a null id are left out of groups and are kept. Ids must be whole numbers. An empty table gives an empty result. Columns other than
 id and text are ignored.
 """
 
@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import blocks, landed, mixed, ship, words_of
+from tidelog.llm.common import blocks, landed, mixed, ship, whole_number_key, words_of
 from tidelog.llm.components import components, key_filter, passes
 
 #: Keys in each of the two collections, and minima in a key.
@@ -199,10 +199,10 @@ def _similar(compared: DataFrame, similarity: int) -> DataFrame:
     return compared.where(100 * F.col("common") >= similarity * (F.col("left") + F.col("right") - F.col("common"))).select("a", "b")
 
 
-def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """``id, shared`` of documents that can have a link with another of them at all.
+def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """The documents that can have a link with another of them at all.
 
-    Returns ``id, shared, fine``. ``shared`` counts the shingles that some other of them has too. A link needs it to be at least the
+    Returns ``id, shared, fine`` and the rows ``id, n, shingle`` of their shared shingles. ``shared`` counts the shingles that some other of them has too. A link needs it to be at least the
     similarity's share of the set, so the others leave, and then the count is taken again without them.
     """
     sets = _sets(ids, docs, size)
@@ -213,7 +213,7 @@ def _linkable(ids: DataFrame, docs: DataFrame, size: int, similarity: int) -> Da
         shared = rows.groupBy("id").agg(F.first("n").alias("n"), F.count("*").alias("shared"))
         shared = landed(shared.where(100 * F.col("shared") >= similarity * F.col("n")).select("id", "shared"), "linkable")
         rows = rows.join(shared, "id", "left_semi")
-    return landed(shared.join(sets.select("id", "fine"), "id"), "linkable")
+    return landed(shared.join(sets.select("id", "fine"), "id"), "linkable"), rows
 
 
 def _with_hubs(rest: DataFrame) -> DataFrame:
@@ -222,44 +222,56 @@ def _with_hubs(rest: DataFrame) -> DataFrame:
     return landed(rest.join(landed(rest.groupBy("key").agg(central), "hubs"), "key"), "rest")
 
 
-def _in_hub(rest: DataFrame, compared: DataFrame) -> DataFrame:
-    """Rows with ``held``, the number of their shingles that stand in the hub."""
-    counts = compared.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("common").alias("held"))
-    counts = counts.unionByName(compared.select(F.col("b").alias("id"), F.col("a").alias("hub"), F.col("common").alias("held")))
-    return rest.join(landed(counts, "held"), ["id", "hub"], "left").withColumn("held", F.coalesce("held", "n"))
+def _prefixes(rows: DataFrame, similarity: int) -> DataFrame:
+    """``id, n, shingle, place, short``: the rarest shingles of each set, of which two similar sets share one.
 
-
-def _across(rest: DataFrame, traits: DataFrame, similarity: int) -> DataFrame:
-    """Pairs ``a, b`` of a bucket that are in different components and may be similar enough, each pair once.
-
-    At least one class of such a pair is not in the bucket's most frequent component ``main``, so only those
-    look for partners. What two classes have in common stands in the hub or not: at most the smaller
-    number of their shingles in the hub, and the smaller number of shared ones outside it. Two classes
-    may meet in many tables; the pair comes from the first one, which the equal keys of the two collections tell.
+    With all sets in one order, rare shingles first, sets of n <= m shingles that have a part of them in common meet in the
+    first shingles of both: of the larger one all but ``similarity`` percent and one more, of the smaller one,
+    whose partner is no smaller, fewer (``short``). Shingles that stand in one set only come first and are passed over.
     """
-    rows = rest.join(traits, "id")
-    fields = ("id", "n", "shared", "held", "keys", "sketch", "fine", "component")
-    other = rows.select("key", *(F.col(c).alias(f"other_{c}") for c in fields))
-    outside = F.least(F.col("shared") - F.col("held"), F.col("other_shared") - F.col("other_held"))
-    most = F.least("held", "other_held") + F.greatest(outside, F.lit(0))
+    shared = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "shingle")
+    of_set = Window.partitionBy("id")  # one document's shingles
+    place = F.row_number().over(of_set.orderBy("sets", "shingle")) + F.col("n") - F.count("*").over(of_set)
+    long = F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1
+    short = F.col("n") - F.ceil(F.col("n") * 2 * similarity / (100 + similarity)) + 1
+    return shared.withColumn("place", place).where(F.col("place") <= long).select("id", "n", "shingle", "place", (F.col("place") <= short).alias("short"))
 
-    def far(sketch: str, count: int) -> Column:
-        return sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(f"other_{sketch}")[i])) for i in range(count)), F.lit(0))
 
-    def first(begin: int) -> Column:
-        equal = F.zip_with(F.slice("keys", begin + 1, HALF), F.slice("other_keys", begin + 1, HALF), lambda x, y: x == y)
-        return F.array_position(equal, True) - 1
+def _across(prefixes: DataFrame, components_of: DataFrame, traits: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``a, b`` of a bucket that are in different components and may be similar enough, each pair once.
 
-    pairs = rows.where("component <> main").join(other, "key").where(
+    Classes meet by the shingles of their prefixes. At least one class of such a pair is not in the shingle's most frequent
+    component ``main``, so only those look for partners. What follows a common shingle bounds what two sets have in common,
+    if it is their first one. Of the pairs that are left, those stay that share a table of the banding and whose sketches allow it.
+    """
+    rows = landed(prefixes.join(components_of, "id"), "prefixes")
+    counts = rows.groupBy("shingle", "component").agg(F.count("*").alias("members"))
+    spans = counts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
+    rows = landed(rows.join(spans.where("parts > 1").drop("parts"), "shingle"), "prefixes")
+    small = rows.where("short").select("shingle", *(F.col(c) for c in ("id", "n", "place", "component", "main")))
+    large = rows.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "place", "component", "main")))
+    most = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) + 1
+    fits = (
         (F.col("component") != F.col("other_component"))
-        & ((F.col("other_component") == F.col("main")) | (F.col("id") < F.col("other_id")))
+        & (F.col("n") <= F.col("other_n"))
         & _sizes_allow("n", "other_n", similarity)
         & (100 * most >= similarity * (F.col("n") + F.col("other_n") - most))
-        & (far("sketch", -(-_FUNCTIONS // (64 // _BITS))) <= _FAR)
-        & (far("fine", _FINE * _FINE_BITS // 64) <= _FINE_FAR)
-        & (F.col("table") == first(0) * HALF + first(HALF))
     )
-    return pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b"))
+    met = small.where("component <> main").join(large, "shingle").where(fits)
+    met = met.unionByName(small.where("component = main").join(large.where("other_component <> other_main"), "shingle").where(fits))
+    pairs = landed(met.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct(), "met")
+
+    def far(sketch: str, count: int) -> Column:
+        return sum((F.bit_count(F.col(f"a_{sketch}")[i].bitwiseXOR(F.col(f"b_{sketch}")[i])) for i in range(count)), F.lit(0))
+
+    def met_in(begin: int) -> Column:
+        equal = F.zip_with(F.slice("a_keys", begin + 1, HALF), F.slice("b_keys", begin + 1, HALF), lambda x, y: x == y)
+        return F.exists(equal, lambda e: e)
+
+    for side in ("a", "b"):
+        pairs = pairs.join(traits.select(F.col("id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("keys", "sketch", "fine"))), side)
+    near = (far("sketch", -(-_FUNCTIONS // (64 // _BITS))) <= _FAR) & (far("fine", _FINE * _FINE_BITS // 64) <= _FINE_FAR)
+    return pairs.where(near & met_in(0) & met_in(HALF)).select("a", "b")
 
 
 def _apart(placed: DataFrame) -> DataFrame:
@@ -277,6 +289,7 @@ def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_shingles, component_id and kept for every row; ``similarity`` is a percentage of at least 80."""
     ship(docs.sparkSession)
+    whole_number_key(docs, key)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     described = landed(_described(rows, size), "described")
     named = described.where("id is not null and n > 0")
@@ -296,18 +309,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = 80, key: s
     # Tables by bucket stay narrow; what belongs to a class is joined at the end.
     placed = _placed(buckets, found)
     apart = landed(placed.join(_apart(placed).drop("main"), "key"), "apart")
-    linkable = _linkable(apart.select("id").distinct(), rows, size, similarity)
+    linkable, shingles = _linkable(apart.select("id").distinct(), rows, size, similarity)
     able = landed(apart.join(linkable.select("id", "shared"), "id"), "able")
     rest = _with_hubs(able.join(_apart(able).drop("main"), "key"))
     spokes = rest.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     compared = _compared(landed(spokes, "spokes"), rows, size)
     links = links.unionByName(_similar(compared, similarity))
     found = components(links)
-    rest = _placed(_in_hub(rest, compared).drop("component"), found)
-    rest = landed(rest.join(_apart(rest), "key"), "rest")
+    rest = _placed(rest.drop("component"), found)
+    rest = landed(rest.join(_apart(rest).drop("main"), "key").select("id", "component").distinct(), "rest")
+    prefixes = _prefixes(shingles.join(rest, "id", "left_semi"), similarity)
     # Keys need only be told apart: their low halves do, but for a chance of 1e-8 a pair.
     traits = classes.join(linkable.select("id", "fine"), "id").select("id", F.transform("keys", lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("keys"), "sketch", "fine")
-    across = landed(_across(rest, landed(traits, "traits"), similarity), "across")
+    across = landed(_across(prefixes, rest, landed(traits, "traits"), similarity), "across")
     more = _similar(_compared(across, rows, size), similarity)
     if not more.isEmpty():
         found = components(links.unionByName(more))

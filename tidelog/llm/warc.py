@@ -9,7 +9,7 @@ Writing: tasks write files under names of their own and return them; only files
 tasks that succeeded are read, so a task that runs again leaves at most an orphan behind. Files go
 through Arrow's file systems (local and mounted folders, S3, GCS, HDFS), below the shared folder.
 
-Null payloads are written as empty ones. Of records with equal payloads of at least ``least`` bytes,
+Null payloads are written as empty ones. Keys must be whole numbers. Of records with equal payloads of at least ``least`` bytes,
 those with the smallest id are responses and the others revisit it; ids that are null never are the
 smallest, and records of a payload that only null ids have are all responses. Repeated rows of the
 smallest id are responses each. A null or empty URL leaves its header out. An empty table gives an empty
@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import landed, shared_path, ship
+from tidelog.llm.common import landed, shared_path, ship, whole_number_key
 
 #: Bytes after which a writer starts another file, and bytes of a reader's range.
 FILE_BYTES, RANGE_BYTES = 256 << 20, 16 << 20
@@ -70,6 +70,7 @@ def record(key: int | None, url: str | None, payload: bytes, refers_to: int | No
 
 def write(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write a record per row below the shared folder; returns the manifest ``path, bytes, records``."""
+    whole_number_key(pages, key)
     spark = ship(pages.sparkSession)
     folder = shared_path(spark, "warc")
     data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
