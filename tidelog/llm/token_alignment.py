@@ -27,7 +27,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +39,15 @@ from tidelog.llm.splitting import splitter
 from tidelog.llm.token_prefixes import WORDS
 
 #: Bytes of text that a block of the counting job and a lane of the merge hold.
-BLOCK, LANE = 2 << 20, 1 << 10
-#: Distinct words whose tokens a worker keeps.
-CACHE = 400_000
+BLOCK, LANE = 1 << 20, 1 << 10
+#: Distinct words whose tokens a worker keeps before it starts again.
+CACHE = 150_000
+#: Bytes of a row group of the table of blocks; readers and writers hold one at a time.
+ROW_GROUP = 16 << 20
 
 
 class ByteTokens(dict):
-    """Token ids of words in a byte-level vocabulary, worked out when first asked for."""
+    """Token ids of words, as bytes, in a byte-level vocabulary, worked out when first asked for."""
 
     def __init__(self, content: bytes) -> None:
         self._known: Vocabulary = vocabulary(content)
@@ -54,15 +55,17 @@ class ByteTokens(dict):
         letters = {c: b for b, c in byte_letters().items()}
         self.bytes = [bytes(letters[c] for c in t) if all(c in letters for c in t) else b"" for t in self._known.tokens]
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self._known.merge(self._known.symbols(self._known.spelled(word)))
-        if len(self) < CACHE:
-            self[word] = ids
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self._known.merge(self._known.symbols(self._known.spelled(word))), dtype=np.uint32).tobytes()
+        self[word] = ids
         return ids
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of a blank and each text; the words are the text cut up, so their bytes are always the text's."""
+        if len(self) > CACHE:
+            self.clear()
         look = self.__getitem__
-        return [list(chain.from_iterable(map(look, self._words(" " + t)))) for t in texts]
+        return [np.frombuffer(b"".join(map(look, self._words(" " + t))), dtype=np.uint32) for t in texts]
 
 
 class PieceTokens:
@@ -82,8 +85,15 @@ class PieceTokens:
             else:
                 self.bytes.append(piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, none where their bytes are not a blank and the text."""
+        out, spelled = [], self.bytes.__getitem__
+        for text in texts:
+            ids = self._model.encode(text)
+            if b"".join(map(spelled, ids)) != b" " + text.encode():
+                ids = []
+            out.append(np.array(ids, dtype=np.uint32))
+        return out
 
 
 class Pair:
@@ -96,15 +106,12 @@ class Pair:
         n = max(len(self.size_a), len(self.size_b))
         self.written = [str(i) + mark for i in range(n) for mark in ",|;"]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each text in A and in B; none where the bytes of one differ from the text's."""
-        sides = self.a.encode(texts), self.b.encode(texts)
-        bytes_a, bytes_b = self.a.bytes.__getitem__, self.b.bytes.__getitem__
-        for i, (text, a, b) in enumerate(zip(texts, *sides, strict=True)):
-            whole = b" " + text.encode()
-            if not text or b"".join(map(bytes_a, a)) != whole or b"".join(map(bytes_b, b)) != whole:
-                sides[0][i] = sides[1][i] = []
-        return sides
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of each text in A and in B; none where the bytes of B differ from the text's."""
+        a, b = self.a.encode(texts), self.b.encode(texts)
+        none = np.zeros(0, dtype=np.uint32)
+        unequal = [not text or not len(right) for text, right in zip(texts, b, strict=True)]
+        return tuple([none if skip else ids for skip, ids in zip(unequal, side, strict=True)] for side in (a, b))
 
 
 @lru_cache(maxsize=2)
@@ -140,7 +147,7 @@ class Aligned:
         self._pair = pair
         ids = pair.encode(texts)
         self.n_a, self.n_b = (np.array([len(t) for t in side], dtype=np.int64) for side in ids)
-        self.a, self.b = (np.fromiter(chain.from_iterable(side), dtype=np.int64, count=int(n.sum())) for side, n in zip(ids, (self.n_a, self.n_b), strict=True))
+        self.a, self.b = (np.concatenate(side).astype(np.int64) if side else np.zeros(0, dtype=np.int64) for side in ids)
         self.at_a, self.at_b = lockstep(np.cumsum(pair.size_a[self.a]), np.cumsum(pair.size_b[self.b]))
         # Both sides of a text have the same bytes, so its last tokens are always linked.
         self.n_links = np.diff(np.searchsorted(self.at_a, np.concatenate(([0], np.cumsum(self.n_a)))))
@@ -241,7 +248,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def statistics(df: DataFrame, a: bytes, b: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every text."""
     kind = dict(df.dtypes)[key]
-    blocks = landed(_block_table(df, a, b, key, text), "aligned")
+    blocks = landed(_block_table(df, a, b, key, text), "aligned", {"parquet.block.size": ROW_GROUP})
     asked = blocks.select("block", F.posexplode("pairs").alias("number", "pair"))
     found = asked.join(pair_counts(blocks), "pair").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("number", "n", "best"))).alias("found"))
     found = found.select("block", F.transform("found", lambda p: p["n"]).alias("n"), F.transform("found", lambda p: p["best"]).alias("best"))
