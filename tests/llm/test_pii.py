@@ -167,3 +167,12 @@ def test_tables(spark, hard_docs, hard_rows):
     assert not any(base_spans(r.text or "") for r in masked.collect())
     assert pii.train(hard_docs.limit(0)) is None and pii.spans(hard_docs.limit(0), w).count() == 0
     assert pii.masked(hard_docs, None).where("text is null").count() == 1
+
+
+def test_a_kind_that_fills_the_sample_does_not_crowd_out_the_others():
+    rng = random.Random(1)
+    log = [f"{prose(i, 6)} {rng.randrange(256)}.{rng.randrange(256)}.0.{rng.randrange(256)} {prose(i + 1, 6)}" for i in range(1500)]
+    w = pii.fit([*log, *(personal(i) for i in range(200))])
+    hidden = [f"{prose(i, 8)} {form} {prose(i + 1, 8)}" for i in range(40) for form in (f"({200 + i}) 555-{1000 + i}", f"{prose(i, 1)} [at] mail{i} [dot] example [dot] com")]
+    found = [bool(pii.added_spans(t, base_spans(t), w)) for t in hidden]
+    assert np.mean(found[::2]) >= 0.9 and np.mean(found[1::2]) >= 0.9

@@ -10,7 +10,8 @@ separators, and secrets: runs of 12 and more letters and digits, also of letters
 Training maximises the likelihood of labelled stretches, which come from the texts themselves: those
 around base matches, the same with the match rewritten in another form, and the same with the match
 broken (a wrong check digit, a missing part), where it must not be found. Stretches whose label is no candidate are left out. It reads at most ``SAMPLE``
-texts, those with the smallest hash of their id, in one task. Without any base match nothing is added.
+texts with a mark, those with the smallest hash of their id, and keeps ``MATCHES`` matches and ``STRETCHES`` stretches of
+each kind, in one task. Without any base match nothing is added.
 
 Null and empty texts have no spans. Whole texts are read, of any length. Rows are independent: ties
 and repeated rows give a row each, empty tables an empty result. Other columns are ignored, or kept by ``masked``.
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import ship, texts
 from tidelog.llm.pii_patterns import KINDS, Span, base_spans, digits_of, listed, luhn, overlaps
 
-#: Bound on the texts that training reads, and on the labelled stretches it keeps.
-SAMPLE, STRETCHES = 4_000, 900
+#: Bounds of training: texts with a mark that it reads, and matches and labelled stretches of each kind that it keeps.
+SAMPLE, MATCHES, STRETCHES = 4_000, 150, 300
 #: Bounds of an entity.
 WORDS, LETTERS = 8, 120
 #: All kinds: those of the base patterns, and secrets, which the field alone finds.
@@ -290,8 +291,8 @@ def _broken(kind: str, s: str, rng: random.Random) -> str:
     return rng.choice((digits[:7], digits[:9], f"{digits[:4]} {digits[4:8]}", f"20{rng.randint(10, 29)}-{rng.randint(10, 12)}-{rng.randint(10, 28)} {digits[:4]}", f"{digits[:3]},{digits[3:6]},{digits[6:9]}"))
 
 
-def labelled(text: str, rng: random.Random) -> list[tuple[str, list[Span]]]:
-    """Labelled stretches of one text: a base match or secret as it is, rewritten, and broken."""
+def labelled(text: str, rng: random.Random) -> list[tuple[str, str, list[Span]]]:
+    """Labelled stretches of one text, each with the kind it comes from: a base match or secret as it is, rewritten, and broken."""
     found = base_spans(text) + [("secret", *m.span()) for m in _SECRET.finditer(text)]
     out = []
     for kind, s, t in found:
@@ -308,7 +309,7 @@ def labelled(text: str, rng: random.Random) -> list[tuple[str, list[Span]]]:
         for form, label in forms:
             new = f"{left.rstrip()} {form} {right.lstrip()}" if form != core else left + form + right
             b = new.find(form)
-            out.append((new, [(label, b, b + len(form))] if label else []))
+            out.append((kind, new, [(label, b, b + len(form))] if label else []))
     return out
 
 
@@ -319,7 +320,13 @@ def fit(sample: list[str]) -> np.ndarray | None:
     if not examples:
         return None
     rng.shuffle(examples)
-    data = [(Stretch(t, 0, len(t)), gold) for t, gold in examples[:STRETCHES]]
+    # Each kind has its share, so that one which fills the sample does not crowd out the others.
+    left = dict.fromkeys(ALL, STRETCHES)
+    data = []
+    for kind, text, gold in examples:
+        if left[kind] > 0:
+            left[kind] -= 1
+            data.append((Stretch(text, 0, len(text)), gold))
     data = [(s, gold) for s, gold in data if s.segments and {x[1:] for x in gold} <= {x[2:] for x in s.segments}]
     if not data:
         return None
@@ -335,11 +342,27 @@ def fit(sample: list[str]) -> np.ndarray | None:
     return w
 
 
+def _smallest_hashes(rows: DataFrame) -> int | None:
+    """The bound on ``h`` below which ``SAMPLE`` different ones of texts with a mark lie, or all there are.
+
+    Texts are searched by ascending hash, a share of all at a time that grows until it holds enough.
+    """
+    marked = F.col("text").rlike(f"[0-9]{{4}}|@|(?i:{_NAME})")
+    share = min(1.0, 4 * SAMPLE / max(1, rows.count()))
+    while True:
+        limit = (1 << 63) - 1 if share >= 1 else -(1 << 63) + int(share * 2.0**64)
+        near = rows.where(F.col("h") <= limit).where(marked).select("h").distinct().orderBy("h").limit(SAMPLE)
+        bound, n = near.agg(F.max("h"), F.count("*")).first()
+        if n >= SAMPLE or share >= 1:
+            return bound
+        share = min(1.0, 4 * share)
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray | None:
     """Weights from a bounded sample of the texts that hold digits, an address sign or the name of a secret."""
     ship(docs.sparkSession)
-    rows = docs.select(F.xxhash64(key).alias("h"), F.col(text).alias("text")).where(F.col("text").rlike(f"[0-9]{{4}}|@|(?i:{_NAME})"))
-    bound = rows.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    rows = docs.select(F.xxhash64(key).alias("h"), F.col(text).alias("text"))
+    bound = _smallest_hashes(rows)
     if bound is None:
         return None
 
@@ -349,18 +372,19 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarra
                 rng = random.Random(batch.column(0)[i].as_py())
                 spans = base_spans(t) + [("secret", *m.span()) for m in _SECRET.finditer(t)]
                 # At most three stretches of a text, so that no text can fill the sample.
-                for _, s, e in sorted(rng.sample(spans, min(3, len(spans)))):
-                    piece = t[max(0, s - 2 * _REACH) : e + 2 * _REACH][: 4 * _REACH + 2 * LETTERS]
-                    yield pa.RecordBatch.from_arrays([pa.array([piece])], ["piece"])
+                picked = [(k, t[max(0, s - 2 * _REACH) : e + 2 * _REACH][: 4 * _REACH + 2 * LETTERS]) for k, s, e in sorted(rng.sample(spans, min(3, len(spans))))]
+                if picked:
+                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in picked]), pa.array([p for _, p in picked])], ["kind", "piece"])
 
     def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = sorted({v for batch in batches for v in batch.column(0).to_pylist()})
+        pieces = sorted({(k, p) for batch in batches for k, p in zip(*(c.to_pylist() for c in batch.columns), strict=True)})
         random.Random(11).shuffle(pieces)
-        w = fit(pieces[:STRETCHES])
+        chosen = [p for kind in ALL for p in [p for k, p in pieces if k == kind][:MATCHES]]
+        w = fit(list(dict.fromkeys(chosen)))
         if w is not None:
             yield pa.RecordBatch.from_arrays([pa.array([w.ravel().tolist()], pa.list_(pa.float64()))], ["w"])
 
-    pieces = rows.where(F.col("h") <= bound).mapInArrow(near, "piece string")
+    pieces = rows.where(F.col("h") <= bound).where(F.col("text").rlike(f"[0-9]{{4}}|@|(?i:{_NAME})")).mapInArrow(near, "kind string, piece string")
     # At most three short pieces of each of SAMPLE texts: one task can hold them.
     model = pieces.repartition(1).mapInArrow(learnt, "w array<double>").collect()
     return np.array(model[0]["w"]).reshape(-1, len(ALL)) if model else None
