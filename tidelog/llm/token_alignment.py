@@ -25,6 +25,7 @@ and the text are ignored; keys of any type are carried along.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,12 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import landed, ship
-from tidelog.llm.merges import Vocabulary, byte_letters, vocabulary
+from tidelog.llm.merges import byte_letters
 from tidelog.llm.splitting import splitter
 from tidelog.llm.token_prefixes import WORDS
 
 #: Bytes of text that a block of the counting job and a lane of the merge hold.
-BLOCK, LANE = 1 << 20, 1 << 10
+BLOCK, LANE = 1 << 19, 1 << 10
 #: Distinct words whose tokens a worker keeps before it starts again.
 CACHE = 150_000
 #: Bytes of a row group of the table of blocks; readers and writers hold one at a time.
@@ -50,13 +51,26 @@ class ByteTokens(dict):
     """Token ids of words, as bytes, in a byte-level vocabulary, worked out when first asked for."""
 
     def __init__(self, content: bytes) -> None:
-        self._known: Vocabulary = vocabulary(content)
-        self._words = splitter(WORDS)
+        from tiktoken import Encoding
+
+        model = json.loads(content)["model"]
         letters = {c: b for b, c in byte_letters().items()}
-        self.bytes = [bytes(letters[c] for c in t) if all(c in letters for c in t) else b"" for t in self._known.tokens]
+        self.bytes = [b""] * (1 + max(model["vocab"].values()))
+        for token, i in model["vocab"].items():
+            if all(c in letters for c in token):
+                self.bytes[i] = bytes(letters[c] for c in token)
+        # Single bytes come first, then tokens in the order of the merges that make them.
+        order = [c for c in letters if c in model["vocab"]]
+        order += ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        order = [model["vocab"][t] for t in dict.fromkeys(order)]
+        self._ids = np.array(order, dtype=np.uint32)
+        # Each word is one piece: the pattern takes it whole.
+        ranks = {self.bytes[i]: rank for rank, i in enumerate(order)}
+        self._merge = Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._words = splitter(WORDS)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self._known.merge(self._known.symbols(self._known.spelled(word))), dtype=np.uint32).tobytes()
+        ids = self._ids[self._merge(word)].tobytes()
         self[word] = ids
         return ids
 
