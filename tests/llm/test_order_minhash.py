@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -14,7 +15,7 @@ from tidelog.llm import order_minhash as omh
 
 def sketch(spark, text: str) -> list[int]:
     """Slots by plain loops; only the hash function itself is Spark's."""
-    words = re.findall(r"\S{1,16}", text)
+    words = [p for w in re.findall(r"\S+", text) for p in ([w] if len(w) <= 16 else [w[i : i + 4] for i in range(len(w) - 3)])]
     n = max(len(words) - omh.K, 0) + 1 if words else 0
     grams = [words[i : i + omh.K] + [None] * (omh.K - len(words[i : i + omh.K])) for i in range(n)]
     schema = ", ".join(f"w{j} string" for j in range(omh.K))
@@ -30,18 +31,18 @@ def sketch(spark, text: str) -> list[int]:
         frame = spark.createDataFrame([(h, o) for h, o, _ in again], "h long, o int").coalesce(1)
         rehashed = [(r[0] & (2**64 - 1)) >> 31 for r in frame.select(F.xxhash64("h", "o")).collect()]
         again = [(h, 0, i) for h, (_, _, i) in zip(rehashed, again, strict=True)]
-    slots: dict[int, list] = {}
-    for h, _, i in sorted((h, i, i) for h, _, i in [*placed, *again]):
-        slots.setdefault(h >> 28, []).append((i, h))
+    members = sorted((h, i) for h, _, i in [*placed, *again])
     out = [-1] * omh.SLOTS
-    for s, members in slots.items():
-        frame = spark.createDataFrame([([h for _, h in sorted(members[: omh.TUPLE])],)], "t array<long>")
+    for s in range(omh.SLOTS if members else 0):
+        start = next((j for j, (h, _) in enumerate(members) if h >> 28 >= s), 0)
+        held = [members[(start + t) % len(members)] for t in range(min(omh.TUPLE, len(members)))]
+        frame = spark.createDataFrame([([h for h, _ in sorted(held, key=lambda m: (m[1], m[0]))],)], "t array<long>")
         out[s] = frame.select(F.xxhash64("t")).first()[0] & 0xFFFFFFFF
     return out
 
 
 def test_fingerprint_equals_plain_loops(spark):
-    for text in ("", "one", "a b a b a b a b c", prose(1, 60), "word " * 40, "x" * 100):
+    for text in ("", "one", "a b a b a b a b c", prose(1, 60), "word " * 40, "x" * 100, "中文" * 30 + " abc " + "é" * 17):
         got = spark.createDataFrame([(text,)], "t string").select(omh.fingerprint(F.col("t"))).first()[0]
         assert got == sketch(spark, text), text
 
@@ -81,3 +82,31 @@ def test_edited_texts_and_next_rows(spark, monkeypatch, hard_docs):
     assert omh.fingerprints(hard_docs.limit(0)).count() == 0
     (alone,) = omh.fingerprints(docs.limit(1).withColumn("text", F.lit("abcdefgh"))).collect()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and alone.near_next == 1.0
+
+
+def likenesses(spark, pairs):
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    return [r[0] for r in frame.select(omh.likeness(omh.fingerprint(F.col("a")), omh.fingerprint(F.col("b")))).collect()]
+
+
+def test_edits_of_short_and_unspaced_texts_lower_the_likeness_step_by_step(spark):
+    rng = random.Random(6)
+    for n in (10, 20, 50):
+        words = [prose(1000 + n * 100 + i, 1) for i in range(n)]
+        rows = []
+        for edits in (0, 1, n // 5, n):
+            for _ in range(12):
+                new = words.copy()
+                for at in rng.sample(range(n), edits):
+                    new[at] = f"w{rng.randrange(9999)}"
+                rows.append((" ".join(words), " ".join(new)))
+        got = likenesses(spark, rows)
+        means = [sum(got[i : i + 12]) / 12 for i in range(0, 48, 12)]
+        assert means[0] == 1.0 and means == sorted(means, reverse=True) and means[1] > 0.4 and means[3] < 0.1, (n, means)
+    for n in (8, 20, 40):
+        words = [prose(5000 + n * 100 + i, 1) for i in range(n)]
+        (swapped,) = likenesses(spark, [(" ".join(words), " ".join(words[n // 2 :] + words[: n // 2]))])
+        assert swapped < 0.75, (n, swapped)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))
+    one, some, half, other = likenesses(spark, [(han, "x" + han), (han, han[:100] + "中" + han[102:300] + han[310:]), (han, han[:200]), (han, han[::-1])])
+    assert one > 0.8 and one >= some > half > 0.2 and other < 0.1

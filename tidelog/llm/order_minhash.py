@@ -1,10 +1,10 @@
 """Order MinHash fingerprints with DataFrame functions only.
 
-A text's k-mers are runs of ``K`` words (white-space-separated, longer words in pieces of 16 code points),
-numbered among equal ones. Their hashes fall into ``SLOTS`` slots; in each slot the ``TUPLE`` smallest
-are kept, put back into the order of the text and hashed as one tuple. Words that change places change
-the tuple, so slots agree as far as texts agree up to edits. The likeness of two fingerprints is the
-share of equal slots among those that either of them fills.
+A text's k-mers are runs of ``K`` words (white-space-separated; of a word of more than 16 code points, as in text without
+blanks, the overlapping pieces of four), numbered among equal ones. Their hashes fall into ``SLOTS`` slots; of each slot the ``TUPLE`` smallest
+are kept, where it has fewer also those of the slots after it, put back into the order of the text and hashed as one tuple.
+Words that change places change the tuple, so slots agree as far as texts agree up to edits. The likeness of two
+fingerprints is the share of equal slots.
 
 The next text comes from a window over buckets of ids; the first text of each bucket is also sent to
 the bucket before it, so no window spans all rows.
@@ -30,6 +30,8 @@ K, SLOTS, TUPLE = 2, 32, 2
 BUCKET_CHARS, MOST_BUCKETS = 1 << 20, 1 << 16
 #: A k-mer is packed as 33 bits of hash and 30 bits of place, which order by hash and then by place.
 _PLACE_BITS, _HASH_BITS = 30, 33
+#: Words of up to 16 code points, and in longer ones, such as text without blanks, the piece of four that begins at each place.
+_WORDS = r"(?=((?<!\S)\S{1,16}(?!\S)|\S{4}))(?:(?<!\S)\S{1,16}(?!\S)|\S)"
 _PLACE_MASK, _SLOT_SHIFT = (1 << _PLACE_BITS) - 1, _PLACE_BITS + _HASH_BITS - 5
 
 
@@ -82,31 +84,38 @@ def _numbered(kmers: Column) -> Column:
 
 
 def _slots(kmers: Column) -> Column:
-    """Hash of the tuple in each slot, -1 for slots without k-mers."""
+    """Hash of the tuple of each slot, -1 for all where there are no k-mers.
+
+    A tuple begins with the first k-mer of its slot; what the slot lacks comes from the slots after it, the first after the
+    last. So every tuple of a text with ``TUPLE`` k-mers has an order, however short the text.
+    """
 
     def slot_of(packed: Column) -> Column:
         return F.shiftright(packed, _SLOT_SHIFT)
 
+    def signature(start: Column) -> Column:
+        size = F.size(kmers)
+        least = [F.get(kmers, (start + t) % size) for t in range(TUPLE)]
+        held = F.slice(F.array(*least), F.lit(1), F.least(size, F.lit(TUPLE)))
+        placed = F.transform(held, lambda v: F.shiftleft(v.bitwiseAND(F.lit(_PLACE_MASK)), _HASH_BITS).bitwiseOR(_hash(v)))
+        in_order = F.transform(F.sort_array(placed), lambda v: v.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+        return F.xxhash64(in_order).bitwiseAND(F.lit(0xFFFFFFFF))
+
     def tuples(heads: Column) -> Column:
-        def signature(head: Column, q: Column) -> Column:
-            size = F.coalesce(F.get(heads, q + 1), F.size(kmers)) - head
-            least = F.slice(kmers, head + 1, F.least(size, F.lit(TUPLE)))
-            placed = F.transform(least, lambda v: F.shiftleft(v.bitwiseAND(F.lit(_PLACE_MASK)), _HASH_BITS).bitwiseOR(_hash(v)))
-            in_order = F.transform(F.sort_array(placed), lambda v: v.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
-            return F.xxhash64(in_order).bitwiseAND(F.lit(0xFFFFFFFF))
-
-        slots = F.transform(heads, lambda h: slot_of(F.get(kmers, h)).cast("int"))
-        return _with(
-            F.map_from_arrays(slots, F.transform(heads, signature)),
-            lambda found: F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.coalesce(F.try_element_at(found, s), F.lit(-1).cast("long"))),
+        filled = F.transform(heads, lambda h: slot_of(F.get(kmers, h)))
+        starts = _with(
+            filled,
+            lambda slots: F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.coalesce(F.get(heads, F.size(F.filter(slots, lambda x: x < s))), F.lit(0))),
         )
+        return F.transform(starts, signature)
 
-    return _with(_heads(kmers, slot_of), tuples)
+    empty = F.array_repeat(F.lit(-1).cast("long"), SLOTS)
+    return F.when(F.size(kmers) == 0, empty).otherwise(_with(_heads(kmers, slot_of), tuples))
 
 
 def fingerprint(text: Column) -> Column:
     """The slots of a text as an array of ``SLOTS`` numbers."""
-    words = F.regexp_extract_all(text, F.lit(r"\S{1,16}"), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(_WORDS), F.lit(1))
     return _with(_with(_with(words, _kmers), _numbered), _slots)
 
 
