@@ -192,3 +192,53 @@ drawn AS (
 )
 SELECT scores.doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank FROM scores LEFT JOIN drawn USING (doc_id)
 """
+
+ORACLE["op1_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+hashed AS (SELECT *, sha1(html) AS digest FROM payloads),
+spelled AS (
+    SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(digest, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), '') AS payload_digest
+    FROM hashed
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS error
+FROM spelled
+"""
+
+ORACLE["op3_chat"] = r"""
+WITH hard AS (SELECT '\### Assistant: </turn> ok' AS text),
+rows AS (
+    SELECT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', text FROM hard UNION ALL SELECT -7, 1, 'assistant', text FROM hard
+),
+turns AS (
+    SELECT *, length(role) + len(regexp_extract_all(role, '[\\>]')) + length(text) + len(regexp_extract_all(text, '<\\*/?turn')) + length('<turn role=></turn>') + 1 AS width FROM rows
+),
+joined AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learnt, sum(width)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt)::BIGINT AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM joined
+"""
+
+ORACLE["op6_near_duplicates"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) < 2 THEN words ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingles FROM texts
+),
+sized AS (SELECT doc_id, shingles, len(shingles)::BIGINT AS n FROM sets),
+parts AS (SELECT doc_id, n, unnest(shingles) AS shingle FROM sized),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, x.n AS n, y.n AS m, count(*) AS common FROM parts x JOIN parts y
+    ON x.shingle = y.shingle AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY ALL
+),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (n + m - common)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT doc_id, doc_id AS other FROM sized UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other),
+grouped AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT s.doc_id, n AS n_shingles, component_id, s.doc_id = component_id AS kept FROM sized s JOIN grouped USING (doc_id)
+"""
