@@ -6,7 +6,8 @@ import json
 import pytest
 from changes import RECORD_COLUMNS, change, order
 
-from tidelog.plans.medallion import run_batch, table_path
+from tidelog import schemas
+from tidelog.plans.medallion import published, run_batch, table_path
 from tidelog.session import new_folder
 from tidelog.sources.ledger import Ledger
 from tidelog.sources.topics import Topic
@@ -116,6 +117,9 @@ def test_red_batch_publishes_nothing(shop, spark):
     done = shop.run("two", publish_as={"gold.daily_revenue": "shop.guarded"})
     assert not done.green
     assert spark.table("shop.guarded").first().order_count == 2
+    manifest = published(spark, f"{shop.root}/lake")
+    tables = manifest.read("silver.orders", "gold.daily_revenue")
+    assert manifest.version() == 1 and tables["silver.orders"].count() == 2 and tables["gold.daily_revenue"].first().order_count == 2
     red = {(r.suite, r.expectation) for r in spark.read.parquet(done.results).filter("not success").collect()}
     assert ("silver.orders", "between") in red
 
@@ -140,6 +144,41 @@ def test_command_line_runs_the_batch_the_gate_and_the_smoke_checks(shop, spark,
     assert spark.read.parquet(f"{shop.root}/b").count() == 3
 
 
+def test_refreshes_equal_a_batch_over_everything(shop, spark, capsys, monkeypatch):
+    import tidelog.__main__ as cli
+    from tidelog.plans.incremental import Views
+    from tidelog.plans.medallion import run_refresh
+
+    lake = f"{shop.root}/standing"
+    run_refresh(spark, shop.topics, lake, "2024-06-01 00:00:00")
+    shop.send(
+        "orders",
+        change("d", before=order(2, "shipped", "5.00"), ts_ms=1_714_557_700_000),
+        change("u", order(1, "confirmed", "9.00"), order(1, "confirmed", "nine"), ts_ms=1_714_557_700_000),
+    )
+    refresh, calls = Views.refresh, []
+
+    def dies(self, batch, run):
+        calls.append({name: rows.count() for name, rows in batch.items()})
+        self.refresh_silver(schemas.ORDERS, batch["orders"], 2, run)
+        raise RuntimeError("gone")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(Views, "refresh", dies)
+        run_refresh(spark, shop.topics, lake, "2024-06-02 00:00:00")
+    assert calls == [{"orders": 2, "customers": 0, "order_items": 0}]
+    shop.send("orders", change("c", after=order(3, "shipped", "2.00"), ts_ms=1_714_557_900_000))
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    assert cli.main(["refresh", "--topics", f"{shop.root}/topics", "--root", lake]) == 0
+    out = capsys.readouterr().out
+    assert "raw.cdc_orders: 1 rows" in out and "views at version 3" in out
+    views = Views(spark, f"{lake}/views")
+    assert sorted((r.order_id, r.status) for r in views.silver_table(schemas.ORDERS).collect()) == [("1", "confirmed"), ("3", "shipped")]
+    day = views.daily_revenue().collect()
+    assert [(r.order_count, r.item_count, str(r.gross_revenue), r.new_customers) for r in day] == [(2, 1, "11.00", 1)]
+    assert [r.reason for r in spark.read.parquet(table_path(lake, "quarantine.orders")).collect()] == ["bad total_amount"]
+
+
 def test_command_line_publishes_only_green_versions(shop, spark, monkeypatch):
     import tidelog.__main__ as cli
 

@@ -1,6 +1,7 @@
 """Command line: ``spark-submit tidelog/__main__.py`` or ``python -m tidelog`` with a sub-command.
 
 batch    topics to Bronze, Silver and Gold, with the quality gate before publication
+refresh  what is new in the topics to Bronze and on to standing Silver and Gold views
 gate     the expectation suites of one layer or all, over finished tables
 smoke    row counts of the Gold tables
 stream   order changes to one-minute revenue windows
@@ -17,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tidelog.operators.rates import currency_list, rates_to_events, sorted_events
-from tidelog.plans.medallion import contract_tables, run_batch
+from tidelog.plans.medallion import contract_tables, run_batch, run_refresh
 from tidelog.quality.gate import gate_summary, is_green, run_gate, smoke_checks, suite_summary
 from tidelog.quality.suites import LAYERS
 from tidelog.rules import QUOTED_CURRENCIES
@@ -51,6 +52,16 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if outcome.green else 1
 
 
+def _refresh(spark: SparkSession, args: argparse.Namespace) -> int:
+    names = dict(zip(ENTITIES, args.names.split(",")))
+    topics = {entity: _topic(args, name) for entity, name in names.items()}
+    views, rows = run_refresh(spark, topics, args.root)
+    for table, count in rows.items():
+        print(f"{table}: {count} rows")
+    print(f"views at version {views.version()}")
+    return 0
+
+
 def _gate(spark: SparkSession, args: argparse.Namespace) -> int:
     layers = tuple(LAYERS) if args.layer == "all" else (args.layer,)
     results = run_gate(contract_tables(spark, args.root, args.run_id), layers)
@@ -127,10 +138,13 @@ def parser() -> argparse.ArgumentParser:
         help="views to move to the new version when the gate is green",
     )
     batch.add_argument("--deletes", choices=("apply", "ignore"), default="apply")
-    batch.add_argument(
-        "--names", default="cdc.orders,cdc.customers,cdc.order_items,raw.events",
-        help="topic names of " + ", ".join(ENTITIES),
-    )
+    refresh = command("refresh", _refresh, True)
+    refresh.add_argument("--root", required=True)
+    for sub in (batch, refresh):
+        sub.add_argument(
+            "--names", default="cdc.orders,cdc.customers,cdc.order_items,raw.events",
+            help="topic names of " + ", ".join(ENTITIES),
+        )
     for name, run in (("gate", _gate), ("smoke", _smoke)):
         sub = command(name, run, False)
         sub.add_argument("--root", required=True)

@@ -20,10 +20,12 @@ from tidelog.operators.envelope import (
 )
 from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import silver_customers, silver_order_items, silver_orders
+from tidelog.plans.incremental import Views
 from tidelog.quality.gate import is_green, run_gate
 from tidelog.quality.suites import LAYERS
 from tidelog.schemas import BRONZE_CDC, CUSTOMERS, ORDER_ITEMS, ORDERS
 from tidelog.sources.ledger import Ledger
+from tidelog.sources.manifest import Manifest
 from tidelog.sources.tables import existing, publish, read_table, spec, write_table
 from tidelog.sources.topics import Topic, read_records
 
@@ -66,6 +68,11 @@ def _contract(spark: SparkSession, name: str, path: str) -> DataFrame:
     return df.select(*spec(name).schema.fieldNames())
 
 
+def published(spark: SparkSession, root: str) -> Manifest:
+    """The manifest of the green versions; it reads several tables of one version together."""
+    return Manifest(spark, f"{root}/published")
+
+
 def contract_tables(spark: SparkSession, root: str, run_id: str) -> dict[str, DataFrame]:
     """The landed Bronze tables and one version of Silver and Gold, as the suites see them."""
     version = f"{root}/versions/{run_id}"
@@ -152,7 +159,8 @@ def run_batch(
     """Build one version of Silver and Gold from all landed changes and gate it.
 
     Every stage writes its table and the next one reads it back, so a lost executor never means
-    starting over. A version lives in a folder of its own; views move to it only when green.
+    starting over. A version lives in a folder of its own, and is published only when green: the manifest moves to all
+    its tables at once, and after it the views one by one, for readers of a single table.
     Records that cannot be used go to the version's quarantine tables with the reason.
     """
     rows = ingest_bronze(spark, topics, root, run_ts)
@@ -196,6 +204,48 @@ def run_batch(
     gate.write.mode("overwrite").parquet(results)
     green = is_green(spark.read.parquet(results))
     if green:
+        tables = {name: table_path(version, name) for layer in ("silver", "gold") for name in LAYERS[layer]}
+        manifest = published(spark, root)
+        manifest.publish(tables, manifest.version())
         for name, view in (publish_as or {}).items():
             publish(spark, view, table_path(version, name))
     return Outcome(rows, green, results)
+
+
+def _landed_after(landed: DataFrame, last: str | None, upto: str) -> DataFrame:
+    """Rows of the runs after one and up to another; their days prune the partitions."""
+    end = F.lit(upto).cast("timestamp")
+    rows = landed.where((F.col("ingested_at") <= end) & (F.col("ingested_at_day") <= F.to_date(end)))
+    if last is None:
+        return rows
+    start = F.lit(last).cast("timestamp")
+    return rows.where((F.col("ingested_at") > start) & (F.col("ingested_at_day") >= F.to_date(start)))
+
+
+def run_refresh(
+    spark: SparkSession, topics: Mapping[str, Topic], root: str, run_ts: str | None = None
+) -> tuple[Views, dict[str, int]]:
+    """Land what is new and bring the standing Silver and Gold views up to date with it; the rows landed per table.
+
+    Only the Bronze rows of the runs since the last refresh are read. Run times must grow. A refresh that broke off is
+    finished first, with the rows it began with. Records that cannot be used go to quarantine by run.
+    """
+    run = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
+    rows = ingest_bronze(spark, topics, root, run)
+    views = Views(spark, f"{root}/views")
+    done = views.version()
+    last = views.facts.directory(done).run
+    begun = {table.directory().run for table in views.tables() if table.version() > done}
+    for upto in sorted(begun | {run}):
+        if last is not None and upto <= last:
+            continue
+        batch = {}
+        for entity in (ORDERS, CUSTOMERS, ORDER_ITEMS):
+            landed = existing(spark, table_path(root, CDC_TABLES[entity.name]))
+            if landed is not None:
+                batch[entity.name] = _landed_after(landed, last, upto)
+                path = f"{table_path(root, f'quarantine.{entity.name}')}/run={upto.replace(' ', 'T').replace(':', '')}"
+                quarantined(batch[entity.name], entity).write.mode("overwrite").parquet(path)
+        views.refresh(batch, upto)
+        last = upto
+    return views, rows

@@ -70,21 +70,16 @@ class HashedTable:
     key: tuple[str, ...]
     rows: int = ROWS
 
-    def _directories(self) -> DataFrame | None:
-        found = existing(self.spark, f"{self.path}/directory")
-        return None if found is None else self.spark.read.schema(_DIRECTORY).parquet(f"{self.path}/directory")
-
     def directory(self, version: int | None = None) -> Directory:
         """A version of the directory (a row per bucket), the last one if none is named; version 0 is empty."""
-        entries = self._directories()
-        if version is None and entries is not None:
-            version = entries.agg(F.max("version")).first()[0]
-        if entries is None or not version:
+        entries = existing(self.spark, f"{self.path}/directory", _DIRECTORY)
+        if entries is None or version == 0:
             return Directory()
-        rows = entries.where(F.col("version") == version).collect()
+        wanted = entries.agg(F.max("version").alias("version")) if version is None else entries.where(F.col("version") == version).select("version").distinct()
+        rows = entries.join(F.broadcast(wanted), "version").collect()  # one number on the broadcast side
         if not rows:
             raise ValueError(f"{self.path} has no version {version}")
-        return Directory(version, rows[0].run, rows[0].buckets, {r.bucket: (r.home, r.rows) for r in rows})
+        return Directory(rows[0].version, rows[0].run, rows[0].buckets, {r.bucket: (r.home, r.rows) for r in rows})
 
     def version(self) -> int:
         return self.directory().version
@@ -132,12 +127,12 @@ class HashedTable:
         """Make the next version from one change per key and return its number.
 
         ``resolve`` gives the new row from the old one and the change. Hand in changes that are cheap
-        to read again: they are read three times.
+        to read again: they are read twice.
         """
         before = self.directory()
         version = before.version + 1
-        buckets = max(before.buckets, -(-(before.rows + changes.count()) // self.rows))
-        hit = changes.select(bucket_of(self.key, before.buckets).alias("b")).distinct().collect()
+        hit = changes.groupBy(bucket_of(self.key, before.buckets).alias("b")).count().collect()
+        buckets = max(before.buckets, -(-(before.rows + sum(r["count"] for r in hit)) // self.rows))
         touched = {r.b for r in hit} | {source_of(b, before.buckets) for b in range(before.buckets, buckets)}
         rewritten = [b for b in range(buckets) if source_of(b, before.buckets) in touched]
         if rewritten:

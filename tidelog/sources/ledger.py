@@ -127,16 +127,18 @@ class Ledger:
         """Notes of every generation; none where nothing was noted yet."""
         from tidelog.sources.tables import existing
 
-        if existing(self.spark, self.path) is None:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        found = existing(self.spark, self.path, SCHEMA)
+        return self.spark.createDataFrame([], SCHEMA) if found is None else found
 
     def generation(self) -> int:
         """The last generation that is sealed; 0 before the first one."""
         return self._all().where("state = 'sealed'").agg(F.max("generation")).first()[0] or 0
 
     def notes(self) -> DataFrame:
-        return self._all().where(F.col("generation") == self.generation())
+        """Notes of the current generation."""
+        every = self._all()
+        current = every.where("state = 'sealed'").agg(F.max("generation").alias("generation"))
+        return every.join(F.broadcast(current), "generation").drop("generation")  # one number
 
     def state(self) -> DataFrame:
         return merged(self.notes())
@@ -158,9 +160,10 @@ class Ledger:
         self._append(self.spark.createDataFrame([(None, None, None, None, None, run, state)], _MARK), generation)
 
     def begin(self, run: str) -> None:
-        if not self.generation():
-            self._mark(1, None, "sealed")
-        self._mark(self.generation(), run, "begun")
+        generation = self.generation()
+        if not generation:
+            self._mark(generation := 1, None, "sealed")
+        self._mark(generation, run, "begun")
 
     def end(self, run: str, landed: DataFrame) -> None:
         """Note the offsets of a run's landed rows, and in the same file that it has ended."""

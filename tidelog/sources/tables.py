@@ -148,10 +148,11 @@ def write_table(
     return counted(laid, save)
 
 
-def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None where nothing was written yet."""
+def existing(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
+    """The table at a path, or None where nothing was written yet. With a schema, no file is opened to find it."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         # A write of no rows leaves no file to take the schema from.
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
