@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -124,66 +124,94 @@ def _whole_table(position: int, e: Expectation, ok: Column):
     return _verdict(position, e, F.lit(1), bad, ok)
 
 
-def _scan(df: DataFrame, rules: list[tuple[int, Expectation]]) -> DataFrame:
-    """All row-level and whole-table rules in one aggregation."""
-    measures: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    verdicts: list[Column] = []
-    types = dict(df.dtypes)
+Numbered = list[tuple[int, Expectation]]
+
+#: Numbers of a column set: values, values that stand there more than once, distinct values.
+KEY_NUMBERS = ("seen", "repeated", "distinct")
+
+
+def measures(rules: Numbered) -> dict[str, tuple[Column, Callable[[str], Column]]]:
+    """What row-level and whole-table rules need of a table, by name, and how parts of a table are put together."""
+    found: dict[str, tuple[Column, Callable[[str], Column]]] = {"rows": (F.count(F.lit(1)), F.sum)}
+    for position, e in rules:
+        if e.kind == "max_between":
+            found[f"max_{position}"] = (F.max(e.columns[0]), F.max)
+        elif e.kind not in ("columns", "row_count"):
+            good = _good(e)
+            found[f"seen_{position}"] = (F.count(good), F.sum)
+            found[f"bad_{position}"] = (F.count_if(~good), F.sum)
+    return found
+
+
+def verdicts(measured: DataFrame, rules: Numbered, names: Sequence[str]) -> DataFrame:
+    """Results of the rules from one row of measures of a table with these columns."""
+    types = dict(measured.dtypes)
+    found: list[Column] = []
     for position, e in rules:
         if e.kind == "columns":
-            verdicts.append(_whole_table(position, e, F.lit(tuple(df.columns) == e.columns)))
+            found.append(_whole_table(position, e, F.lit(tuple(names) == e.columns)))
         elif e.kind == "row_count":
-            verdicts.append(_whole_table(position, e, _inside(F.col("rows"), e.low, e.high)))
+            found.append(_whole_table(position, e, _inside(F.col("rows"), e.low, e.high)))
         elif e.kind == "max_between":
-            name, kind = e.columns[0], types[e.columns[0]]
-            measures.append(F.max(name).alias(f"max_{position}"))
-            low, high = [
-                None if bound is None else F.lit(bound).cast(kind) for bound in (e.low, e.high)
-            ]
-            ok = F.coalesce(_inside(F.col(f"max_{position}"), low, high), F.lit(False))
-            verdicts.append(_whole_table(position, e, ok))
+            largest, kind = F.col(f"max_{position}"), types[f"max_{position}"]
+            low, high = [None if bound is None else F.lit(bound).cast(kind) for bound in (e.low, e.high)]
+            found.append(_whole_table(position, e, F.coalesce(_inside(largest, low, high), F.lit(False))))
         else:
-            good = _good(e)
-            measures += [
-                F.count(good).alias(f"seen_{position}"),
-                F.count_if(~good).alias(f"bad_{position}"),
-            ]
             seen, bad = F.col(f"seen_{position}"), F.col(f"bad_{position}")
             ok = F.when(seen == 0, True).otherwise((seen - bad) / seen >= e.mostly)
-            verdicts.append(_verdict(position, e, seen, bad, ok))
-    return df.agg(*measures).select(F.inline(F.array(*verdicts)))
+            found.append(_verdict(position, e, seen, bad, ok))
+    return measured.select(F.inline(F.array(*found)))
+
+
+def _scan(df: DataFrame, rules: Numbered) -> DataFrame:
+    """All row-level and whole-table rules in one aggregation."""
+    measured = df.agg(*[value.alias(name) for name, (value, _) in measures(rules).items()])
+    return verdicts(measured, rules, df.columns)
 
 
-def _grouped(
-    df: DataFrame, names: tuple[str, ...], rules: list[tuple[int, Expectation]]
-) -> DataFrame:
-    """All uniqueness rules over the same columns, from one count per value."""
+def key_counts(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Rows of each value of a column set (``_n``), leaving out those where all columns are NULL."""
     present = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
-    groups = df.select(*names).filter(present).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    counts = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("seen"),
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("repeated"),
-        F.count(F.lit(1)).alias("distinct"),
+    return df.select(*names).filter(present).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def key_numbers(counts: DataFrame, sign: Column | None = None) -> DataFrame:
+    """The ``KEY_NUMBERS`` of counted values; signed counts give the change."""
+    unit = F.lit(1) if sign is None else sign
+    seen, repeated, distinct = KEY_NUMBERS
+    return counts.agg(
+        F.coalesce(F.sum(unit * F.col("_n")), F.lit(0)).alias(seen),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, unit * F.col("_n"))), F.lit(0)).alias(repeated),
+        F.coalesce(F.sum(unit), F.lit(0)).cast("bigint").alias(distinct),
     )
-    verdicts = []
+
+
+def key_verdicts(numbers: DataFrame, rules: Numbered) -> DataFrame:
+    """Results of the uniqueness rules over one column set, from its numbers."""
+    seen, repeated, distinct = map(F.col, KEY_NUMBERS)
+    found = []
     for position, e in rules:
         if e.kind == "unique_share":
-            share = F.when(F.col("seen") == 0, 0.0).otherwise(F.col("distinct") / F.col("seen"))
-            ok = _inside(share, e.low, e.high)
-            bad = F.col("seen") - F.col("distinct")
+            share = F.when(seen == 0, 0.0).otherwise(distinct / seen)
+            found.append(_verdict(position, e, seen, seen - distinct, _inside(share, e.low, e.high)))
         else:
-            ok, bad = F.col("repeated") == 0, F.col("repeated")
-        verdicts.append(_verdict(position, e, F.col("seen"), bad, ok))
-    return counts.select(F.inline(F.array(*verdicts)))
+            found.append(_verdict(position, e, seen, repeated, repeated == 0))
+    return numbers.select(F.inline(F.array(*found)))
+
+
+def split_rules(rules: Sequence[Expectation]) -> tuple[Numbered, dict[tuple[str, ...], Numbered]]:
+    """Numbered rules that one scan settles, and those over each column set that must be unique."""
+    numbered = list(enumerate(rules))
+    keys: dict[tuple[str, ...], Numbered] = {}
+    for i, e in numbered:
+        if e.kind in GROUPED:
+            keys.setdefault(e.columns, []).append((i, e))
+    return [(i, e) for i, e in numbered if e.kind not in GROUPED], keys
 
 
 def evaluate(df: DataFrame, name: str, rules: Sequence[Expectation]) -> DataFrame:
     """One row per expectation: one pass for all row rules, one grouped pass per unique key."""
-    numbered = list(enumerate(rules))
-    scanned = [(i, e) for i, e in numbered if e.kind not in GROUPED]
+    scanned, keys = split_rules(rules)
     results = [_scan(df, scanned)] if scanned else []
-    keys = dict.fromkeys(e.columns for e in rules if e.kind in GROUPED)
-    for key in keys:
-        same = [(i, e) for i, e in numbered if e.kind in GROUPED and e.columns == key]
-        results.append(_grouped(df, key, same))
+    results += [key_verdicts(key_numbers(key_counts(df, key)), same) for key, same in keys.items()]
     return reduce(DataFrame.unionByName, results).select(F.lit(name).alias("suite"), "*")

@@ -210,3 +210,9 @@ BUYER_DAYS = _schema(customer_id="string", orders="long", revenue="decimal(38,2)
 NEWCOMERS = _schema(report_date="date", customers="long")
 
 WINDOW_SUMS = _schema(window_start="timestamp", orders="long", revenue="decimal(38,2)")
+
+# State of suites: how often each value occurs, by two hashes, and what follows for uniqueness.
+
+VALUE_COUNTS = _schema(first="long", second="long", n="long")
+
+KEY_NUMBERS = _schema(seen="long", repeated="long", distinct="long")

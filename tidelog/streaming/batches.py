@@ -30,9 +30,8 @@ class BatchLog:
     path: str
 
     def _log(self) -> DataFrame:
-        if existing(self.spark, f"{self.path}/log") is None:
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).parquet(f"{self.path}/log")
+        found = existing(self.spark, f"{self.path}/log", _LOG)
+        return self.spark.createDataFrame([], _LOG) if found is None else found
 
     def committed(self, batch_id: int) -> bool:
         return not self._log().where(F.col("batch") == batch_id).isEmpty()
@@ -60,7 +59,7 @@ class BatchLog:
 
     def read(self, schema: StructType) -> DataFrame:
         """Rows of the committed batches."""
-        if existing(self.spark, f"{self.path}/log") is None:
+        if existing(self.spark, f"{self.path}/log", _LOG) is None:
             return self.spark.createDataFrame([], schema)
         names = schema.fieldNames()
         rows = self.spark.read.schema(StructType([*schema.fields]).add("batch", "long")).parquet(f"{self.path}/data")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from tidelog.quality.expectations import Expectation
 from tidelog.quality.suites import LAYERS, SUITES
 from workload.domain import AS_OF, RUN_TS
-from workload.queries import AS_OF_MS
+from workload.queries import AS_OF_MS, BATCH_BOUNDS, PARITY_AS_OF
 
 
 def average(total: str, count: str, precision: int = 18) -> str:
@@ -106,8 +106,8 @@ SELECT customer_id, count(*) AS total_orders,
 FROM ({orders}) WHERE {REVENUE} GROUP BY customer_id"""
 
 
-def customer_metrics(orders: str, customers: str) -> str:
-    days = f"date_diff('day', s.last_order_date, DATE '{AS_OF}')"
+def customer_metrics(orders: str, customers: str, as_of: str = AS_OF) -> str:
+    days = f"date_diff('day', s.last_order_date, DATE '{as_of}')"
     return f"""
 SELECT c.customer_id, CAST(NULL AS VARCHAR) AS country_code, CAST(NULL AS VARCHAR) AS segment,
   s.first_order_date, s.last_order_date, CAST(coalesce(s.total_orders, 0) AS BIGINT) AS total_orders,
@@ -123,6 +123,21 @@ METRICS = customer_metrics(S_ORDERS, S_CUSTOMERS)
 G_DAILY = f"SELECT *, TIMESTAMP '{RUN_TS}' AS computed_at FROM ({DAILY})"
 G_METRICS = f"SELECT *, TIMESTAMP '{RUN_TS}' AS computed_at FROM ({METRICS})"
 
+METRIC_COLUMNS = (
+    "country_code segment first_order_date last_order_date total_orders total_revenue avg_order_value "
+    "days_since_last_order is_churned"
+).split()
+
+
+def parity(first: str, second: str, key: str, columns: list[str]) -> str:
+    sides = f"FROM ({first}) a FULL JOIN ({second}) b ON a.{key} = b.{key}"
+    counts = {"only in first": f"b.{key} IS NULL", "only in second": f"a.{key} IS NULL"}
+    counts |= {c: f"a.{key} IS NOT NULL AND b.{key} IS NOT NULL AND a.{c} IS DISTINCT FROM b.{c}" for c in columns}
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(*) FILTER ({where}) AS "rows" {sides}""" for name, where in counts.items()
+    )
+
+
 # Order change log: one row per record, images as text and as values
 
 O_BASE = f"""
@@ -538,6 +553,17 @@ GROUP BY "partition", island""",
     "silver_orders_as_of": order_state(
         f"k % 10 <> 0 OR t0 + 120000 > {AS_OF_MS}", AS_OF_MS
     ),
+    "silver_orders_history": " UNION ALL ".join(
+        f"""
+SELECT CAST({t} AS BIGINT) AS as_of, order_id, customer_id, status, total_amount, updated_at
+FROM ({order_state(f"k % 10 <> 0 OR t0 + 120000 > {t}", t)})"""
+        for t in (*BATCH_BOUNDS, 4102444800000)
+    ),
+    "items_with_order_status": f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS line, epoch_ms(l_shipdate) AS shipped_ms,
+  CASE WHEN epoch_ms(l_shipdate) < t0 THEN NULL WHEN epoch_ms(l_shipdate) = t0 THEN 'pending'
+    WHEN k % 10 = 0 THEN NULL ELSE final END AS status
+FROM lineitem LEFT JOIN ({O_BASE}) o ON l_orderkey = k""",
     "silver_customers": C_STATE,
     "silver_order_items": f"""
 SELECT i.item_id, i.order_id, i.product_id, i.quantity, i.unit_price, i.line_total,
@@ -592,6 +618,7 @@ QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY event_
         "dq_suite_" + name.replace("raw.", "bronze_").replace(".", "_"): suite_sql(name)
         for name in SUITES
     },
+    "dq_suite_incremental": suite_sql("raw.cdc_orders"),
     "dq_gate_summary": f"""
 WITH results AS ({layer_results(LAYERS)})
 SELECT layer, {STATISTICS} FROM results GROUP BY layer
@@ -610,6 +637,12 @@ WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 20 <> 0
     "dq_churn_consistency": f"""
 SELECT count(*) AS violations FROM ({METRICS}) WHERE days_since_last_order BETWEEN 91 AND 120""",
     "dq_model_tests": MODEL_TESTS,
+    "gold_parity": parity(
+        f"SELECT * FROM ({METRICS}) WHERE CAST(customer_id AS BIGINT) % 50 <> 7",
+        f"SELECT * FROM ({customer_metrics(S_ORDERS, S_CUSTOMERS, PARITY_AS_OF)}) WHERE CAST(customer_id AS BIGINT) % 70 <> 3",
+        "customer_id",
+        METRIC_COLUMNS,
+    ),
     "smoke_checks": " UNION ALL ".join(
         f"SELECT '{name} is non-empty' AS \"check\", count(*) AS value, count(*) > 0 AS success FROM ({sql})"
         for name, sql in (("gold.daily_revenue", DAILY), ("gold.customer_metrics", METRICS))

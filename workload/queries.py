@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas
 from tidelog.functions.columns import money
-from tidelog.operators import changelog, contracts, envelope, gold, metrics, rates, serving, silver
+from tidelog.operators import changelog, contracts, envelope, gold, history, metrics, rates, serving, silver
 from tidelog.plans.incremental import Views
 from tidelog.plans.medallion import append_new, ledger_of
 from tidelog.quality import gate
+from tidelog.quality.difference import difference
 from tidelog.quality.expectations import evaluate
+from tidelog.quality.states import SuiteState
 from tidelog.quality.suites import LAYERS, SUITES
 from tidelog.session import configure, new_folder
 from tidelog.sources.ledger import intervals
@@ -26,6 +29,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # 1998-06-15 00:00:30 UTC, in the middle of the changes of one day's orders.
 AS_OF_MS = 897868830000
+# Bounds of three batches by commit time: 1995-01-01 and the middle of a day's changes.
+BATCH_BOUNDS = (788918400000, AS_OF_MS)
+
+# The date of the second producer in the comparison of Gold tables.
+PARITY_AS_OF = "1998-12-01"
 
 REGISTRY: dict[str, Query] = {}
 
@@ -197,8 +205,26 @@ def silver_upsert(spark, sf):
     )
 
 
-# Bounds of three batches by commit time: 1995-01-01 and the middle of a day's changes.
-BATCH_BOUNDS = (788918400000, AS_OF_MS)
+@query
+def silver_orders_history(spark, sf):
+    """Orders as of three commit times, from one pass over their valid intervals."""
+    versions = history.accepted_versions(logs.bronze_orders(spark, sf), schemas.ORDERS)
+    states = history.states_at(history.history(versions, "order_id"), (*BATCH_BOUNDS, 4102444800000))
+    return states.select("as_of", "order_id", "customer_id", "status", "total_amount", "updated_at")
+
+
+@query
+def items_with_order_status(spark, sf):
+    """Line items with the status that their order had when they were shipped; none after its removal."""
+    versions = history.accepted_versions(logs.bronze_orders(spark, sf), schemas.ORDERS)
+    items = domain.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("shipped_ms"),
+    )
+    joined = history.as_of_join(items, versions, "order_id", "shipped_ms")
+    live = F.col("version.op") != "d"
+    return joined.select("order_id", "line", "shipped_ms", F.when(live, F.col("version.status")).alias("status"))
 
 
 def _batches(rows: DataFrame) -> list[DataFrame]:
@@ -448,16 +474,19 @@ QUALITY_TABLES: dict[str, Query] = {
 
 
 def quality_tables(spark, sf, layers=tuple(LAYERS)) -> dict[str, DataFrame]:
-    """Each table built once and landed, as the batch chain does before its gate.
+    """Each table built once and landed, as the batch chain does before its gate; the writes run side by side.
 
     A suite scans its table once for the row rules and once for each unique key.
     """
-    tables = {}
-    for name in (n for layer in layers for n in LAYERS[layer]):
+
+    def land(name: str) -> DataFrame:
         path = new_folder(spark, "gated")
         QUALITY_TABLES[name](spark, sf).write.parquet(path)
-        tables[name] = spark.read.parquet(path)
-    return tables
+        return spark.read.parquet(path)
+
+    names = [n for layer in layers for n in LAYERS[layer]]
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(land, names)))
 
 
 def _suite_query(name: str) -> Query:
@@ -472,6 +501,19 @@ for _name in SUITES:
     _suite_query(_name)
 
 
+@query
+def dq_suite_incremental(spark, sf):
+    """The suite of the order change log, kept by parts of which only the new one is scanned."""
+    path = new_folder(spark, "suite-parts")
+    rows = QUALITY_TABLES["raw.cdc_orders"](spark, sf)
+    rows.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(3))).write.parquet(path)
+    table = spark.read.parquet(path)
+    state = SuiteState(spark, new_folder(spark, "suite"), "raw.cdc_orders", tuple(SUITES["raw.cdc_orders"]), rows=100_000)
+    for n in range(3):
+        state.append(table.where(F.col("_part") == n).drop("_part"), n)
+    return state.results()
+
+
 @query
 def dq_gate_summary(spark, sf):
     return gate.gate_summary(gate.run_gate(quality_tables(spark, sf)))
@@ -515,6 +557,18 @@ def dq_model_tests(spark, sf):
     )
 
 
+@query
+def gold_parity(spark, sf):
+    """Customer metrics as of two dates, each without some customers, compared column by column."""
+    tables = []
+    for as_of, number, rest in ((domain.AS_OF, 50, 7), (PARITY_AS_OF, 70, 3)):
+        metrics = gold.customer_metrics(domain.silver_orders(spark, sf), domain.silver_customers(spark, sf), as_of, domain.RUN_TS)
+        path = new_folder(spark, "parity")
+        without_run_columns(metrics).where(F.col("customer_id").cast("bigint") % number != rest).write.parquet(path)
+        tables.append(spark.read.parquet(path))
+    return difference(*tables, ["customer_id"])
+
+
 @query
 def smoke_checks(spark, sf):
     return gate.smoke_checks(
