@@ -24,17 +24,7 @@ from tidelog.operators.changelog import VERSION_ORDER, latest_per_key
 from tidelog.operators.envelope import accepted, upserts
 from tidelog.operators.silver import line_total, shaped
 from tidelog.session import new_folder
-from tidelog.sources.hashed import ROWS, HashedTable, Resolve
-
-
-def added(names: tuple[str, ...], key: tuple[str, ...]) -> Resolve:
-    """Sums plus their changes."""
-
-    def resolve(old: Column, new: Column) -> Column:
-        kept = [F.coalesce(new[k], old[k]).alias(k) for k in key]
-        return F.struct(*kept, *[(F.coalesce(old[n], F.lit(0)) + F.coalesce(new[n], F.lit(0))).alias(n) for n in names])
-
-    return resolve
+from tidelog.sources.hashed import ROWS, HashedTable, added
 
 
 def _new_facts(old: Column, new: Column) -> Column:

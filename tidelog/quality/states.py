@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas
-from tidelog.plans.incremental import added
 from tidelog.quality.expectations import (
     KEY_NUMBERS,
     Expectation,
@@ -26,7 +25,7 @@ from tidelog.quality.expectations import (
     split_rules,
     verdicts,
 )
-from tidelog.sources.hashed import ROWS, HashedTable
+from tidelog.sources.hashed import ROWS, HashedTable, added
 from tidelog.streaming.batches import BatchLog
 
 #: A second hash that tells values apart which share the first.

@@ -21,9 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog import rules, schemas
 from tidelog.functions.columns import average, money
 from tidelog.operators.envelope import parse_envelope, topic_values
-from tidelog.plans.incremental import added
 from tidelog.session import configure
-from tidelog.sources.hashed import ROWS, HashedTable
+from tidelog.sources.hashed import ROWS, HashedTable, added
 from tidelog.sources.topics import Topic, stream_records
 from tidelog.streaming.batches import BatchLog, drained
 from tidelog.streaming.jobs import TRIGGER
