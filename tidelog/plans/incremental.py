@@ -24,7 +24,7 @@ from tidelog.operators.changelog import VERSION_ORDER, latest_per_key
 from tidelog.operators.envelope import accepted, upserts
 from tidelog.operators.silver import line_total, shaped
 from tidelog.session import new_folder
-from tidelog.sources.hashed import ROWS, HashedTable, added
+from tidelog.sources.hashed import ROWS, HashedTable, Resolve, added
 
 
 def _new_facts(old: Column, new: Column) -> Column:
