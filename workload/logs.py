@@ -42,9 +42,17 @@ def version(i: int, value: Column | None, when: Column | None = None) -> Column:
     return row if when is None else F.when(when, row)
 
 
+#: Tasks per core that write JSON texts: several, so that no core waits long for the last one.
+TASKS_PER_CORE = 4
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores by their keys: writing the JSON text is the heavy part here."""
-    return rows.repartition(*keys)
+    """Rows over all cores by their keys: writing the JSON text is the heavy part here.
+
+    The number is given, since adaptive execution would otherwise merge the tasks by the size of the short rows before
+    the text, into about one per core and a second round for the rest.
+    """
+    return rows.repartition(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def as_records(rows: DataFrame, topic: str, key: Column, offset: Column, ts: Column) -> DataFrame:
