@@ -39,3 +39,14 @@ def test_history_works_its_rows_out_once(spark):
     once, seen = counted(spark, versions, "offset")
     assert history.as_of_join(facts, once, "k", "at").where("version.ts_ms = at").count() == 50
     assert seen.value == 50
+
+
+def test_rules_that_hold_are_not_taken_out_by_an_interpreted_filter(spark, capsys):
+    from tidelog.operators import contracts
+
+    images = spark.createDataFrame([(1, "{}"), (2, "[1]"), (3, '{"order_id": 1, "more": 2}')], "n int, after string")
+    found = contracts.violations(images, "after", contracts.ORDER_CONTRACT)
+    assert sorted((r.n, r.field) for r in found.collect() if r.rule != "required") == [(2, ""), (3, "more")]
+    found.explain("extended")
+    optimized = capsys.readouterr().out.split("Optimized Logical Plan")[1]
+    assert "isnotnull(lambda" not in optimized

@@ -108,19 +108,20 @@ def _rule_failures(field: Field) -> list[Column]:
 
 
 def violations(images: DataFrame, image: str, contract: Contract) -> DataFrame:
-    """One row per broken rule of each non-NULL image: ``field`` and ``rule`` next to the input."""
+    """One row per broken rule of each non-NULL image: ``field`` and ``rule`` next to the input.
+
+    Rules that hold are rows without a field, left out behind the generator. Taking them out of the array first would
+    have every rule interpreted, row by row, instead of compiled.
+    """
     kept = [c for c in images.columns if c != image]
     known = F.array(*[F.lit(f.name) for f in contract])
-    extra = F.transform(
-        F.array_except("_keys", known),
-        lambda name: F.struct(name.alias("field"), F.lit("unexpected").alias("rule")),
-    )
+    unexpected = F.array_except("_keys", known)
+    extra = F.transform(unexpected, lambda name: F.struct(name.alias("field"), F.lit("unexpected").alias("rule")))
     whole = F.array(F.struct(F.lit("").alias("field"), F.lit("not an object").alias("rule")))
-    broken = F.array_compact(F.array(*[c for f in contract for c in _rule_failures(f)]))
+    rules_of = F.array(*[c for f in contract for c in _rule_failures(f)])
+    checked = F.when(F.size(unexpected) > 0, F.concat(rules_of, extra)).otherwise(rules_of)
     opened = _opened(images.filter(F.col(image).isNotNull()), image, contract)
-    return opened.select(
-        *kept, F.inline(F.when(F.col("_object"), F.concat(broken, extra)).otherwise(whole))
-    )
+    return opened.select(*kept, F.inline(F.when(F.col("_object"), checked).otherwise(whole))).filter(F.col("field").isNotNull())
 
 
 def observed_evolution(images: DataFrame, image: str, contract: Contract) -> DataFrame:
