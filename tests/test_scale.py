@@ -50,3 +50,11 @@ def test_rules_that_hold_are_not_taken_out_by_an_interpreted_filter(spark, capsy
     found.explain("extended")
     optimized = capsys.readouterr().out.split("Optimized Logical Plan")[1]
     assert "isnotnull(lambda" not in optimized
+
+
+def test_state_stores_do_not_look_keys_up_to_count_them(spark):
+    from tidelog.session import configure
+
+    store = "spark.sql.streaming.stateStore.rocksdb."
+    assert configure(spark).conf.get(f"{store}trackTotalNumberOfRows") == "false"
+    assert spark.conf.get(f"{store}changelogCheckpointing.enabled") == "true"
