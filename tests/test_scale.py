@@ -58,3 +58,53 @@ def test_state_stores_do_not_look_keys_up_to_count_them(spark):
     store = "spark.sql.streaming.stateStore.rocksdb."
     assert configure(spark).conf.get(f"{store}trackTotalNumberOfRows") == "false"
     assert spark.conf.get(f"{store}changelogCheckpointing.enabled") == "true"
+
+
+def test_only_new_records_are_parsed_and_repeated_ones_count_once(spark, tmp_path):
+    from changes import change, order, records
+
+    from tidelog.operators.envelope import filled, parse_envelope, topic_values
+    from tidelog.plans.medallion import append_new
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(value):
+        seen.add(1)
+        return value
+
+    def parse(raw):
+        return parse_envelope(raw.withColumn("raw_json", read.asNondeterministic()("raw_json")), "2024-06-01 00:00:00")
+
+    path = str(tmp_path / "raw")
+    raw = filled(topic_values(records(spark, [change("c", after=order(n)) for n in range(20)] + [None])))
+    with_repeats = raw.unionByName(raw.where("offset < 9"))
+    assert append_new(with_repeats.where("offset < 15"), "raw.cdc_orders", path, "2024-06-01 00:00:00", parse, True) == 15
+    assert seen.value == 15
+    assert append_new(with_repeats, "raw.cdc_orders", path, "2024-06-02 00:00:00", parse, True) == 5
+    assert seen.value == 20
+    assert sorted(r.offset for r in spark.read.parquet(path).collect()) == list(range(20))
+
+
+def test_records_move_once_by_chunk_where_the_ledger_is_large(spark, capsys):
+    from tidelog.session import setting
+    from tidelog.sources.ledger import marked, merged, not_covered
+
+    rows = spark.range(0, 200_000, 3).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("text").alias("payload"))
+    state = merged(marked(rows.where("offset % 2 = 0")))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        fresh = not_covered(rows.unionByName(rows), state, repeats=True, landed=True)
+        assert fresh.count() == rows.where("offset % 2 = 1").count()
+        fresh.explain()
+    moved = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in line and "chunk" in line and "offset" in line.split("hashpartitioning(")[1].split(")")[0]]
+    assert moved == []
+
+
+def test_intervals_come_from_compiled_generators(spark, capsys):
+    from tidelog.sources.ledger import intervals, marked, merged
+
+    rows = spark.range(5, 70_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    found = intervals(merged(marked(rows.where("offset not in (9, 40000)"))))
+    assert sorted((r.first_offset, r.last_offset) for r in found.collect()) == [(5, 8), (10, 39_999), (40_001, 69_999)]
+    found.explain("extended")
+    assert "lambda" not in capsys.readouterr().out

@@ -17,6 +17,11 @@ def topic_values(records: DataFrame) -> DataFrame:
     return records.select(F.col("value").cast("string").alias("raw_json"), *identity)
 
 
+def filled(raw: DataFrame) -> DataFrame:
+    """Records that have a value."""
+    return raw.filter(F.col("raw_json").isNotNull() & (F.col("raw_json") != ""))
+
+
 def parse_envelope(
     raw: DataFrame, run_ts: str | None = None, commit_time: str = "envelope"
 ) -> DataFrame:
@@ -29,7 +34,7 @@ def parse_envelope(
     cdc_id = record_id(*map(F.col, IDENTITY)) if len(identity) == len(IDENTITY) else F.expr("uuid()")
     source_ts = F.col("_source_ts") if commit_time == "source" else F.lit(None)
     # One generator per JSON level reads each text once; filters above it cannot repeat the parse.
-    opened = raw.filter(F.col("raw_json").isNotNull() & (F.col("raw_json") != "")).select(
+    opened = filled(raw).select(
         *identity,
         F.json_tuple("raw_json", "op", "ts_ms", "before", "after", "source").alias(
             "op", "_ts", "before", "after", "_source"

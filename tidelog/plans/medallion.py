@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from tidelog.operators.contracts import check_compatible
 from tidelog.operators.envelope import (
-    IDENTITY,
     bronze_events,
+    filled,
     parse_envelope,
     quarantined,
     topic_values,
@@ -95,13 +96,24 @@ def _landed_by(landed: DataFrame, run: str) -> DataFrame:
     return rows.where(F.col("ingested_at_day") == F.to_date(at)) if "ingested_at_day" in landed.columns else rows
 
 
-def append_new(rows: DataFrame, table: str, path: str, run_ts: str | None = None) -> int:
+def append_new(
+    records: DataFrame,
+    table: str,
+    path: str,
+    run_ts: str | None = None,
+    parse: Callable[[DataFrame], DataFrame] | None = None,
+    repeats: bool = False,
+) -> int:
     """Append the Bronze rows whose records are not landed yet and return their number.
 
     The ledger beside the table says what is landed; it is noted after the append, from the rows that this
     run left in the table. ``run_ts`` becomes their run time. A table without a ledger gets one first.
+    ``parse`` makes Bronze rows of records (with topic, partition and offset); without it they are such rows. It sees new
+    records alone, and the longer rows are never moved. ``repeats``: records may come more than once.
     """
-    spark, target = rows.sparkSession, spec(table)
+    spark, target = records.sparkSession, spec(table)
+    parse = parse or (lambda kept: kept)
+    rows = parse(records)
     run = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
     ledger, landed = ledger_of(spark, path), existing(spark, path)
     if landed is not None:
@@ -112,7 +124,7 @@ def append_new(rows: DataFrame, table: str, path: str, run_ts: str | None = None
             ledger.end(run, landed)
         for broken in ledger.unfinished():
             ledger.end(broken, _landed_by(landed, broken))
-    new = ledger.missing(rows).withColumn("ingested_at", F.lit(run).cast("timestamp")).select(rows.columns)
+    new = parse(ledger.missing(records, repeats)).withColumn("ingested_at", F.lit(run).cast("timestamp")).select(rows.columns)
     ledger.begin(run)
     written = write_table(new, path, target.layout, rebalance=target.mixed)
     landed = existing(spark, path)
@@ -135,14 +147,11 @@ def ingest_bronze(
     for entity, topic in topics.items():
         records = read_records(spark, topic)
         if entity == "events":
-            table, rows = "raw.kafka_events", bronze_events(records, run_ts)
+            table, parse = "raw.kafka_events", bronze_events
         else:
-            table = CDC_TABLES[entity]
-            rows = parse_envelope(topic_values(records), run_ts)
-        if not topic.ordered:
-            # Files may overlap; offsets of a broker never repeat.
-            rows = rows.dropDuplicates(list(IDENTITY))
-        written[table] = append_new(rows, table, table_path(root, table), run_ts)
+            table, parse, records = CDC_TABLES[entity], parse_envelope, filled(topic_values(records))
+        # Files may overlap; offsets of a broker never repeat.
+        written[table] = append_new(records, table, table_path(root, table), run_ts, partial(parse, run_ts=run_ts), not topic.ordered)
     return written
 
 

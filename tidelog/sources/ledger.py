@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Offsets per chunk: the number of bits in one of Spark's bitmaps.
 CHUNK = 32768
+#: Bits of the filter that leaves landed rows out before rows are moved: 16 MB, whatever the size of the ledger.
+SLOTS = 1 << 27
 #: Runs noted in one generation before they are merged into the next.
 RUNS = 64
 
@@ -64,9 +66,11 @@ def merged(notes: DataFrame) -> DataFrame:
     runs = runs.withColumn("_begins", begins.cast("int")).withColumn("_island", F.sum("_begins").over(upto))
     runs = runs.groupBy(*PARTITION, "_island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     runs = runs.select(*PARTITION, "first", "last", F.lit(None).cast("binary").alias("bits"))
-    # Offsets that came again lie in chunks that are whole by now.
-    loose = _with_whole(parts.where("not _whole").select(*PARTITION, F.col("first").alias("chunk"), "bits"), runs).where("not whole")
-    return loose.select(*PARTITION, F.col("chunk").alias("first"), F.col("chunk").alias("last"), "bits").unionByName(runs)
+    # Offsets that came again lie in chunks that are whole by now. The bits stay out of the ordered pass, which has a
+    # task per topic partition.
+    loose = parts.where("not _whole").select(*PARTITION, "first", F.col("first").alias("last"), "bits")
+    again = _with_whole(loose.select(*PARTITION, F.col("first").alias("chunk")), runs).where("whole")
+    return loose.join(again.select(*PARTITION, F.col("chunk").alias("first")), [*PARTITION, "first"], "left_anti").unionByName(runs)
 
 
 def _with_whole(chunks: DataFrame, runs: DataFrame) -> DataFrame:
@@ -85,20 +89,51 @@ def coverage(asked: DataFrame, state: DataFrame) -> DataFrame:
     return whole.join(bits, [*PARTITION, "chunk"], "left")
 
 
-def not_covered(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows whose offset the ledger state does not have."""
-    rows = rows.withColumn("chunk", chunk_of(F.col("offset")))
-    known = coverage(rows.select(*PARTITION, "chunk").distinct(), state)
+def _chunked(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("chunk", chunk_of(F.col("offset")))
+
+
+def _left(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Chunked rows whose offset their chunk's coverage does not have."""
     joined = rows.join(known, [*PARTITION, "chunk"], "left")
     seen = F.col("whole") | F.coalesce(_has(F.col("bits"), F.col("offset")), F.lit(False))
-    return joined.where(~F.coalesce(seen, F.lit(False))).select(*[c for c in rows.columns if c != "chunk"])
+    return joined.where(~F.coalesce(seen, F.lit(False))).select(*rows.columns)
+
+
+def _probable(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``rows`` without most of those that are not among ``fresh``, by one bit for the hash of each fresh record."""
+    slot = F.pmod(F.xxhash64(*PARTITION, "offset"), F.lit(SLOTS))
+    pages = fresh.select(slot.alias("_slot")).groupBy(chunk_of(F.col("_slot")).alias("_page"))
+    pages = pages.agg(F.bitmap_construct_agg(F.pmod("_slot", F.lit(CHUNK))).alias("_set"))
+    asked = rows.withColumn("_slot", slot).withColumn("_page", chunk_of(F.col("_slot")))
+    found = asked.join(F.broadcast(pages), "_page")  # SLOTS bits at most
+    return found.where(_has(F.col("_set"), F.col("_slot"))).select(*rows.columns)
+
+
+def not_covered(rows: DataFrame, state: DataFrame, repeats: bool = False, landed: bool = False) -> DataFrame:
+    """Rows whose offset the ledger state does not have; with ``repeats``, one of those with the same identity.
+
+    Rows move once, by chunk, and repeated ones are told in the same place. With ``landed``, where many may be there
+    already, their offsets alone are looked up first, and most landed rows are left out before any is moved.
+    """
+    rows = _chunked(rows)
+    known = coverage(rows.select(*PARTITION, "chunk").distinct(), state)
+    if landed:
+        rows = _probable(rows, _left(rows.select(*PARTITION, "chunk", "offset"), known))
+    left = _left(rows, known)
+    if repeats:
+        left = left.dropDuplicates([*PARTITION, "chunk", "offset"])
+    return left.drop("chunk")
 
 
 def intervals(state: DataFrame) -> DataFrame:
     """The landed offsets of each topic partition as longest intervals: first_offset, last_offset."""
-    loose = state.where("bits is not null").select(
-        *PARTITION, "first", F.explode(F.filter(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda p: _has(F.col("bits"), p))).alias("_place")
-    )
+    # Plain generators, which are compiled: the bytes of a chunk, then the bits of those that have any.
+    octet = F.conv(F.hex(F.substring("bits", F.col("_octet") + 1, F.lit(1))), 16, 10).cast("int")
+    octets = state.where("bits is not null").select(*PARTITION, "first", "bits", F.explode(F.sequence(F.lit(0), F.lit(CHUNK // 8 - 1))).alias("_octet"))
+    octets = octets.select(*PARTITION, "first", "_octet", octet.alias("_byte")).where("_byte <> 0")
+    loose = octets.select(*PARTITION, "first", "_octet", "_byte", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_bit"))
+    loose = loose.where(F.getbit("_byte", F.col("_bit")) == 1).select(*PARTITION, "first", (F.col("_octet") * 8 + F.col("_bit")).alias("_place"))
     offset = F.col("first") * CHUNK + F.col("_place")
     inside = Window.partitionBy(*PARTITION, "first").orderBy("_place")  # one chunk at most
     loose = loose.withColumn("_island", F.col("_place") - F.row_number().over(inside)).groupBy(*PARTITION, "first", "_island")
@@ -143,9 +178,10 @@ class Ledger:
     def state(self) -> DataFrame:
         return merged(self.notes())
 
-    def missing(self, rows: DataFrame) -> DataFrame:
-        """Rows (with topic, partition and offset) that are not landed."""
-        return not_covered(rows, self.state())
+    def missing(self, rows: DataFrame, repeats: bool = False) -> DataFrame:
+        """Rows (with topic, partition and offset) that are not landed; with ``repeats``, one of those that came again."""
+        landed = not self._all().where("first is not null").isEmpty()
+        return not_covered(rows, self.state(), repeats, landed)
 
     def unfinished(self) -> list[str]:
         """Runs that began and noted no end; more than one only if every run since then broke off."""

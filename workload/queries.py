@@ -325,8 +325,8 @@ def stream_bronze_cdc(spark, sf):
 
 
 def _appended(records: DataFrame, landed: str, run: str) -> None:
-    rows = envelope.parse_envelope(envelope.topic_values(records), run)
-    append_new(rows.dropDuplicates(list(envelope.IDENTITY)), "raw.cdc_orders", landed, run)
+    raw = envelope.filled(envelope.topic_values(records))
+    append_new(raw, "raw.cdc_orders", landed, run, lambda new: envelope.parse_envelope(new, run), repeats=True)
 
 
 @query
@@ -334,14 +334,12 @@ def bronze_ingest_resume(spark, sf):
     """Order records landed by a run that broke off, with holes, and made up for by the next run."""
     root = new_folder(spark, "resume")
     topic = Topic("cdc.orders", path=f"{root}/topic")
-    landed, path = f"{root}/bronze", f"{root}/records"
-    logs.order_records(spark, sf).write.parquet(path)
-    records = spark.read.parquet(path)
-    broken_off = records.where("pmod(offset, 8) in (0, 3, 7) and pmod(offset div 8, 4) <> 1")
-    rows = envelope.parse_envelope(envelope.topic_values(broken_off), domain.RUN_TS)
+    landed = f"{root}/bronze"
+    logs.order_records(spark, sf).write.parquet(topic.path)
+    broken_off = read_records(spark, topic).where("pmod(offset, 8) in (0, 3, 7) and pmod(offset div 8, 4) <> 1")
+    raw = envelope.filled(envelope.topic_values(broken_off)).dropDuplicates(list(envelope.IDENTITY))
     ledger_of(spark, landed).begin(domain.RUN_TS)
-    write_table(rows.dropDuplicates(list(envelope.IDENTITY)), landed, spec("raw.cdc_orders").layout, rebalance=False)
-    records.write.parquet(topic.path)
+    write_table(envelope.parse_envelope(raw, domain.RUN_TS), landed, spec("raw.cdc_orders").layout, rebalance=False)
     for _ in range(2):
         _appended(read_records(spark, topic), landed, domain.RUN_TS)
     return spark.read.parquet(landed).select("op", "ts_ms", "txn_id", "partition", "offset")
