@@ -108,3 +108,24 @@ def test_intervals_come_from_compiled_generators(spark, capsys):
     assert sorted((r.first_offset, r.last_offset) for r in found.collect()) == [(5, 8), (10, 39_999), (40_001, 69_999)]
     found.explain("extended")
     assert "lambda" not in capsys.readouterr().out
+
+
+def test_the_settled_lane_keeps_images_in_a_table_and_not_in_calls_per_entity(spark):
+    from changes import change, order, records
+
+    from tidelog.session import new_folder
+    from tidelog.sources.topics import Topic
+    from tidelog.streaming.settled import SettledWindows, start_settled_windows
+
+    root = new_folder(spark, "lane")
+    topic, lane = Topic("cdc.orders", path=f"{root}/in"), SettledWindows(spark, f"{root}/lane", rows=2)
+    first = [change("c", after=order(1), ts_ms=1), change("u", order(1), order(1, amount="7.00"), ts_ms=2), change("d", before=order(2), ts_ms=2)]
+    second = [change("c", after=order(1), ts_ms=1), change("c", after=order(2), ts_ms=1), change("u", order(1), order(1, amount="8.00", minute=30), ts_ms=3)]
+    operators = []
+    for n, values in enumerate((first, second)):
+        records(spark, values, offsets=range(3 * n, 3 * n + 3)).write.mode("append").parquet(topic.path)
+        query = start_settled_windows(spark, topic, lane, f"{root}/checkpoint")
+        query.awaitTermination()
+        operators += [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert operators == []
+    assert sorted((r.sign, r.updated_at.minute, str(r.total_amount)) for r in lane.images.changes(2).collect()) == [(-1, 0, "7.00"), (1, 30, "8.00")]

@@ -5,6 +5,10 @@ second lane keeps the sums of every window in a hashed table and takes in signed
 emitted when the lane's own watermark passes its end, and again, with a higher revision, whenever a later
 change alters it. The last revision of a window is its settled result; one that nothing is left in is emitted with no orders.
 
+The last accepted image of every entity is a hashed table as well (``images``), merged once for each batch: the signed
+changes are those of its new version. So a batch is a few joins, not one call for each entity. With ``ttl_days`` the
+images are state of the stream instead (``keyed``), which can forget entities.
+
 Batches are taken in exactly once. The changes of a batch land in a folder of the batch, the sums remember the batch
 that they have, and the ledger names a batch after its emissions are written. A batch that comes again after a crash
 goes on where it broke off, or does nothing.
@@ -20,7 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import rules, schemas
 from tidelog.functions.columns import average, money
-from tidelog.operators.envelope import parse_envelope, topic_values
+from tidelog.operators.changelog import VERSION_ORDER, latest_per_key
+from tidelog.operators.envelope import accepted, parse_envelope, topic_values, upserts
 from tidelog.session import configure
 from tidelog.sources.hashed import ROWS, HashedTable, added
 from tidelog.sources.topics import Topic, stream_records
@@ -55,6 +60,10 @@ class SettledWindows:
     def sums(self) -> HashedTable:
         return HashedTable(self.spark, f"{self.root}/sums", schemas.WINDOW_SUMS, ("window_start",), self.rows)
 
+    @property
+    def images(self) -> HashedTable:
+        return HashedTable(self.spark, f"{self.root}/images", schemas.image_schema(schemas.ORDERS), (schemas.ORDERS.key,), self.rows)
+
     @property
     def log(self) -> BatchLog:
         return BatchLog(self.spark, f"{self.root}/batches")
@@ -63,6 +72,18 @@ class SettledWindows:
     def signed(self) -> BatchLog:
         return BatchLog(self.spark, f"{self.root}/signed")
 
+    def take_changes(self, changes: DataFrame, batch_id: int) -> None:
+        """Take in the accepted order changes of a batch, in any order and repeated or not; for ``foreachBatch``."""
+        if self.log.committed(batch_id):
+            return
+        images = self.images
+        if images.directory().run != str(batch_id):
+            newest = latest_per_key(changes.select(*images.schema.fieldNames()), list(images.key), VERSION_ORDER)
+            landed = BatchLog(self.spark, f"{self.root}/newest").write(newest, batch_id)
+            images.merge(landed, images.newest(VERSION_ORDER), str(batch_id))
+        signed = images.changes(images.version()).where(upserts()).where("updated_at is not null")
+        self.take(signed, batch_id)
+
     def take(self, signed: DataFrame, batch_id: int) -> None:
         """Take in the signed changes of a batch; for ``foreachBatch``."""
         if self.log.committed(batch_id):
@@ -122,6 +143,10 @@ def start_settled_windows(
     """Order changes in, corrected windows out."""
     configure(spark)
     bronze = parse_envelope(topic_values(stream_records(spark, source, per_trigger)))
-    changes = accepted_changes(bronze, schemas.ORDERS, ttl_days).where("updated_at is not null")
-    writer = changes.writeStream.foreachBatch(lane.take).outputMode("update").option("checkpointLocation", checkpoint)
+    if ttl_days is None:
+        writer = accepted(bronze, schemas.ORDERS).writeStream.foreachBatch(lane.take_changes).outputMode("append")
+    else:
+        changes = accepted_changes(bronze, schemas.ORDERS, ttl_days).where("updated_at is not null")
+        writer = changes.writeStream.foreachBatch(lane.take).outputMode("update")
+    writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**({"availableNow": True} if once else {"processingTime": TRIGGER})).start()
