@@ -129,3 +129,19 @@ def test_the_settled_lane_keeps_images_in_a_table_and_not_in_calls_per_entity(sp
         operators += [s for p in query.recentProgress for s in p["stateOperators"]]
     assert operators == []
     assert sorted((r.sign, r.updated_at.minute, str(r.total_amount)) for r in lane.images.changes(2).collect()) == [(-1, 0, "7.00"), (1, 30, "8.00")]
+
+
+def test_the_classifier_describes_texts_in_small_blocks():
+    import tracemalloc
+
+    from tidelog.llm import pu_quality
+    from tidelog.llm.common import blocks
+    import pyarrow as pa
+
+    column = pa.array(["some words of a text " * 50] * 8_000)
+    tracemalloc.start()
+    for _, held in blocks(column, pu_quality.BLOCK):
+        pu_quality.features(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6

@@ -28,6 +28,8 @@ from tidelog.llm.common import blocks, fresh_name, mixed, ship, words_of
 SAMPLE = 8_000
 #: Buckets of the hashed word shares.
 BUCKETS = 256
+#: Bytes of text described at once; the arrays over them take some thirty times as much, in every worker.
+BLOCK = 1 << 20
 _LAGS = (1, 2, 3, 4, 5, 6, 8)
 _STEPS = 250
 _DECAY = 3e-3
@@ -104,7 +106,7 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int) -> n
 def fit(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights on raw features (the last is the bias) and the estimated class prior."""
     mean, spread = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 0.01
-    ready = lambda x: np.column_stack([np.clip((x - mean) / spread, -6, 6), np.ones(len(x))]).astype(np.float32)
+    ready = lambda x: np.column_stack([np.clip((x - mean) / spread, -6, 6), np.ones(len(x), dtype=np.float32)])
     p, u = ready(positive), ready(unlabelled)
     # Each half is scored by a model of the other half.
     halves = [(_descend(p[i::2], u[i::2], None, _STEPS // 3), 1 - i) for i in (0, 1) if len(p) > 1 and len(u) > 1]
@@ -147,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, held in blocks(batch.column(0)):
+            for start, held in blocks(batch.column(0), BLOCK):
                 x = features(held)
                 cut = batch.slice(start, len(held))
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), cut.column(1), cut.column(2)], ["x", "positive", "web"])
@@ -178,7 +180,7 @@ def scored(docs: DataFrame, weights: np.ndarray | None, text: str = "text", scor
     @F.arrow_udf("double")
     def rate(column: pa.Array) -> pa.Array:
         parts = [np.zeros(0)]
-        for _, held in blocks(column):
+        for _, held in blocks(column, BLOCK):
             parts.append(np.full(len(held), 0.5) if weights is None else _score(held, weights))
         return pa.array(np.concatenate(parts))
 
