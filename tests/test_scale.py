@@ -146,3 +146,36 @@ def test_the_classifier_describes_texts_in_small_blocks():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 60e6
+
+
+def method_sizes(df, capsys):
+    """Largest method of each fused stage of a plan, in bytes."""
+    from tidelog.session import setting
+
+    capsys.readouterr()
+    with setting(df.sparkSession, "spark.sql.adaptive.enabled", "false"):
+        df.select("*").explain("codegen")
+    return [int(text.split(";")[0]) for text in capsys.readouterr().out.split("maxMethodCodeSize:")[1:]]
+
+
+def test_merges_of_silver_images_are_short_enough_to_be_compiled(spark, tmp_path, capsys):
+    from tidelog import schemas
+    from tidelog.operators.changelog import VERSION_ORDER
+    from tidelog.plans.incremental import Views
+    from tidelog.session import setting
+    from tidelog.sources.hashed import Directory
+
+    views = Views(spark, str(tmp_path))
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        for entity in (schemas.ORDERS, schemas.CUSTOMERS, schemas.ORDER_ITEMS):
+            table = views.silver(entity)
+            changes = spark.createDataFrame([], table.schema)
+            rebuilt = table._rebuilt(Directory(), 1, [0], changes, table.newest(VERSION_ORDER), 4, 4)
+            sizes = method_sizes(rebuilt, capsys)
+            assert sizes and max(sizes) < 8000
+
+
+def test_longer_stages_are_not_fused(spark):
+    from tidelog.session import configure
+
+    assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

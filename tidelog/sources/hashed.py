@@ -129,7 +129,9 @@ class HashedTable:
 
         def resolve(old: Column, new: Column) -> Column:
             later = F.struct(*[new[c] for c in order]) > F.struct(*[old[c] for c in order])
-            return F.struct(*[F.when(old.isNull() | later, new[c]).otherwise(old[c]).alias(c) for c in self.schema.fieldNames()])
+            # Whole rows are compared and chosen once, not field by field.
+            given = F.struct(*[new[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
+            return F.when(old.isNull() | later, given).otherwise(old)
 
         return resolve
 
@@ -179,10 +181,10 @@ class HashedTable:
         # Absent sides are NULL structs, also where all keys of a present one are NULL.
         gone, fresh = F.col("_old_bucket").isNull(), F.col("_new_bucket").isNotNull()
         was = F.when(~gone, F.col("_old"))
-        made = resolve(was, F.col("_new"))
-        row = F.struct(*[F.when(fresh, made[f.name].cast(f.dataType)).otherwise(was[f.name]).alias(f.name) for f in self.schema])
+        made = F.struct(*[F.col("_made")[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
         changed = fresh & ~(F.col("_row").eqNullSafe(was))
-        return joined.withColumn("_row", row).select(
+        rows = joined.withColumn("_made", F.when(fresh, resolve(was, F.col("_new")))).withColumn("_row", F.when(fresh, made).otherwise(was))
+        return rows.select(
             "_row.*",
             F.when(changed, was).alias("_before"),
             F.when(changed, F.lit(version)).otherwise(F.col("_was")).cast("long").alias("_changed"),
