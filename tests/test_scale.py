@@ -179,3 +179,31 @@ def test_longer_stages_are_not_fused(spark):
     from tidelog.session import configure
 
     assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_record_texts_are_made_by_compiled_expressions(spark, capsys):
+    for build in (logs.order_records, logs.customer_records, logs.item_records):
+        capsys.readouterr()
+        build(spark, SMALL).explain("extended")
+        assert "lambda" not in capsys.readouterr().out.split("Optimized Logical Plan")[1]
+
+
+def test_record_texts_are_those_of_the_json_writer(spark, tmp_path):
+    """NULLs in every column; each text reads and writes back as it is."""
+    for name in ("orders", "lineitem"):
+        given = spark.read.parquet(f"{SMALL}/{name}.parquet").limit(300)
+        holes = [F.when(F.pmod(F.xxhash64(*given.columns), F.lit(5 + n)) != 0, F.col(c)).alias(c) for n, c in enumerate(given.columns)]
+        given.select(*holes).write.parquet(f"{tmp_path}/{name}.parquet")
+    source = "source: struct<db: string, table: string, txId: bigint>"
+    order = "struct<order_id: bigint, customer_id: bigint, status: string, total_amount: string, created_at: string, updated_at: string>"
+    item = "struct<item_id: string, order_id: bigint, product_id: bigint, quantity: int, unit_price: string, created_at: string>"
+    for build, image in ((logs.order_records, order), (logs.item_records, item)):
+        texts = build(spark, str(tmp_path)).select(F.col("value").cast("string").alias("text")).where("text like '{%'")
+        sides = (("before", "after"), ("after",), ("before",))
+        found = 0
+        for present in sides:
+            schema = ", ".join([*[f"{side}: {image}" for side in present], "op: string, ts_ms: bigint", source])
+            again = F.to_json(F.from_json("text", f"struct<{schema}>"), {"ignoreNullFields": "false"})
+            written = texts.select("text", again.alias("again"))
+            found += written.where("text = again").count()
+        assert found == texts.count() >= 300

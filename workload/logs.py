@@ -20,20 +20,31 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, ISO)
 
 
+def number(value: Column) -> Column:
+    """JSON text of a whole number."""
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
+def quoted(value: Column) -> Column:
+    """JSON text of a string that needs no escapes: a code, an amount, a time, a list of numbers."""
+    return F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
+
+
+def json_object(**members: Column) -> Column:
+    """JSON text of an object from the texts of its members, as ``to_json`` writes it.
+
+    Plain concatenation compiles with the rest of the plan, and a text that stands in several records is made once.
+    """
+    parts = [part for name, text in members.items() for part in (F.lit(f',"{name}":'), text)]
+    return F.concat(F.lit(f'{{"{next(iter(members))}":'), *parts[1:], F.lit("}"))
+
+
 def envelope(op: str | Column, ts_ms: Column, source_table: str, txn: Column, before, after) -> Column:
-    code = F.lit(op) if isinstance(op, str) else op
-    parts = {
-        "before": before,
-        "after": after,
-        "op": code,
-        "ts_ms": ts_ms,
-        "source": F.struct(
-            F.lit("shop").alias("db"), F.lit(source_table).alias("table"), txn.alias("txId")
-        ),
-    }
+    """Text of a change event; the images are JSON texts."""
+    source = json_object(db=F.lit('"shop"'), table=F.lit(f'"{source_table}"'), txId=number(txn))
+    parts = {"before": before, "after": after, "op": quoted(F.lit(op) if isinstance(op, str) else op), "ts_ms": number(ts_ms), "source": source}
     # A missing side is left out of the text, which reads the same as a JSON null.
-    present = [column.alias(name) for name, column in parts.items() if column is not None]
-    return F.to_json(F.struct(*present), KEEP_NULLS)
+    return json_object(**{name: text for name, text in parts.items() if text is not None})
 
 
 def version(i: int, value: Column | None, when: Column | None = None) -> Column:
@@ -42,6 +53,11 @@ def version(i: int, value: Column | None, when: Column | None = None) -> Column:
     return row if when is None else F.when(when, row)
 
 
+def present(rows: DataFrame) -> DataFrame:
+    """Without the versions that an entity does not have: a function that dropped them from the array would run uncompiled."""
+    return rows.where("i is not null")
+
+
 #: Tasks per core that write JSON texts: several, so that no core waits long for the last one.
 TASKS_PER_CORE = 4
 
@@ -71,38 +87,44 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic of order changes; see FIXTURES.md, section 3, for the rule of each version."""
     k, t0, created = F.col("k"), F.col("t0"), F.col("created")
     ordered = F.col("o_orderdate").cast("timestamp")
-    base = table(spark, sf_dir, "orders").select(
+    rows = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"), "o_orderkey")
+    base = rows.select(
         F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("customer"),
+        number(F.col("o_custkey")).alias("customer"),
         order_status(F.col("o_orderstatus")).alias("final"),
-        money(F.col("o_totalprice")).cast("string").alias("amount"),
+        quoted(money(F.col("o_totalprice")).cast("string")).alias("amount"),
         ordered.alias("created"),
         F.unix_millis(ordered).alias("t0"),
-        *[iso(ordered + F.expr(f"INTERVAL {n} SECONDS")).alias(f"plus_{n}") for n in (0, 30, 60)],
+        *[quoted(iso(ordered + F.expr(f"INTERVAL {n} SECONDS"))).alias(f"plus_{n}") for n in (0, 30, 60)],
     )
 
     def image(status: Column, amount: Column, seconds: int) -> Column:
-        return F.struct(
-            k.alias("order_id"),
-            F.col("customer").alias("customer_id"),
-            status.alias("status"),
-            amount.alias("total_amount"),
-            F.col("plus_0").alias("created_at"),
-            F.col(f"plus_{seconds}").alias("updated_at"),
+        return json_object(
+            order_id=number(k),
+            customer_id=F.col("customer"),
+            status=quoted(status),
+            total_amount=amount,
+            created_at=F.col("plus_0"),
+            updated_at=F.col(f"plus_{seconds}"),
         )
 
     def change(op, delay_ms: int, before, after) -> Column:
         return envelope(op, t0 + delay_ms, "orders", k, before, after)
 
     pending = F.lit("pending")
-    opened = image(pending, F.lit("0.00"), 0)
-    priced = image(pending, F.col("amount"), 0)
-    broken = image(pending, F.lit("abc"), 30)
-    settled = image(F.col("final"), F.col("amount"), 60)
     moved, removed, spoilt = F.col("final") != "pending", k % 10 == 0, k % 101 == 0
+    images = {
+        "opened": image(pending, F.lit('"0.00"'), 0),
+        "priced": image(pending, F.col("amount"), 0),
+        "broken": image(pending, F.lit('"abc"'), 30),
+        "settled": image(F.col("final"), F.col("amount"), 60),
+    }
+    texts = base.select("k", "created", "t0", "final", *[text.alias(name) for name, text in images.items()])
+    opened, priced, broken, settled = map(F.col, images)
     # Images chain: what follows a broken version names it as its before image.
-    second = F.when(spoilt, broken).otherwise(priced)
-    last = F.when(moved, settled).otherwise(second)
+    chained = texts.withColumn("second", F.when(spoilt, broken).otherwise(priced))
+    chained = chained.withColumn("last", F.when(moved, settled).otherwise(F.col("second")))
+    second, last = F.col("second"), F.col("last")
     repriced = change("u", 0, opened, priced)
     versions = F.array(
         version(0, change(F.when(k % 7 == 0, "r").otherwise("c"), 0, None, opened)),
@@ -115,9 +137,8 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         version(7, change("u", 90_000, last, None), k % 103 == 0),
         version(1, repriced, k % 13 == 0),
     )
-    rows = spread(base, "k").select("k", "created", F.inline(F.array_compact(versions)))
     return as_records(
-        rows,
+        present(chained.select("k", "created", F.inline(versions))),
         "cdc.orders",
         k.alias("order_id"),
         k * 8 + F.col("i"),
@@ -137,7 +158,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     created, t0 = F.col("created"), F.unix_millis("created")
 
     def image(email: Column, days: int, *more: Column) -> Column:
-        return F.struct(
+        fields = F.struct(
             k.alias("customer_id"),
             F.col("name").alias("name"),
             email.alias("email"),
@@ -145,6 +166,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             iso(created + F.expr(f"INTERVAL {days} DAYS")).alias("updated_at"),
             *more,
         )
+        return F.to_json(fields, KEEP_NULLS)
 
     first = image(F.col("email"), 0)
     second = image(
@@ -159,7 +181,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         version(1, envelope("u", t0 + day, "customers", k, first, second), k % 3 == 0),
         version(2, envelope("d", t0 + 2 * day, "customers", k, first, None), k % 20 == 0),
     )
-    rows = spread(base, "k").select("k", "created", F.inline(F.array_compact(versions)))
+    rows = present(spread(base, "k").select("k", "created", F.inline(versions)))
     return as_records(rows, "cdc.customers", k.alias("customer_id"), k * 4 + F.col("i"), created)
 
 
@@ -181,13 +203,13 @@ def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey",
     )
     shipped = F.col("l_shipdate").cast("timestamp")
-    image = F.struct(
-        item_id().alias("item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        money(F.col("l_extendedprice")).cast("string").alias("unit_price"),
-        iso(shipped).alias("created_at"),
+    image = json_object(
+        item_id=quoted(item_id()),
+        order_id=number(F.col("l_orderkey")),
+        product_id=number(F.col("l_partkey")),
+        quantity=number(F.col("l_quantity").cast("int")),
+        unit_price=quoted(money(F.col("l_extendedprice")).cast("string")),
+        created_at=quoted(iso(shipped)),
     )
     rows = items.select(
         F.col("l_orderkey").alias("k"),
