@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from decimal import Decimal
 
 import pytest
@@ -179,3 +180,64 @@ def test_hot_value_in_a_unique_column_is_counted_before_the_shuffle(spark):
     df = spark.range(0, 90_000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("a"))
     row = x.evaluate(df, "t", [x.unique("a")]).first()
     assert (row.evaluated, row.unexpected, row.success) == (90_000, 30_000, False)
+
+
+LOOKUP_RULES = [
+    x.row_count(1),
+    x.columns("k", "a", "t", "u"),
+    x.columns("k", "t", "a", "u"),
+    x.not_null("k"),
+    x.not_null("t", mostly=0.5),
+    x.between("a", 1, 3, mostly=0.6),
+    x.unique("a"),
+    x.unique("u"),
+    x.unique_share("t", 0.2, 0.9),
+    x.compound_unique("a", "u"),
+    x.max_between("a", 1, 9),
+    x.max_between("u", 1, 7),
+    x.at_least("u", "a"),
+]
+# Keys without a match, with one and with several; NULL keys on both sides; equal values under several keys.
+LOOKUP_ROWS = [("x", 1), ("x", 2), ("x", 2), ("y", 3), ("y", None), ("z", 4), ("z", 4), (None, 5), (None, 1), ("w", 9)]
+LOOKUP_FOUND = [("x", 3, 1), ("y", 2, 5), ("y", 2, 5), ("y", None, 2), ("w", None, None), (None, 1, 8), (None, 1, 8), ("v", 7, 9)]
+
+
+@pytest.mark.parametrize("rows", [LOOKUP_ROWS, []], ids=["rows", "none"])
+@pytest.mark.parametrize("found", [LOOKUP_FOUND, LOOKUP_FOUND[:1], []], ids=["repeated", "once", "none"])
+@pytest.mark.parametrize("size", ["10mb", "-1"], ids=["broadcast", "merge"])
+def test_suite_of_a_lookup_equals_that_of_the_joined_table(spark, rows, found, size):
+    from tidelog.session import setting
+
+    table = x.Lookup(
+        spark.createDataFrame(rows, "k string, a int"),
+        spark.createDataFrame(found, "k string, t int, u int"),
+        "k",
+        ("k", "a", "t", "u"),
+    )
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", size):
+        joined = x.evaluate(table.table(), "t", LOOKUP_RULES).sort("position").collect()
+        assert x.evaluate_lookup(table, "t", LOOKUP_RULES).sort("position").collect() == joined
+
+
+def test_suite_of_items_moves_no_item_rows_for_its_join(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tidelog.session import setting
+    from workload.queries import REGISTRY
+
+    plans = []
+
+    def keep(df):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plans.append(df._jdf.queryExecution().explainString(mode))
+
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (keep(self._df), write(self, *a, **k))[1])
+    # Orders of this size are too large to broadcast, as they are at scale.
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "10kb"):
+        keep(REGISTRY["dq_suite_silver_order_items"](spark, "/root/testdata/sf0.01"))
+    moved = re.findall(r"\) Exchange *\nInput \[\d+\]: \[(.*)\]", "\n".join(plans))
+    assert moved
+    names = {re.sub(r"#.*", "", column) for columns in moved for column in columns.split(", ")}
+    assert not names & {"quantity", "unit_price", "line_total"}
+    assert not any({"item_id", "order_id"} <= {re.sub(r"#.*", "", c) for c in columns.split(", ")} for columns in moved)

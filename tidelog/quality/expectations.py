@@ -9,8 +9,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import new_folder, setting
+
 GROUPED = ("unique", "unique_share", "compound_unique")
 
+#: Bytes of a file that a task counts values of. Nearly all values may differ, and a task holds its own until it spills.
+SPLIT = "16m"
+
 
 @dataclass(frozen=True)
 class Expectation:
@@ -130,16 +135,26 @@ Numbered = list[tuple[int, Expectation]]
 KEY_NUMBERS = ("seen", "repeated", "distinct")
 
 
-def measures(rules: Numbered) -> dict[str, tuple[Column, Callable[[str], Column]]]:
-    """What row-level and whole-table rules need of a table, by name, and how parts of a table are put together."""
-    found: dict[str, tuple[Column, Callable[[str], Column]]] = {"rows": (F.count(F.lit(1)), F.sum)}
+def _rows(where: Column | None = None, weight: Column | None = None) -> Column:
+    """Number of rows that meet a condition, each counted ``weight`` times."""
+    if weight is None:
+        return F.count(F.lit(1)) if where is None else F.count_if(where)
+    return F.coalesce(F.sum(weight if where is None else F.when(where, weight)), F.lit(0))
+
+
+def measures(rules: Numbered, weight: Column | None = None) -> dict[str, tuple[Column, Callable[[str], Column]]]:
+    """What row-level and whole-table rules need of a table, by name, and how parts of a table are put together.
+
+    With ``weight``, a row stands for that many equal ones.
+    """
+    found: dict[str, tuple[Column, Callable[[str], Column]]] = {"rows": (_rows(weight=weight), F.sum)}
     for position, e in rules:
         if e.kind == "max_between":
             found[f"max_{position}"] = (F.max(e.columns[0]), F.max)
         elif e.kind not in ("columns", "row_count"):
             good = _good(e)
-            found[f"seen_{position}"] = (F.count(good), F.sum)
-            found[f"bad_{position}"] = (F.count_if(~good), F.sum)
+            found[f"seen_{position}"] = (_rows(good.isNotNull(), weight), F.sum)
+            found[f"bad_{position}"] = (_rows(~good, weight), F.sum)
     return found
 
 
@@ -163,16 +178,16 @@ def verdicts(measured: DataFrame, rules: Numbered, names: Sequence[str]) -> Data
     return measured.select(F.inline(F.array(*found)))
 
 
-def _scan(df: DataFrame, rules: Numbered) -> DataFrame:
-    """All row-level and whole-table rules in one aggregation."""
-    measured = df.agg(*[value.alias(name) for name, (value, _) in measures(rules).items()])
-    return verdicts(measured, rules, df.columns)
+def _scan(df: DataFrame, rules: Numbered, names: Sequence[str], weight: Column | None = None) -> DataFrame:
+    """All row-level and whole-table rules in one aggregation; ``names`` are the columns of the table."""
+    measured = df.agg(*[value.alias(name) for name, (value, _) in measures(rules, weight).items()])
+    return verdicts(measured, rules, names)
 
 
-def key_counts(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def key_counts(df: DataFrame, names: tuple[str, ...], weight: Column | None = None) -> DataFrame:
     """Rows of each value of a column set (``_n``), leaving out those where all columns are NULL."""
     present = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
-    return df.select(*names).filter(present).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    return df.filter(present).groupBy(*names).agg(_rows(weight=weight).alias("_n"))
 
 
 def key_numbers(counts: DataFrame, sign: Column | None = None) -> DataFrame:
@@ -212,6 +227,72 @@ def split_rules(rules: Sequence[Expectation]) -> tuple[Numbered, dict[tuple[str,
 def evaluate(df: DataFrame, name: str, rules: Sequence[Expectation]) -> DataFrame:
     """One row per expectation: one pass for all row rules, one grouped pass per unique key."""
     scanned, keys = split_rules(rules)
-    results = [_scan(df, scanned)] if scanned else []
+    results = [_scan(df, scanned, df.columns)] if scanned else []
     results += [key_verdicts(key_numbers(key_counts(df, key)), same) for key, same in keys.items()]
     return reduce(DataFrame.unionByName, results).select(F.lit(name).alias("suite"), "*")
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A table of ``names``: ``rows`` with the columns that a left join with ``found`` on ``key`` adds."""
+
+    rows: DataFrame
+    found: DataFrame
+    key: str
+    names: tuple[str, ...]
+
+    @property
+    def added(self) -> set[str]:
+        return set(self.found.columns) - {self.key}
+
+    def table(self) -> DataFrame:
+        return self.rows.join(self.found, self.key, "left").select(*self.names)
+
+    def counted(self, columns: Sequence[str]) -> DataFrame:
+        """These columns with how many equal rows stand behind each (``_rows``), counted before the join."""
+        own = [c for c in dict.fromkeys((self.key, *columns)) if c not in self.added]
+        counts = self.rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_rows"))
+        return counts.join(self.found.select(self.key, *sorted(self.added.intersection(columns))), self.key, "left")
+
+    def weighted(self) -> DataFrame:
+        """``rows`` with how many rows of the table each becomes (``_rows``).
+
+        Only keys that ``found`` has more than once count, and these are landed, so that ``rows`` stay in place where
+        they are few.
+        """
+        spark = self.rows.sparkSession
+        path = new_folder(spark, "repeated")
+        self.found.groupBy(self.key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").write.parquet(path)
+        return self.rows.join(spark.read.parquet(path), self.key, "left").withColumn("_rows", F.coalesce("_rows", F.lit(1)))
+
+
+def lookup_results(table: Lookup, name: str, rules: Sequence[Expectation]) -> DataFrame:
+    """``evaluate`` of a joined table without the join of all its rows.
+
+    Rules over the rows alone scan them in place. Those that look at an added column join counts per value of the key,
+    which a key with many rows does not skew.
+    """
+    weight = F.col("_rows")
+    scanned, keys = split_rules(rules)
+
+    def joins(e: Expectation) -> bool:
+        return e.kind != "columns" and not table.added.isdisjoint(e.columns)
+
+    rows = table.weighted()
+    here, there = [(i, e) for i, e in scanned if not joins(e)], [(i, e) for i, e in scanned if joins(e)]
+    results = [_scan(rows, here, table.names, weight)] if here else []
+    if there:
+        results.append(_scan(table.counted([c for _, e in there for c in e.columns]), there, table.names, weight))
+    for key, same in keys.items():
+        df = rows if table.added.isdisjoint(key) else table.counted(key)
+        results.append(key_verdicts(key_numbers(key_counts(df, key, weight)), same))
+    return reduce(DataFrame.unionByName, results).select(F.lit(name).alias("suite"), "*")
+
+
+def evaluate_lookup(table: Lookup, name: str, rules: Sequence[Expectation]) -> DataFrame:
+    """``lookup_results``, landed, since files are read by ``SPLIT`` for the length of this call only."""
+    spark = table.rows.sparkSession
+    path = new_folder(spark, "suite-results")
+    with setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT):
+        lookup_results(table, name, rules).write.parquet(path)
+    return spark.read.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.columns import money, typed_null
 from tidelog.operators.gold import customer_metrics, daily_revenue
 from tidelog.operators.silver import line_total
+from tidelog.quality.expectations import Lookup
 
 RUN_TS = "2024-06-01 00:00:00"
 AS_OF = "2001-08-01"
@@ -71,24 +72,29 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items_lookup(spark: SparkSession, sf_dir: str) -> Lookup:
+    """Silver items as rows that look up when their order was created."""
     created = silver_orders(spark, sf_dir).select(
         "order_id", F.col("created_at").alias("order_created_at")
     )
-    return (
-        raw_items(spark, sf_dir).select("*", line_total())
-        .join(created, "order_id", "left")
-        .select(
-            "item_id",
-            "order_id",
-            "product_id",
-            "quantity",
-            "unit_price",
-            "line_total",
-            "order_created_at",
-            F.lit(RUN_TS).cast("timestamp").alias("_ingested_at"),
-        )
+    items = raw_items(spark, sf_dir).select(
+        "*", line_total(), F.lit(RUN_TS).cast("timestamp").alias("_ingested_at")
+    )
+    names = (
+        "item_id",
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "line_total",
+        "order_created_at",
+        "_ingested_at",
     )
+    return Lookup(items, created, "order_id", names)
+
+
+def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_items_lookup(spark, sf_dir).table()
 
 
 def priced_items(spark: SparkSession, sf_dir: str) -> DataFrame:
