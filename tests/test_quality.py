@@ -241,3 +241,17 @@ def test_suite_of_items_moves_no_item_rows_for_its_join(spark, monkeypatch):
     names = {re.sub(r"#.*", "", column) for columns in moved for column in columns.split(", ")}
     assert not names & {"quantity", "unit_price", "line_total"}
     assert not any({"item_id", "order_id"} <= {re.sub(r"#.*", "", c) for c in columns.split(", ")} for columns in moved)
+
+
+def test_gated_tables_are_packed(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from workload import queries
+
+    names = LAYERS["gold"]
+    monkeypatch.setattr(queries, "QUALITY_TABLES", {n: lambda spark, _: spark.range(0, 3, 1, 1).selectExpr("uuid() a") for n in names})
+    tables = queries.quality_tables(spark, "", ("gold",))
+    for name in names:
+        assert tables[name].count() == 3
+        files = [f.removeprefix("file:").replace("///", "/") for f in tables[name].inputFiles()]
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}

@@ -18,7 +18,7 @@ from tidelog.quality.difference import difference
 from tidelog.quality.expectations import evaluate, evaluate_lookup
 from tidelog.quality.states import SuiteState
 from tidelog.quality.suites import LAYERS, SUITES
-from tidelog.session import configure, new_folder
+from tidelog.session import SCRATCH, configure, new_folder
 from tidelog.sources.ledger import intervals
 from tidelog.sources.tables import bucket_upsert, days, identity, months, spec, write_table
 from tidelog.sources.topics import Topic, read_records, to_messages
@@ -479,7 +479,7 @@ def quality_tables(spark, sf, layers=tuple(LAYERS)) -> dict[str, DataFrame]:
 
     def land(name: str) -> DataFrame:
         path = new_folder(spark, "gated")
-        QUALITY_TABLES[name](spark, sf).write.parquet(path)
+        QUALITY_TABLES[name](spark, sf).write.options(**SCRATCH).parquet(path)
         return spark.read.parquet(path)
 
     names = [n for layer in layers for n in LAYERS[layer]]
