@@ -112,3 +112,42 @@ def test_a_merge_shuffles_each_side_once(spark, tmp_path):
         rows = t._rebuilt(t.directory(), 2, [3, 4], changes, t.newest(["at"]), 20, 2)
         plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
+
+
+@pytest.mark.parametrize("many", [1, 9], ids=["few", "hot"])
+def test_the_last_of_several_changes_of_a_key_counts(spark, tmp_path, many):
+    t, rng, expected = table(spark, tmp_path, rows=20), random.Random(8), {}
+    for _ in range(2):
+        rows = [(str(n), rng.randrange(50), n) for n in range(100)] + [("7", 100 + rng.randrange(900), 0) for _ in range(100 * many)] + [(None, 3, 3), (None, 2, 2)]
+        rows += [(k, at - 1, -1) for k, at, _ in rows[:40]]
+        t.merge(spark.createDataFrame(rows, SCHEMA), t.newest(["at"]), None, ["at"])
+        for k, at, v in rows:
+            if k not in expected or at > expected[k][0]:
+                expected[k] = (at, v)
+        assert state(t) == expected and t.directory().rows == 101
+
+
+def test_few_changes_of_a_key_are_moved_once_and_many_are_cut_first(spark, tmp_path, monkeypatch):
+    plans = []
+    write = HashedTable._write
+
+    def seen(self, rows, version):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(self, rows, version)
+
+    monkeypatch.setattr(HashedTable, "_write", seen)
+    t, path = table(spark, tmp_path, rows=20), str(tmp_path / "changes")
+    for n, hot in enumerate((0, 2000)):
+        spark.range(500).selectExpr("string(id) k", "id at", "id v").union(spark.range(hot).selectExpr("'1' k", "id + 600 at", "id v")).write.parquet(f"{path}{n}")
+        t.merge(spark.read.parquet(f"{path}{n}"), t.newest(["at"]), None, ["at"])
+    assert [plan.count("REPARTITION_BY_NUM") for plan in plans] == [2, 2]
+    assert [plan.count("ENSURE_REQUIREMENTS") for plan in plans] == [0, 1]
+
+
+def test_versions_are_packed(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    t = table(spark, tmp_path)
+    put(t, {"a": (1, 1)})
+    files = list((tmp_path / "t" / "data").rglob("*.parquet"))
+    assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)

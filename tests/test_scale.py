@@ -207,3 +207,22 @@ def test_record_texts_are_those_of_the_json_writer(spark, tmp_path):
             written = texts.select("text", again.alias("again"))
             found += written.where("text = again").count()
         assert found == texts.count() >= 300
+
+
+def test_scans_with_enough_tasks_stay_where_they_are(spark):
+    from workload.logs import SCANS_PER_CORE, TASKS_PER_CORE, spread
+
+    cores = spark.sparkContext.defaultParallelism
+    few, many = (spread(spark.range(0, 1000, 1, n), "id") for n in (cores, SCANS_PER_CORE * cores))
+    assert few.rdd.getNumPartitions() == TASKS_PER_CORE * cores and many.rdd.getNumPartitions() == SCANS_PER_CORE * cores
+    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batches_of_bronze_rows_keep_their_record_ids(spark):
+    from changes import bronze, change, order
+    from workload.queries import _batches
+
+    rows = bronze(spark, [change("c", after=order(n), ts_ms=n * 100_000_000_000) for n in range(12)])
+    landed = [r for batch in _batches(rows) for r in batch.collect()]
+    given = {r.offset: r for r in rows.collect()}
+    assert {r.offset for r in landed} == set(given) and all(r == given[r.offset] for r in landed)

@@ -11,7 +11,7 @@ tables that have it already are passed over. Readers take the last version that
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +20,10 @@ from pyspark.sql.types import StructType
 
 from tidelog import schemas
 from tidelog.operators import gold
-from tidelog.operators.changelog import VERSION_ORDER, latest_per_key
+from tidelog.operators.changelog import VERSION_ORDER
 from tidelog.operators.envelope import accepted, upserts
 from tidelog.operators.silver import line_total, shaped
-from tidelog.session import new_folder
+from tidelog.session import SCRATCH, new_folder
 from tidelog.sources.hashed import ROWS, HashedTable, Resolve, added
 
 
@@ -88,7 +88,7 @@ class Views:
         """The last version that all tables have."""
         return min(table.version() for table in self.tables())
 
-    def _make(self, table: HashedTable, version: int, run: str | None, changes: DataFrame, resolve: Resolve) -> None:
+    def _make(self, table: HashedTable, version: int, run: str | None, changes: DataFrame, resolve: Resolve, order: Sequence[str] = ()) -> None:
         """Merge changes unless the table has the version already; changes land first, they are read more than once."""
         last = table.directory()
         if last.version >= version:
@@ -96,8 +96,8 @@ class Views:
                 raise ValueError(f"version {version} of {table.path} was begun by run {last.run!r}, not {run!r}; finish that one first")
             return
         path = new_folder(self.spark, "changes")
-        changes.write.parquet(path)
-        table.merge(self.spark.read.schema(changes.schema).parquet(path), resolve, run)
+        changes.write.options(**SCRATCH).parquet(path)
+        table.merge(self.spark.read.schema(changes.schema).parquet(path), resolve, run, order)
 
     def refresh(self, batch: Mapping[str, DataFrame], run: str | None = None) -> int:
         """Take in a batch of Bronze rows per entity name (orders, customers, order_items) and return the new version.
@@ -119,8 +119,8 @@ class Views:
         if rows is None:
             changes = self.spark.createDataFrame([], table.schema)
         else:
-            changes = latest_per_key(accepted(rows, entity).select(*table.schema.fieldNames()), entity.key, VERSION_ORDER)
-        self._make(table, version, run, changes, table.newest(VERSION_ORDER))
+            changes = accepted(rows, entity).select(*table.schema.fieldNames())
+        self._make(table, version, run, changes, table.newest(VERSION_ORDER), VERSION_ORDER)
 
     def _fact_changes(self, version: int) -> DataFrame:
         orders = self.silver(schemas.ORDERS).changes(version).where("sign = 1").withColumnRenamed("op", "_source_op")

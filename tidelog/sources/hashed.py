@@ -21,11 +21,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
-from tidelog.session import setting
+from tidelog.operators.changelog import latest_per_key
+from tidelog.session import SCRATCH, setting
 from tidelog.sources.tables import existing
 
 ROWS = 1_000_000
+#: Changes per key from which, in any bucket, the last ones are chosen before all are moved to their buckets.
+MANY = 2
 _DIRECTORY = "version long, run string, buckets long, bucket long, home long, rows long"
 
 #: What becomes of a row: the old row (NULL if there is none) and the change, as structs.
@@ -135,22 +139,31 @@ class HashedTable:
 
         return resolve
 
-    def merge(self, changes: DataFrame, resolve: Resolve, run: str | None = None) -> int:
+    def merge(self, changes: DataFrame, resolve: Resolve, run: str | None = None, order: Sequence[str] = ()) -> int:
         """Make the next version from one change per key and return its number.
 
         ``resolve`` gives the new row from the old one and the change. Hand in changes that are cheap
-        to read again: they are read twice.
+        to read again: they are read twice. With ``order`` a key may have several, of which the highest counts. Where keys
+        have few, all go to their buckets at once, and the last ones are chosen there; where a key has many, every task is
+        cut to one row per key first, so that no bucket gets them all.
         """
         before = self.directory()
         version = before.version + 1
-        hit = changes.groupBy(bucket_of(self.key, before.buckets).alias("b")).count().collect()
-        buckets = max(before.buckets, -(-(before.rows + sum(r["count"] for r in hit)) // self.rows))
+        distinct = F.approx_count_distinct(F.xxhash64(*self.key)) if order else F.count(F.lit(1))
+        counts = (F.count(F.lit(1)).alias("n"), distinct.alias("keys"))
+        hit = changes.groupBy(bucket_of(self.key, before.buckets).alias("b")).agg(*counts).collect()
+        if any(r.n > MANY * r["keys"] for r in hit):
+            changes, order = latest_per_key(changes, self.key, order), ()
+            added = sum(min(r.n, r["keys"]) for r in hit)
+        else:
+            added = sum(r.n for r in hit)
+        buckets = max(before.buckets, -(-(before.rows + added) // self.rows))
         touched = {r.b for r in hit} | {source_of(b, before.buckets) for b in range(before.buckets, buckets)}
         rewritten = [b for b in range(buckets) if source_of(b, before.buckets) in touched]
         if rewritten:
             # Both sides are spread by bucket alone, which joins and writes without another shuffle.
             with setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-                self._write(self._rebuilt(before, version, sorted(touched), changes, resolve, buckets, len(rewritten)), version)
+                self._write(self._rebuilt(before, version, sorted(touched), changes, resolve, buckets, len(rewritten), order), version)
             sizes = self._read(Directory(version, homes={b: (version, 1) for b in rewritten})).groupBy("bucket").count()
             sizes = {r.bucket: r["count"] for r in sizes.collect()}
         homes = {**before.homes, **{b: (version, sizes.get(b, 0)) for b in rewritten}} if rewritten else before.homes
@@ -160,23 +173,25 @@ class HashedTable:
         return version
 
     def _write(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+        rows.write.options(**SCRATCH).mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
 
-    def _rebuilt(self, before: Directory, version: int, touched: list[int], changes: DataFrame, resolve: Resolve, buckets: int, tasks: int) -> DataFrame:
+    def _rebuilt(self, before: Directory, version: int, touched: list[int], changes: DataFrame, resolve: Resolve, buckets: int, tasks: int, order: Sequence[str] = ()) -> DataFrame:
         """Rows of the touched buckets after the changes, in their buckets of the new version."""
         names = self.schema.fieldNames()
         home = bucket_of(self.key, buckets).alias("bucket")
 
         def spread(rows: DataFrame, side: str, *more: Column) -> DataFrame:
             whole = F.struct(*rows.columns).alias(f"_{side}")
-            keyed = [F.col(k).alias(f"_{side}_{k}") for k in self.key]
-            return rows.select(home.alias(f"_{side}_bucket"), *keyed, whole, *more).repartition(tasks, f"_{side}_bucket")
+            return rows.select(home.alias(f"_{side}_bucket"), whole, *more).repartition(tasks, f"_{side}_bucket")
 
         stored = self._read(before, touched)
         old = spread(stored.select(*names, "_changed"), "old").withColumn("_was", F.col("_old._changed"))
         old = old.withColumn("_old", F.col("_old").dropFields("_changed"))
         new = spread(changes, "new")
-        same = reduce(Column.__and__, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in self.key])
+        if order:
+            newest = Window.partitionBy("_new_bucket", *[f"_new.{k}" for k in self.key]).orderBy(*[F.desc(f"_new.{c}") for c in order])
+            new = new.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+        same = reduce(Column.__and__, [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in self.key])
         joined = old.join(new, (F.col("_old_bucket") == F.col("_new_bucket")) & same, "full_outer")
         # Absent sides are NULL structs, also where all keys of a present one are NULL.
         gone, fresh = F.col("_old_bucket").isNull(), F.col("_new_bucket").isNotNull()

@@ -60,14 +60,19 @@ def present(rows: DataFrame) -> DataFrame:
 
 #: Tasks per core that write JSON texts: several, so that no core waits long for the last one.
 TASKS_PER_CORE = 4
+#: Tasks per core of a scan from which its rows stay where they are.
+SCANS_PER_CORE = 3
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows over all cores by their keys: writing the JSON text is the heavy part here.
 
     The number is given, since adaptive execution would otherwise merge the tasks by the size of the short rows before
-    the text, into about one per core and a second round for the rest.
+    the text, into about one per core and a second round for the rest. The scan of a large table has enough tasks as it
+    is, and moving its rows would only take disk.
     """
+    if rows.rdd.getNumPartitions() >= SCANS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism:
+        return rows
     return rows.repartition(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
