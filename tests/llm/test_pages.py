@@ -126,3 +126,22 @@ def test_names_that_begin_like_furniture_are_hints_inside_an_article(spark):
     assert got == {i: f"Start {i}\nUp {i} percent\nPart {i}\nStudy {i}\nEnd {i}" for i in range(3)}
     alone = main_text(spark.createDataFrame([(1, "https://b.example/", "<article><p>x</p><div class='share-bar'>Send it</div></article>")], "page_id long, url string, html string"))
     assert alone.first().text == "x\nSend it"
+
+
+def test_hinted_parts_are_cut_by_the_arrays_of_all_pages(spark):
+    line = "Send this page to a friend or to all of them today"
+    page = lambda i, part, foot="": f"<article><p>{prose(i, 30)}</p><div class='share-bar'>{part}</div></article><footer>{foot}</footer>"
+    # On the first host another page has the line as furniture, on the second both have it with a number behind, on the last nobody else.
+    rows = [(1, "https://a.example/", page(180, line)), (2, "https://a.example/", f"<article><p>{prose(181, 30)}</p></article><footer>{line}</footer>")]
+    rows += [(10 + i, "https://b.example/", page(182 + i, f"{line} {'so many people did it before you ' * i}{i}")) for i in range(2)]
+    rows += [(20, "https://c.example/", page(184, line))]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == prose(180, 30) and got[2] == prose(181, 30) and got[20] == f"{prose(184, 30)}\n{line}"
+    assert got[10] == f"{prose(182, 30)}\n0" and got[11] == f"{prose(183, 30)}\nso many people did it before you 1"
+
+
+def test_lines_of_articles_stay_where_they_are_furniture_elsewhere(spark):
+    line = "Send this page to a friend or to all of them today"
+    rows = [(i, "https://a.example/", f"<article><p>{prose(190 + i, 30)}</p><p>{line}</p></article><footer>{line}</footer>") for i in range(3)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{prose(190 + i, 30)}\n{line}" for i in range(3)}
